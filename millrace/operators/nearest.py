@@ -164,8 +164,7 @@ def _grid(
 def compare_all(queries: DataFrame, corpus: DataFrame, broadcast_numbers: int = BROADCAST_NUMBERS) -> DataFrame:
     """Every query against every vector, summarised: (qid, n, nearest, farthest, mean) of squared L2.
 
-    The mean needs no pair at all: the sum over the corpus of ||c - q||^2 is
-    sum ||c||^2 + n ||q||^2 - 2 q . sum c. Only nearest and farthest need the scan.
+    One row per query and task leaves the scan; the pairs themselves are never rows.
     """
     queries = queries.select(F.col("qid").cast("bigint"), F.col("vec").cast("array<double>"))
     corpus = corpus.select(F.col("id").cast("bigint"), "vec")

@@ -39,15 +39,17 @@ def examples(rows: DataFrame) -> DataFrame:
     )
 
 
+def _narrow(widest: int) -> Column:
+    return F.forall("tools", lambda t: F.size(F.map_keys(t["function"]["parameters"]["properties"])) <= widest)
+
+
 def narrow_only(rows: DataFrame, widest: int = WIDEST_TOOL) -> DataFrame:
     """Rows none of whose tools has more than ``widest`` properties."""
-    return rows.filter(
-        F.forall("tools", lambda t: F.size(F.map_keys(t["function"]["parameters"]["properties"])) <= widest)
-    )
+    return rows.filter(_narrow(widest))
 
 
-def eval_format(rows: DataFrame) -> DataFrame:
-    """The expected calls move out of the messages into a field of their own; wide tools drop the row."""
+def _lifted() -> tuple[Column, Column]:
+    """(messages without the answering turn, the calls of that turn)."""
     def is_answer(m: Column) -> Column:
         return (m["role"] == "assistant") & m["tool_calls"].isNotNull()
 
@@ -56,8 +58,27 @@ def eval_format(rows: DataFrame) -> DataFrame:
         F.filter("messages", lambda m: ~is_answer(m)),
         lambda m: F.struct(m["role"].alias("role"), m["content"].alias("content")),
     )
-    last = F.get(answers, F.size(answers) - 1)["tool_calls"]
-    return narrow_only(rows).select("id", asked.alias("messages"), "tools", last.alias("tool_calls"))
+    return asked, F.get(answers, F.size(answers) - 1)["tool_calls"]
+
+
+def eval_format(rows: DataFrame) -> DataFrame:
+    """The expected calls move out of the messages into a field of their own; wide tools drop the row."""
+    asked, answers = _lifted()
+    return narrow_only(rows).select("id", asked.alias("messages"), "tools", answers.alias("tool_calls"))
+
+
+def split_lines(drawn: DataFrame) -> DataFrame:
+    """(split, value): every drawn example as one JSON line; ``testing`` in evaluation format.
+
+    All splits come out of one pass over the examples, so they are read and converted once.
+    """
+    asked, answers = _lifted()
+    training = F.to_json(F.struct("messages", "tools"))
+    evaluation = F.to_json(F.struct(asked.alias("messages"), "tools", answers.alias("tool_calls")))
+    is_test = F.col("split") == "testing"
+    return drawn.filter(~is_test | _narrow(WIDEST_TOOL)).select(
+        "split", F.when(is_test, evaluation).otherwise(training).alias("value")
+    )
 
 
 def truths(rows: DataFrame) -> DataFrame:

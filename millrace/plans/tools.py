@@ -10,6 +10,7 @@ from millrace.operators import splits, toolcalls as T
 from millrace.plans.registry import query
 from millrace.session import load
 from millrace.sources import sinks
+from millrace.sources.staging import fresh_path
 
 # The raw rows are JSON texts built from ``part`` by one expression that both engines can read.
 _LOOSE = """case p_size % 16 when 0 then 'str' when 1 then 'str, optional' when 2 then 'str, default=''London'''
@@ -148,24 +149,22 @@ s as (select p_size, case when place <= floor(0.70 * n) then 'training'
 select split, count(*) as lines, count(*) as valid from s where split <> 'testing' or p_size <= 45 group by 1""")
 def snk_jsonl_splits(spark, d):
     drawn = splits.draw_and_split(T.examples(parsed_rows(spark, d)), "id")
-    path = sinks.split_path(drawn)
-    sinks.write_splits(drawn, path, ["training", "validation"])
-    testing = T.eval_format(drawn.filter("split = 'testing'")).withColumn("split", F.lit("testing"))
-    sinks.write_splits(testing, path, ["testing"])
-    lines = [spark.read.text(f"{path}/{s}").withColumn("split", F.lit(s)) for s in sinks.SPLITS]
-    every = lines[0].unionByName(lines[1]).unionByName(lines[2])
-    return every.groupBy("split").agg(
+    path = fresh_path(spark, "splits")
+    sinks.write_lines(T.split_lines(drawn), path)
+    return sinks.read_lines(spark, path).groupBy("split").agg(
         F.count("*").alias("lines"), F.count(F.get_json_object("value", "$.messages")).alias("valid")
     )
 
 
 # Predictions: what two models might have answered, one kind of answer per example.
-_PREDICTED = """id as example_id, model, case when kind = 4 then 'other_fn' when kind < 4 then name end as name,
-  case when kind in (0, 4) then concat('{"name":"', p_name, '","size":', cast(p_size as TEXT_), '}')
-       when kind = 1 then concat('{"size":', cast(p_size as TEXT_), ', "name":"', p_name, '"}')
-       when kind = 2 then concat('{"name":"', p_name, '","size":"', cast(p_size as TEXT_), '"}')
-       when kind = 3 then concat('{"name":"', p_name, '","size":', cast(p_size as TEXT_), '.0}') end as arguments,
-  case when kind = 6 then 'request timed out' end as error"""
+_PREDICTED = [
+    "id as example_id", "model", "case when kind = 4 then 'other_fn' when kind < 4 then name end as name",
+    """case when kind in (0, 4) then concat('{"name":"', p_name, '","size":', cast(p_size as string), '}')
+       when kind = 1 then concat('{"size":', cast(p_size as string), ', "name":"', p_name, '"}')
+       when kind = 2 then concat('{"name":"', p_name, '","size":"', cast(p_size as string), '"}')
+       when kind = 3 then concat('{"name":"', p_name, '","size":', cast(p_size as string), '.0}') end as arguments""",
+    "case when kind = 6 then 'request timed out' end as error",
+]
 
 JUDGED_SQL = ONE_SQL + """, kinds as (
   select id as example_id, concat('find_', lower(p_type)) as name, 'base' as model, id % 7 as kind from one
@@ -180,21 +179,7 @@ def predictions(spark, d) -> DataFrame:
         F.explode(F.array(F.lit("base"), F.lit("tuned"))).alias("model"),
     ).filter("p_size % 5 not in (0, 4)")
     kinds = rows.withColumn("kind", F.expr("id % case model when 'base' then 7 else 4 end"))
-    return kinds.selectExpr(*[x for x in _split_columns(_PREDICTED.replace("TEXT_", "string"))])
-
-
-def _split_columns(sql: str) -> list[str]:
-    """Select items at the top level of a list (commas inside brackets or quotes do not count)."""
-    out, depth, quoted, start = [], 0, False, 0
-    for i, ch in enumerate(sql):
-        if ch == "'":
-            quoted = not quoted
-        elif not quoted:
-            depth += (ch == "(") - (ch == ")")
-            if ch == "," and depth == 0:
-                out.append(sql[start:i])
-                start = i + 1
-    return [*out, sql[start:]]
+    return kinds.selectExpr(*_PREDICTED)
 
 
 def judged_rows(spark, d) -> DataFrame:

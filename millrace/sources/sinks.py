@@ -2,29 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from millrace.sources.staging import fresh_path
 
-SPLITS = ["training", "validation", "testing"]
+def write_lines(rows: DataFrame, path: str) -> None:
+    """(split, value) as one line per row in a folder per split, all splits in one pass."""
+    rows.hint("rebalance", "split").write.mode("overwrite").partitionBy("split").text(path)
 
 
-def write_splits(rows: DataFrame, path: str, splits: list[str] = SPLITS) -> None:
-    """One JSON object per line in a folder per split; ``rows`` carries a ``split`` column."""
-    for name in splits:
-        rows.filter(F.col("split") == name).drop("split").write.mode("overwrite").json(f"{path}/{name}")
-
-
-def read_splits(spark, path: str, schema, splits: list[str] = SPLITS) -> DataFrame:
-    parts = [spark.read.schema(schema).json(f"{path}/{s}").withColumn("split", F.lit(s)) for s in splits]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def split_path(df: DataFrame) -> str:
-    return fresh_path(df.sparkSession, "splits")
+def read_lines(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("value string, split string").text(path)
 
 
 def integrity(files: DataFrame, registered: DataFrame, key: str) -> DataFrame:

@@ -10,10 +10,27 @@ def thousands(n: Column) -> Column:
     return F.format_number(n, 0)
 
 
+def fixed(value: Column, decimals: int) -> Column:
+    """A non-negative number below 9e15 with a fixed number of decimals (up to 3), as printf gives it.
+
+    The double is rounded by its exact binary value, ties to even. Its fraction times 2^62 is a
+    whole number, so the rounding is done on integers.
+    """
+    unit = 10 ** decimals
+    scaled = (F.lit(unit) * ((value - F.floor(value)) * F.lit(2.0 ** 62)).cast("bigint").cast("decimal(20,0)")).cast("decimal(38,0)")
+    one = F.lit(2 ** 62).cast("decimal(20,0)")
+    below = F.floor(scaled / one).cast("bigint")
+    twice = (scaled - below.cast("decimal(15,0)") * one) * 2
+    up = (twice > one) | ((twice == one) & (below % 2 != 0))
+    units = F.floor(value) * unit + below + up.cast("bigint")
+    whole = F.floor(units / unit).cast("string")
+    return whole if decimals == 0 else F.concat(whole, F.lit("."), F.lpad((units % unit).cast("string"), decimals, "0"))
+
+
 def percent(share: Column, decimals: int = 1, sign: bool = False) -> Column:
-    """A share as per cent, rounded half to even; a negative share keeps its minus, even at 0.0."""
+    """A share as per cent; a negative share keeps its minus, even at 0.0."""
     mark = F.when(share < 0, "-").otherwise("+" if sign else "")
-    return F.concat(mark, F.format_string(f"%.{decimals}f%%", F.bround(F.abs(share * 100), decimals)))
+    return F.concat(mark, fixed(F.abs(share * 100), decimals), F.lit("%"))
 
 
 def signed_percent(difference: Column, decimals: int = 1) -> Column:

@@ -12,6 +12,7 @@ from millrace.operators import batch as B, retrieval as R
 from millrace.operators.chat import history_of, last_asks
 from millrace.operators.chunks import fixed_chunks
 from millrace.operators.nearest import nearest
+from millrace.operators.sizing import small_side
 from millrace.sources.staging import stage
 
 GUARD = "{{guard}}\nQuestion: {{question}}"
@@ -33,8 +34,8 @@ Embed = Callable[[DataFrame, str, str], DataFrame]
 
 def indexed(docs: DataFrame, size: int = 800, overlap: int = 60, make_vectors: Embed = embed) -> DataFrame:
     """(id, doc_id, source, page, text, vec): chunks of documents with their vectors, staged once."""
-    cut = fixed_chunks(docs.select("doc_id", "text"), "doc_id", "text", size, size - overlap)
-    named = cut.join(docs.select("doc_id", "source"), "doc_id").select(
+    cut = fixed_chunks(docs, "doc_id", "text", size, size - overlap, keep=["source"])
+    named = cut.select(
         (F.col("doc_id") * CHUNKS_PER_DOCUMENT + F.col("chunk")).alias("id"), "doc_id", "source",
         (F.col("chunk") + 1).alias("page"), "text",
     )
@@ -61,9 +62,9 @@ def found_chunks(
 ) -> DataFrame:
     """(qid, id, rank, source, page, text, relevance_score) of the k chunks closest to each question."""
     vectors = make_vectors(queries.select("qid", "question"), "question", "vec").select("qid", "vec")
-    found = nearest(vectors, chunks.select("id", "vec"), k)
-    # k rows per query: this join brings the few texts, not the corpus, together.
-    rows = found.join(chunks, "id").join(vectors.withColumnRenamed("vec", "_q"), "qid")
+    found = stage(nearest(vectors, chunks.select("id", "vec"), k), "ranked")
+    # k rows per query go to the chunks, so that the corpus is not shuffled for a few texts.
+    rows = chunks.join(small_side(found), "id").join(vectors.withColumnRenamed("vec", "_q"), "qid")
     scored = rows.withColumn("relevance_score", cosine(F.col("vec"), F.col("_q")))
     if not rerank:
         return scored.withColumn("relevance_score", F.lit(None).cast("double")).drop("vec", "_q", "distance")

@@ -14,8 +14,8 @@ from millrace.operators.ordering import blocked_row_number, blocked_running
 TURNS_PER_BLOCK = 4096
 
 
-def _block() -> list[Column]:
-    return [F.floor(F.col("turn") / TURNS_PER_BLOCK)]
+def _cut(messages: DataFrame) -> DataFrame:
+    return messages.withColumn("_block", F.floor(F.col("turn") / TURNS_PER_BLOCK))
 
 
 def prior_turns(messages: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def prior_turns(messages: DataFrame) -> DataFrame:
     """
     chars = F.length("text").cast("bigint")
     is_user = (F.col("role") == "user").cast("bigint")
-    running = blocked_running(messages, ["conv_id"], [F.col("turn")], _block(), {
+    running = blocked_running(_cut(messages), ["conv_id"], [F.col("turn")], ["_block"], {
         "_n": ("sum", F.lit(1).cast("bigint")), "_c": ("sum", chars), "_u": ("sum", is_user),
     })
     return running.select(
@@ -63,14 +63,14 @@ def first_turns(messages: DataFrame, n: int) -> DataFrame:
 def exchanges(messages: DataFrame, max_turns: int) -> DataFrame:
     """Messages up to the end of exchange ``max_turns``; each user message opens an exchange."""
     running = blocked_running(
-        messages, ["conv_id"], [F.col("turn")], _block(), {"_x": ("sum", (F.col("role") == "user").cast("bigint"))}
+        _cut(messages), ["conv_id"], [F.col("turn")], ["_block"], {"_x": ("sum", (F.col("role") == "user").cast("bigint"))}
     )
-    return running.filter(F.col("_x") <= max_turns).drop("_x")
+    return running.filter(F.col("_x") <= max_turns).select(*messages.columns)
 
 
 def last_messages(messages: DataFrame, n: int) -> DataFrame:
     """(conv_id, turn, looked_at, last_text): what a look at the last n messages before a turn sees."""
-    placed = blocked_row_number(messages, ["conv_id"], [F.col("turn")], _block(), "_at")
+    placed = blocked_row_number(_cut(messages), ["conv_id"], [F.col("turn")], ["_block"], "_at")
     seen = placed.select(
         "conv_id", F.explode(F.array(*[F.col("_at") + i for i in range(1, n + 1)])).alias("_at"), "turn", "role", "text"
     )
@@ -90,15 +90,15 @@ def until_terminate(
 ) -> DataFrame:
     """Messages up to the first one holding the marker (included), or up to the automatic reply
     that would be one too many in a row (not included)."""
-    flagged = messages.withColumn("_auto", F.coalesce(automatic, F.lit(False)))
-    placed = blocked_row_number(flagged, ["conv_id"], [F.col("turn")], _block(), "_at")
-    broken = blocked_running(placed, ["conv_id"], [F.col("turn")], _block(), {
+    flagged = _cut(messages).withColumn("_auto", F.coalesce(automatic, F.lit(False)))
+    placed = blocked_row_number(flagged, ["conv_id"], [F.col("turn")], ["_block"], "_at")
+    broken = blocked_running(placed, ["conv_id"], [F.col("turn")], ["_block"], {
         "_break": ("max", F.when(~F.col("_auto"), F.col("_at"))),
     })
     in_a_row = F.when(F.col("_auto"), F.col("_at") - F.coalesce("_break", F.lit(0))).otherwise(0)
     over = (in_a_row > most_in_a_row).cast("bigint")
     marked = F.coalesce(F.contains("text", F.lit(marker)), F.lit(False)).cast("bigint")
-    ended = blocked_running(broken, ["conv_id"], [F.col("turn")], _block(), {
+    ended = blocked_running(broken, ["conv_id"], [F.col("turn")], ["_block"], {
         "_over": ("sum", over), "_marked": ("sum", marked),
     })
     before = F.col("_marked") - marked

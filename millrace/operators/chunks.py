@@ -8,16 +8,25 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.operators.sampling import words
+from millrace.operators.sizing import computed_once, small_side
+from millrace.sources.staging import stage
+
 # Break points tried in this order; the empty one means single characters.
 BREAKS = ["\n\n", "\n", " ", ""]
 
 
-def fixed_chunks(docs: DataFrame, key: str, text: str, size: int = 800, stride: int = 740) -> DataFrame:
-    """(key, chunk from 0, text): windows of ``size`` characters every ``stride``. No Python."""
+def fixed_chunks(
+    docs: DataFrame, key: str, text: str, size: int = 800, stride: int = 740, keep: list[str] = ()
+) -> DataFrame:
+    """(key, kept columns, chunk from 0, text): windows of ``size`` characters every ``stride``.
+
+    No Python and no shuffle; the metadata columns travel along.
+    """
     starts = F.sequence(F.lit(0), F.greatest(F.length(text) - 1, F.lit(0)), F.lit(stride))
-    cut = docs.select(key, F.col(text).alias("_whole"), F.posexplode(starts).alias("chunk", "_start"))
+    cut = docs.select(key, *keep, F.col(text).alias("_whole"), F.posexplode(starts).alias("chunk", "_start"))
     piece = F.substring("_whole", F.col("_start") + 1, F.lit(size))
-    return cut.select(key, F.col("chunk").cast("bigint").alias("chunk"), piece.alias("text"))
+    return cut.select(key, *keep, F.col("chunk").cast("bigint").alias("chunk"), piece.alias("text"))
 
 
 def _cut_at(text: str, mark: str) -> list[str]:
@@ -92,20 +101,16 @@ def chunk_sizes(chunks: DataFrame, strategy: str) -> DataFrame:
     ).select(F.lit(strategy).alias("strategy"), "*")
 
 
-def _words(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit("[^ \\t\\n\\r]+"), F.lit(0))
-
-
 ANCHOR_WORDS = 5
 
 
-def passages_found(chunks: DataFrame, passages: DataFrame) -> DataFrame:
-    """Ids of the passages that stand whole in at least one chunk.
+def passage_places(texts: DataFrame, passages: DataFrame) -> DataFrame:
+    """(id, passage_id, passage): which texts hold which passages whole.
 
-    ``chunks`` and ``passages`` are (id, text). The inner words of a passage must be whole words of
-    any chunk that holds it, so chunk and passage meet on a hash of the first five inner words and
-    only then is the text compared. Copies of a chunk are looked at once. A passage needs three
-    words; fewer have no inner word to meet on, which is an error.
+    ``texts`` and ``passages`` are (id, text). The inner words of a passage must be whole words of
+    any text that holds it, so both meet on a hash of the first five inner words and only then are
+    they compared. A passage needs three words; fewer have no inner word to meet on, which is an
+    error.
     """
     n = F.least(F.size("_w") - 2, F.lit(ANCHOR_WORDS))
     checked = F.when(n >= 1, n).otherwise(F.raise_error(F.lit("a passage needs at least three words")))
@@ -113,19 +118,26 @@ def passages_found(chunks: DataFrame, passages: DataFrame) -> DataFrame:
         F.when(F.col("_n") == k, F.xxhash64(F.lit(k), *[F.get("_w", F.lit(i + 1)) for i in range(k)]))
         for k in range(1, ANCHOR_WORDS + 1)
     ])
-    anchored = passages.withColumn("_w", _words(F.col("text"))).withColumn("_n", checked).select(
-        "id", "text", "_n", anchor.alias("_anchor")
+    anchored = passages.withColumn("_w", words(F.col("text"))).withColumn("_n", checked).select(
+        F.col("id").alias("passage_id"), F.col("text").alias("passage"), "_n", anchor.alias("_anchor")
     )
     lengths = [r[0] for r in anchored.select("_n").distinct().collect()]  # at most five numbers
     if not lengths:
-        return passages.select("id")
+        lengths = [ANCHOR_WORDS]
 
-    w = _words(F.col("text"))
-    places = chunks.select("text").dropDuplicates(["text"]).select(
-        F.col("text").alias("_chunk"), F.explode(F.array_distinct(F.concat(*[_runs(w, k) for k in lengths]))).alias("_anchor")
-    )
-    hits = places.join(anchored, "_anchor")
-    return hits.filter(F.contains("_chunk", "text")).select("id").distinct()
+    split = computed_once(texts.select("id", "text"), "_w", words(F.col("text")))
+    runs = F.array_distinct(F.concat(*[_runs(F.col("_w"), k) for k in lengths]))
+    places = split.select("id", F.explode(runs).alias("_anchor"))
+    # Few passages are broadcast and the texts stay where they are; many are joined by hash.
+    maybe = stage(places.join(small_side(anchored), "_anchor").select("id", "passage_id", "passage").distinct(), "maybe")
+    return texts.join(small_side(maybe), "id").filter(F.contains("text", "passage")).select("id", "passage_id", "passage")
+
+
+def passages_in_chunks(docs: DataFrame, places: DataFrame, size: int, stride: int) -> DataFrame:
+    """Ids of the passages that stand whole in a chunk; only documents known to hold one are cut."""
+    holders = docs.join(small_side(places), F.col("doc_id") == F.col("id"))
+    cut = fixed_chunks(holders, "doc_id", "text", size, stride, keep=["passage_id", "passage"])
+    return cut.filter(F.contains("text", "passage")).select("passage_id").distinct()
 
 
 def _runs(words: Column, k: int) -> Column:

@@ -6,6 +6,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from millrace.operators.ordering import blocked_row_number
+
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("subscriber_id", T.IntegerType()),
@@ -107,3 +109,10 @@ def union_daily(days: list[DataFrame]) -> DataFrame:
     for day in days[1:]:
         out = out.unionByName(day)
     return out
+
+
+def renumbered(events: DataFrame, key: str, block: int = 100_000) -> DataFrame:
+    """Adds ``row_id``: 0, 1, 2, ... over all days, by day and key, counted in (day, key) blocks."""
+    cut = events.withColumn("_block", F.floor(F.col(key) / block))
+    numbered = blocked_row_number(cut, [], [F.col("dt"), F.col(key)], ["dt", "_block"], "_n")
+    return numbered.withColumn("row_id", F.col("_n") - 1).drop("_n", "_block")

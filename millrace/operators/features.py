@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.operators.ordering import blocked_row_number, hash_block, hash_order
+from millrace.operators.ordering import blocked_running, hash_block, hash_order
 
 USAGE = ["minutes_30d", "sessions_30d", "completion_rate", "distinct_titles_30d"]
 
@@ -65,12 +65,14 @@ def stratified_split(df: DataFrame, label: str, key: str, test_share: float, see
     Places are counted in hash blocks, so a label holding most rows is not sorted in one task.
     """
     drawn = df.withColumn("_draw", hash_order(seed, F.col(key)))
-    placed = blocked_row_number(drawn, [label], [F.col("_draw"), F.col(key)], [hash_block(F.col("_draw"))], "_place")
-    sizes = df.groupBy(label).agg(F.round(F.count("*") * F.lit(test_share)).cast("bigint").alias("_test"))
-    return (
-        placed.join(sizes, label)
-        .withColumn("split", F.when(F.col("_place") <= F.col("_test"), "test").otherwise("train"))
-        .drop("_draw", "_place", "_test")
+    drawn = drawn.withColumn("_block", hash_block(F.col("_draw")))
+    one = F.lit(1).cast("bigint")
+    placed = blocked_running(drawn, [label], [F.col("_draw"), F.col(key)], ["_block"], {
+        "_place": ("sum", one), "_rows": ("all_sum", one),
+    })
+    n_test = F.round(F.col("_rows") * F.lit(test_share))
+    return placed.withColumn("split", F.when(F.col("_place") <= n_test, "test").otherwise("train")).select(
+        *df.columns, "split"
     )
 
 

@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
 
-from millrace.operators.ordering import blocked_row_number, range_running
+from millrace.operators.ordering import blocked_running, range_running
 from millrace.sources.staging import shared_dir
 
 
@@ -88,11 +88,12 @@ def importance_spread(weights: DataFrame, noise_prefix: str) -> DataFrame:
 
 def model_versions(runs: DataFrame, block: int = 100_000) -> DataFrame:
     """Registering a name again makes version 2, 3, ...; the run with the highest AUC is best."""
-    numbered = blocked_row_number(
-        runs, ["model"], [F.col("run_id")], [F.floor(F.col("run_id") / block)], "version"
-    )
-    best = runs.groupBy("model").agg(F.min(F.struct((-F.col("auc")).alias("a"), "run_id"))["run_id"].alias("_best"))
-    return numbered.join(best, "model").withColumn("is_best", F.col("run_id") == F.col("_best")).drop("_best")
+    cut = runs.withColumn("_block", F.floor(F.col("run_id") / block))
+    numbered = blocked_running(cut, ["model"], [F.col("run_id")], ["_block"], {
+        "version": ("sum", F.lit(1).cast("bigint")),
+        "_best": ("all_min", F.struct((-F.col("auc")).alias("low"), F.col("run_id").alias("run"))),
+    })
+    return numbered.withColumn("is_best", F.col("run_id") == F.col("_best.run")).drop("_best", "_block")
 
 
 def leaderboard(runs: DataFrame) -> DataFrame:

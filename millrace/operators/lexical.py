@@ -11,6 +11,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from millrace.operators.sampling import words
+from millrace.operators.sizing import small_side
+from millrace.sources.staging import stage
+
 # Distinct (query, word) pairs answered in one scan of the documents.
 PAIRS_PER_SCAN = 2_000_000
 # Scores (documents x queries) held at once inside a task.
@@ -20,7 +24,7 @@ _WORD = re.compile("[^ \\t\\n\\r]+")
 
 
 def _words(column: str):
-    return F.array_distinct(F.regexp_extract_all(F.lower(column), F.lit(_WORD.pattern), F.lit(0)))
+    return F.array_distinct(words(F.lower(column)))
 
 
 def search(
@@ -35,11 +39,12 @@ def search(
     document) rows: each task scores its documents against the queries' words and keeps k per
     query. More queries than one broadcast may hold are answered in several scans.
     """
-    asked = queries.select(F.col("qid").cast("bigint"), F.explode(_words("text")).alias("word"))
+    asked = stage(queries.select(F.col("qid").cast("bigint"), F.explode(_words("text")).alias("word")), "asked")
     n_pairs = asked.count()
     blocks = max(1, math.ceil(n_pairs / pairs_per_scan))
     n_docs = docs.count()
-    seen = docs.select(F.explode(_words("text")).alias("word")).join(asked.select("word").distinct(), "word", "left_semi")
+    wanted = small_side(asked.select("word").distinct())
+    seen = docs.select(F.explode(_words("text")).alias("word")).join(wanted, "word", "left_semi")
     weights = seen.groupBy("word").agg(F.log(F.lit(1.0) + F.lit(float(n_docs)) / F.count("*")).alias("weight"))
     tagged = asked.join(weights, "word").withColumn("_b", F.pmod(F.xxhash64("qid"), F.lit(blocks)))
 
@@ -64,7 +69,7 @@ def _scan(rows, docs: DataFrame, k: int) -> DataFrame:
     )
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, words = shared.value
+        names, known = shared.value
         kept = pd.DataFrame({"qid": [], "doc_id": [], "score": []}).astype({"qid": "int64", "doc_id": "int64"})
         step = max(1, CELLS // max(1, len(names)))
         for batch in batches:
@@ -73,8 +78,8 @@ def _scan(rows, docs: DataFrame, k: int) -> DataFrame:
                 cells = np.zeros((len(part), len(names)))
                 for row, text in enumerate(part["text"].fillna("")):
                     for word, tf in Counter(_WORD.findall(text)).items():
-                        if word in words:
-                            weight, at = words[word]
+                        if word in known:
+                            weight, at = known[word]
                             cells[row, at] += (1.0 + math.log(tf)) * weight
                 r, c = np.nonzero(cells)
                 found = pd.DataFrame({

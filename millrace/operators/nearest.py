@@ -18,6 +18,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
+from millrace.sources.staging import stage
+
 # Largest query matrix that is broadcast: 4M numbers = 32 MB as doubles.
 BROADCAST_NUMBERS = 4_000_000
 # Largest side of a grid cell, in numbers (rows x dimensions).
@@ -82,6 +84,12 @@ def _merge(partial: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _asked(queries: DataFrame) -> DataFrame:
+    """Queries on disk: they are measured first and read again, but computed once."""
+    whole = queries.select(F.col("qid").cast("bigint"), F.col("vec").cast("array<double>")).filter("vec is not null")
+    return stage(whole, "queries")
+
+
 def nearest(
     queries: DataFrame,
     corpus: DataFrame,
@@ -94,7 +102,7 @@ def nearest(
 
     ``queries`` is (qid bigint, vec array), ``corpus`` is (id bigint, vec array).
     """
-    queries = queries.select(F.col("qid").cast("bigint"), F.col("vec").cast("array<double>")).filter("vec is not null")
+    queries = _asked(queries)
     corpus = corpus.select(F.col("id").cast("bigint"), F.col("vec")).filter("vec is not null")
     size = queries.agg(F.count("*"), F.max(F.size("vec")), F.min(F.size("vec"))).first()
     n_queries, dims = size[0], size[1] or 1
@@ -166,8 +174,8 @@ def compare_all(queries: DataFrame, corpus: DataFrame, broadcast_numbers: int =
 
     One row per query and task leaves the scan; the pairs themselves are never rows.
     """
-    queries = queries.select(F.col("qid").cast("bigint"), F.col("vec").cast("array<double>"))
-    corpus = corpus.select(F.col("id").cast("bigint"), "vec")
+    queries = _asked(queries)
+    corpus = corpus.select(F.col("id").cast("bigint"), "vec").filter("vec is not null")
     size = queries.agg(F.count("*"), F.max(F.size("vec"))).first()
     n_queries, dims = size[0], size[1] or 1
     blocks = max(1, math.ceil(n_queries * dims / broadcast_numbers))

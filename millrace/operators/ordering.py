@@ -20,57 +20,71 @@ from millrace.sources.staging import stage
 # output column -> (kind, input column)
 Running = Mapping[str, tuple[str, Column]]
 
-_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
+# Running kinds take the key's rows up to the current one; the others all rows of the key.
+_RUNNING = {"sum": F.sum, "max": F.max, "min": F.min}
+_WHOLE = {"all_sum": F.sum, "all_max": F.max, "all_min": F.min}
+_AGG = {**_RUNNING, **_WHOLE}
 
 
-def _combine(kind: str, before: Column, here: Column) -> Column:
+def _combine(kind: str, before: Column, here: Column | None) -> Column:
+    if kind in _WHOLE:
+        return before
     if kind == "sum":
         return F.coalesce(before, F.lit(0)) + F.coalesce(here, F.lit(0))
     return (F.greatest if kind == "max" else F.least)(before, here)
 
 
+def _named(key: str) -> Column:
+    """A key column that must have a value: null keys would match nothing and be lost."""
+    return F.when(F.col(key).isNull(), F.raise_error(F.lit(f"null in key column {key}"))).otherwise(F.col(key))
+
+
+def _before(totals: DataFrame, keys: Sequence[str], pieces: Sequence[str], running: Running) -> list[Column]:
+    earlier = W.partitionBy(*keys).orderBy(*pieces).rowsBetween(W.unboundedPreceding, -1)
+    whole = W.partitionBy(*keys)
+    return [
+        _AGG[kind](f"_tot_{name}").over(whole if kind in _WHOLE else earlier).alias(f"_before_{name}")
+        for name, (kind, _) in running.items()
+    ]
+
+
 def blocked_running(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
-    blocks: Sequence[Column],
+    blocks: Sequence[str],
     running: Running,
 ) -> DataFrame:
     """Running values per key, first row up to and including the current one.
 
-    ``blocks`` must be non-null and never decrease along ``order`` within a key. Only
-    (key, block) totals meet in one place per key, i.e. rows / block length of them.
+    ``blocks`` are columns that are non-null and never decrease along ``order`` within a key; keys
+    must not be null. Only (key, block) totals meet in one place per key, i.e. rows / block length
+    of them. The rows themselves are shuffled once, by (key, block); further calls with the same
+    keys and blocks find them in place.
     """
-    bnames = [f"_blk{i}" for i in range(len(blocks))]
     inputs = {f"_in_{name}": col for name, (_, col) in running.items()}
-    cut = df.withColumns({**dict(zip(bnames, blocks)), **inputs})
-    piece = [*keys, *bnames]
+    cut = df.withColumns({**{k: _named(k) for k in keys}, **inputs})
+    piece = [*keys, *blocks]
 
     totals = cut.groupBy(*piece).agg(
         *[_AGG[kind](f"_in_{name}").alias(f"_tot_{name}") for name, (kind, _) in running.items()]
     )
-    earlier = W.partitionBy(*keys).orderBy(*bnames).rowsBetween(W.unboundedPreceding, -1)
-    before = totals.select(
-        *[F.col(c).alias(f"_k_{c}") for c in piece],
-        *[_AGG[kind](f"_tot_{name}").over(earlier).alias(f"_before_{name}")
-          for name, (kind, _) in running.items()],
-    )
+    before = totals.select(*[F.col(c).alias(f"_k_{c}") for c in piece], *_before(totals, keys, blocks, running))
 
     inside = W.partitionBy(*piece).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    local = cut.withColumns(
-        {f"_here_{name}": _AGG[kind](f"_in_{name}").over(inside) for name, (kind, _) in running.items()}
-    )
-    same_piece = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in piece]
-    joined = local.join(before, same_piece, "inner")
+    local = cut.withColumns({
+        f"_here_{name}": _AGG[kind](f"_in_{name}").over(inside) for name, (kind, _) in running.items() if kind in _RUNNING
+    })
+    joined = local.join(before, [F.col(c) == F.col(f"_k_{c}") for c in piece], "inner")
     return joined.select(
         *df.columns,
-        *[_combine(kind, F.col(f"_before_{name}"), F.col(f"_here_{name}")).alias(name)
+        *[_combine(kind, F.col(f"_before_{name}"), F.col(f"_here_{name}") if kind in _RUNNING else None).alias(name)
           for name, (kind, _) in running.items()],
     )
 
 
 def blocked_row_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], blocks: Sequence[Column], name: str
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column], blocks: Sequence[str], name: str
 ) -> DataFrame:
     """``row_number()`` per key (1-based, bigint), one block at a time."""
     return blocked_running(df, keys, order, blocks, {name: ("sum", F.lit(1).cast("bigint"))})
@@ -89,6 +103,8 @@ def range_running(
     by a unique tie column spread over many tasks. The partitioned table is staged because two
     readers must agree on where the cuts fell.
     """
+    if any(kind in _WHOLE for kind, _ in running.values()):
+        raise ValueError("range_running gives running values only")
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     inputs = {f"_in_{name}": col for name, (_, col) in running.items()}
@@ -108,12 +124,10 @@ def range_running(
     totals = laid_out.groupBy(*keys, "_part").agg(
         *[_AGG[kind](f"_in_{name}").alias(f"_tot_{name}") for name, (kind, _) in running.items()]
     )
-    earlier = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    pieces = F.count("*").over(W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
     before = totals.select(
-        *[F.col(c).alias(f"_k_{c}") for c in [*keys, "_part"]],
-        F.count("*").over(earlier).alias("_pieces"),
-        *[_AGG[kind](f"_tot_{name}").over(earlier).alias(f"_before_{name}")
-          for name, (kind, _) in running.items()],
+        *[F.col(c).alias(f"_k_{c}") for c in [*keys, "_part"]], pieces.alias("_pieces"),
+        *_before(totals, keys, ["_part"], running),
     ).filter("_pieces > 0")
     # At most one key continues across each cut, so ``before`` has fewer rows than there are
     # partitions: the broadcast is bounded by the partition count, not by the data.
@@ -145,12 +159,10 @@ def exact_quantiles(
     run in blocks of ``width``; no task ever holds all values of a key.
     """
     counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    running = blocked_running(
-        counted, keys, [F.col(value)], [F.floor(F.col(value) / F.lit(float(width)))],
-        {"_upto": ("sum", F.col("_n"))},
-    )
-    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"))
-    placed = running.join(totals, list(keys), "inner")
+    cut = counted.withColumn("_block", F.floor(F.col(value) / F.lit(float(width))))
+    placed = blocked_running(cut, keys, [F.col(value)], ["_block"], {
+        "_upto": ("sum", F.col("_n")), "_all": ("all_sum", F.col("_n")),
+    })
     return placed.groupBy(*keys).agg(
         *[F.min(F.when(F.col("_upto") >= F.ceil(F.lit(float(q)) * F.col("_all")), F.col(value)))
           .alias(f"p{round(q * 100)}") for q in quantiles]

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.operators.ordering import range_running
+from millrace.operators.sizing import computed_once
 
 
 def ranked(scores: DataFrame, context: str, candidate: str, score: str) -> DataFrame:
@@ -14,14 +15,18 @@ def ranked(scores: DataFrame, context: str, candidate: str, score: str) -> DataF
 
 
 def softmax(scores: DataFrame, context: str, score: str, out: str = "p") -> DataFrame:
-    """Scores to probabilities that sum to 1 per context.
+    """Scores to probabilities that sum to 1 per context, safe for large scores.
 
-    Two grouped sums with early partial results, joined back; no context is sorted or windowed.
+    exp(score - whole part) is summed per (context, whole part) before the shuffle; only these few
+    sums per context are scaled to the largest one. No context is sorted, windowed or scanned twice.
     """
-    top = scores.groupBy(context).agg(F.max(score).alias("_max"))
-    shifted = scores.join(top, context).withColumn("_e", F.exp(F.col(score) - F.col("_max")))
-    total = shifted.groupBy(context).agg(F.sum("_e").alias("_sum"))
-    return shifted.join(total, context).withColumn(out, F.col("_e") / F.col("_sum")).drop("_max", "_e", "_sum")
+    whole = F.floor(score)
+    sums = scores.groupBy(context, whole.alias("_b")).agg(F.sum(F.exp(F.col(score) - whole)).alias("_s"))
+    top = sums.withColumn("_top", F.max("_b").over(W.partitionBy(context)))
+    total = top.groupBy(context, "_top").agg(F.sum(F.col("_s") * F.exp(F.col("_b") - F.col("_top"))).alias("_sum"))
+    return scores.join(total, context).withColumn(
+        out, F.exp(F.col(score) - F.col("_top")) / F.col("_sum")
+    ).drop("_top", "_sum")
 
 
 def top_k(probabilities: DataFrame, context: str, candidate: str, k: int, p: str = "p") -> DataFrame:
@@ -43,29 +48,35 @@ def nucleus(probabilities: DataFrame, context: str, candidate: str, share: float
 
 
 def words(text: Column) -> Column:
-    """Runs of anything but white space, in order."""
-    return F.regexp_extract_all(text, F.lit("[^ \\t\\n\\r]+"), F.lit(0))
+    """Runs of anything but blanks, tabs and line ends, in order."""
+    return F.array_remove(F.split(F.translate(text, "\t\n\r", "   "), " "), "")
 
 
-def bigrams(text: Column) -> Column:
-    """Neighbouring words of one text as structs (a, b); built inside the row."""
-    w = words(text)
-    return F.zip_with(
-        F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0))),
-        lambda a, b: F.struct(a.alias("a"), b.alias("b")),
-    )
+def _neighbours(values: str, pair) -> Column:
+    """``pair(a, b)`` of every element and its successor."""
+    n = F.greatest(F.size(values) - 1, F.lit(0))
+    return F.zip_with(F.slice(values, F.lit(1), n), F.slice(values, F.lit(2), n), pair)
 
 
 def greedy_next(docs: DataFrame, text: str) -> DataFrame:
-    """(word, next_word, n): the most frequent follower of every word, ties by the word itself."""
-    pairs = docs.select(F.explode(bigrams(F.col(text))).alias("g")).groupBy("g.a", "g.b").agg(F.count("*").alias("n"))
-    best = pairs.groupBy(F.col("a").alias("word")).agg(F.min(F.struct((-F.col("n")).alias("m"), F.col("b"))).alias("r"))
-    return best.select("word", F.col("r.b").alias("next_word"), (-F.col("r.m")).alias("n"))
+    """(word, next_word, n): the most frequent follower of every word, ties by the follower itself."""
+    split = computed_once(docs.select(text), "_w", words(F.col(text))).select("_w")
+    pairs = split.select(F.inline(_neighbours("_w", lambda a, b: F.struct(a.alias("word"), b.alias("follower")))))
+    counted = pairs.groupBy("word", "follower").agg(F.count("*").alias("n"))
+    best = counted.groupBy("word").agg(F.min(F.struct((-F.col("n")).alias("m"), "follower")).alias("r"))
+    return best.select("word", F.col("r.follower").alias("next_word"), (-F.col("r.m")).alias("n"))
 
 
 def repeated_bigrams(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Documents that hold a bigram twice: (key, repeated, extra) = such bigrams, surplus uses."""
-    per = docs.select(key, F.explode(bigrams(F.col(text))).alias("g")).groupBy(key, "g").agg(F.count("*").alias("n"))
-    return per.filter("n > 1").groupBy(key).agg(
-        F.count("*").alias("repeated"), F.sum(F.col("n") - 1).alias("extra")
+    """Documents that hold a bigram twice: (key, repeated, extra) = such bigrams, surplus uses.
+
+    Sorted inside the row, equal bigrams are neighbours: no shuffle and no exploded rows.
+    """
+    split = computed_once(docs.select(key, text), "_w", words(F.col(text))).select(key, "_w")
+    pairs = _neighbours("_w", lambda a, b: F.concat(a, F.lit(" "), b))
+    ordered = computed_once(split, "_g", F.sort_array(pairs)).select(key, "_g")
+    again = _neighbours("_g", lambda a, b: F.when(a == b, a))
+    hits = computed_once(ordered, "_h", F.array_compact(again)).select(key, "_h")
+    return hits.filter(F.size("_h") > 0).select(
+        key, F.size(F.array_distinct("_h")).cast("bigint").alias("repeated"), F.size("_h").cast("bigint").alias("extra")
     )

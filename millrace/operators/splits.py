@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from millrace.operators.ordering import blocked_running, hash_order
+from millrace.operators.ordering import blocked_running, hash_order, range_running
 
 
 def draw_and_split(
@@ -32,21 +32,17 @@ def draw_and_split(
     return placed.withColumn("split", split).drop("_draw", "_place", "_n")
 
 
-def length_batches(docs: DataFrame, key: str, length: str, batch_size: int, block: int = 100_000) -> DataFrame:
+def length_batches(docs: DataFrame, key: str, length: str, batch_size: int) -> DataFrame:
     """(batch, docs, longest, padding): examples of like length put together.
 
-    Places come from a count per length (one row per length) and a place inside the length that
-    is counted in key blocks, so one very common length is not sorted in a single task.
+    Places follow (length, key) over all rows; they come from range pieces, so neither the table
+    nor one very common length is sorted in a single task.
     """
-    per_length = docs.groupBy(length).agg(F.count("*").alias("_n"))
-    shorter = blocked_running(per_length, [], [F.col(length)], [F.floor(F.col(length) / 4096)],
-                              {"_upto": ("sum", F.col("_n"))})
-    shorter = shorter.select(length, (F.col("_upto") - F.col("_n")).alias("_before"))
-    inside = blocked_running(
-        docs, [length], [F.col(key)], [F.floor(F.col(key) / block)], {"_place": ("sum", F.lit(1).cast("bigint"))}
+    placed = range_running(
+        docs.select(key, length), [], [F.col(length), F.col(key)], {"_place": ("sum", F.lit(1).cast("bigint"))}
     )
-    batch = F.floor((F.col("_before") + F.col("_place") - 1) / batch_size)
-    return inside.join(shorter, length).groupBy(batch.alias("batch")).agg(
+    batch = F.floor((F.col("_place") - 1) / batch_size)
+    return placed.groupBy(batch.alias("batch")).agg(
         F.count("*").alias("docs"), F.max(length).alias("longest"),
         (F.max(length) * F.count("*") - F.sum(length)).alias("padding"),
     )
@@ -58,9 +54,8 @@ def packed(docs: DataFrame, key: str, length: str, sequence: int, block: int = 1
     (key, first_sequence, last_sequence, at): where each example starts and ends. Empty examples
     take no room and are left out.
     """
-    running = blocked_running(
-        docs.filter(F.col(length) > 0), [], [F.col(key)], [F.floor(F.col(key) / block)], {"_end": ("sum", F.col(length))}
-    )
+    cut = docs.filter(F.col(length) > 0).withColumn("_block", F.floor(F.col(key) / block))
+    running = blocked_running(cut, [], [F.col(key)], ["_block"], {"_end": ("sum", F.col(length))})
     start = F.col("_end") - F.col(length)
     return running.select(
         key, F.floor(start / sequence).alias("first_sequence"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from millrace.functions.formats import fixed
 from millrace.operators.ordering import exact_quantiles
 
 
@@ -43,11 +44,11 @@ def cluster_load(jobs: DataFrame, status: str = "status") -> DataFrame:
 
 
 def job_phase(status: Column, steps: Column, percent: Column, loss: Column) -> Column:
-    """What a training job is doing, in words. Figures are rounded half to even."""
+    """What a training job is doing, in words."""
     step = F.coalesce(steps, F.lit(0))
-    share = F.bround(F.coalesce(percent, F.lit(0.0)), 0)
-    base = F.format_string("training - step %d, %.0f%%", step, share)
-    loss_part = F.when(loss.isNull(), "").otherwise(F.format_string(", loss %.3f", F.bround(loss, 3)))
+    share = fixed(F.coalesce(percent, F.lit(0.0)), 0)
+    base = F.concat(F.lit("training - step "), step.cast("string"), F.lit(", "), share, F.lit("%"))
+    loss_part = F.when(loss.isNull(), "").otherwise(F.concat(F.lit(", loss "), fixed(loss, 3)))
     return (
         F.when(status.isin("pending", "created"), "queued, waiting for a free GPU slot")
         .when(step == 0, "preparing (loading base model and data)")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators import answering as A, batch as B
 from millrace.plans.registry import query
+from millrace.operators.sizing import spread
 from millrace.session import load
 
 _BLANKS = "concat(' ', chr(9), chr(10), chr(13))"
@@ -63,7 +64,7 @@ def llm_refusal(spark, d):
 
 
 def _documents(spark, d) -> DataFrame:
-    return load(spark, d, "documents").select("doc_id", "text", "source")
+    return spread(load(spark, d, "documents").select("doc_id", "text", "source"))
 
 
 @query("llm_rag_job")

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import curate as C, features as X, learning as L
-from millrace.operators.ordering import blocked_row_number
 from millrace.plans.registry import query
 from millrace.plans.standins import (
     CURATED_SQL, CUTOFF, DEDUP_SQL, SUBS_SQL, TRAINING_SQL, USAGE_SQL, WATCH_SQL,
@@ -128,11 +127,7 @@ def union_daily(spark, d):
     events = watch_events(spark, d)
     cut = F.lit(CUTOFF).cast("date")
     stacked = C.union_daily([events.filter(F.col("dt") < cut), C.recent_days(events, CUTOFF)])
-    numbered = blocked_row_number(
-        stacked, [], [F.col("dt"), F.col("event_id")],
-        [F.col("dt"), F.floor(F.col("event_id") / 100_000)], "n",
-    )
-    return numbered.select((F.col("n") - 1).alias("row_id"), "event_id", "subscriber_id", day_text())
+    return C.renumbered(stacked, "event_id").select("row_id", "event_id", "subscriber_id", day_text())
 
 
 @query("agg_squash", f"""with {USAGE_SQL}

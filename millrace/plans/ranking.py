@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators import sampling as S, splits
 from millrace.plans.registry import query
+from millrace.operators.sizing import spread
 from millrace.session import load
 
 _SCORES_SQL = "sc as (select label as context, vec_id as candidate, embedding[1]::double as score from embeddings)"
@@ -55,14 +56,14 @@ bg as (select doc_id, w[i] as a, w[i + 1] as b from ws, unnest(range(1, len(w)))
 r as (select *, row_number() over (partition by a order by n desc, b) as rn from n)
 select a as word, b as next_word, n from r where rn = 1""")
 def win_greedy_next(spark, d):
-    return S.greedy_next(load(spark, d, "documents").select("text"), "text")
+    return S.greedy_next(spread(load(spark, d, "documents").select("text")), "text")
 
 
 @query("txt_repeated_bigrams", f"""with {_BIGRAM_SQL},
 n as (select doc_id, a, b, count(*) as n from bg group by all having count(*) > 1)
 select doc_id, count(*) as repeated, sum(n - 1)::bigint as extra from n group by 1""")
 def txt_repeated_bigrams(spark, d):
-    return S.repeated_bigrams(load(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
+    return S.repeated_bigrams(spread(load(spark, d, "documents").select("doc_id", "text")), "doc_id", "text")
 
 
 @query("split_70_15_15", """

@@ -8,8 +8,10 @@ from millrace.functions import html as H, text as T
 from millrace.operators import chunks as C, lexical, retrieval as R
 from millrace.operators.sampling import words
 from millrace.plans.registry import query
+from millrace.operators.sizing import small_side, spread
 from millrace.session import load
 from millrace.sources.readers import data_uri
+from millrace.sources.staging import stage
 from millrace.streaming import tokens
 
 _PLAIN_SQL = ("trim(regexp_replace(replace(replace(replace(replace(replace(replace("
@@ -74,7 +76,7 @@ def txt_chunk_fixed(spark, d):
 
 @query("txt_chunk_recursive")
 def txt_chunk_recursive(spark, d):
-    docs = load(spark, d, "documents").select("doc_id", "text", "source")
+    docs = spread(load(spark, d, "documents").select("doc_id", "text", "source"))
     return C.recursive_chunks(docs, "doc_id", "text", 800, 60, keep=["source"])
 
 
@@ -92,13 +94,14 @@ select s.strategy, chunks, round(mean_chars, 4) as mean_chars, max_chars,
        round(coalesce(found, 0) / (select count(*) from benchmark), 6) as found_share
 from s left join f on s.strategy = f.strategy""")
 def agg_chunk_report(spark, d):
-    docs = load(spark, d, "documents").select("doc_id", "text")
+    docs = spread(load(spark, d, "documents").select("doc_id", "text"))
     passages = load(spark, d, "benchmark").select(F.col("item_id").alias("id"), "text")
+    places = stage(C.passage_places(docs.withColumnRenamed("doc_id", "id"), passages), "places")
     total = passages.agg(F.count("*").alias("n")).scalar()
     report = None
     for name, size, stride in _REPORT:
         cut = C.fixed_chunks(docs, "doc_id", "text", size, stride)
-        found = C.passages_found(cut.select("text"), passages).agg(F.count("*").alias("n")).scalar()
+        found = C.passages_in_chunks(docs, places, size, stride).agg(F.count("*").alias("n")).scalar()
         row = C.chunk_sizes(cut, name).withColumn("found_share", F.round(found / total, 6))
         report = row if report is None else report.unionByName(row)
     return report.withColumn("mean_chars", F.round("mean_chars", 4))
@@ -231,7 +234,7 @@ n as (select doc_id, len(list_filter(w, lambda x: x in ('the', 'und', 'la', 'of'
 select doc_id, case when good > bad then 'positive' when good < bad then 'negative' else 'neutral' end as sentiment from n""")
 def txt_sentiment(spark, d):
     said = T.sentiment(words(F.lower("text")), _GOOD, _BAD)
-    return load(spark, d, "documents").select("doc_id", said.alias("sentiment"))
+    return spread(load(spark, d, "documents").select("doc_id", "text")).select("doc_id", said.alias("sentiment"))
 
 
 _MESSAGE = """case when role = 'assistant' then concat(text, chr(10), '```python', chr(10), 'print(', cast(turn as {s}), ')',
@@ -283,8 +286,8 @@ from r join documents using (doc_id) where rank <= 2""")
 def txt_search_lexical(spark, d):
     docs = load(spark, d, "documents").select("doc_id", "text")
     asked = load(spark, d, "benchmark").select(F.col("item_id").alias("qid"), "text")
-    found = lexical.search(asked, docs, 2)
-    return found.join(docs, "doc_id").select(
+    found = stage(lexical.search(asked, spread(docs), 2), "found")
+    return docs.join(small_side(found), "doc_id").select(
         "qid", "rank", "doc_id", F.round("score", 3).alias("score"), T.truncated(F.col("text"), 500).alias("snippet")
     )
 

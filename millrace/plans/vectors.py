@@ -8,7 +8,9 @@ from millrace.functions.vectors import cosine, embed, squared_l2
 from millrace.operators import retrieval as R, stores as St
 from millrace.operators.nearest import compare_all, nearest
 from millrace.plans.registry import query
+from millrace.operators.sizing import small_side, spread
 from millrace.session import load
+from millrace.sources.staging import stage
 
 # The queries asked are the mean vectors of the labels, so every stored vector takes part in them.
 CENTROID_SQL = """e as (select vec_id, label, pos, embedding[pos]::double as x
@@ -36,6 +38,12 @@ def label_queries(spark: SparkSession, d: str) -> DataFrame:
     return means.select(F.col("label").cast("bigint").alias("qid"), "vec")
 
 
+def _with_mean(spark, d) -> DataFrame:
+    """Every vector beside the mean of its label; one row per label is sent to the vectors."""
+    means = stage(R.group_means(corpus(spark, d), "label", "vec").withColumnRenamed("vec", "mean"), "means")
+    return corpus(spark, d).join(small_side(means, 10_000), "label")
+
+
 def shown(found: DataFrame) -> DataFrame:
     return found.withColumn("distance", F.round("distance", 6))
 
@@ -43,17 +51,16 @@ def shown(found: DataFrame) -> DataFrame:
 @query("vec_l2", f"""with {PAIRS_SQL}
 select id, round(distance, 6) as l2 from p where label = qid""")
 def vec_l2(spark, d):
-    store, means = corpus(spark, d), R.group_means(corpus(spark, d), "label", "vec")
-    both = store.join(means.withColumnRenamed("vec", "mean"), "label")
-    return both.select("id", F.round(squared_l2(F.col("vec"), F.col("mean")), 6).alias("l2"))
+    both = _with_mean(spark, d)
+    return both.select("id", F.round(F.round(squared_l2(F.col("vec"), F.col("mean")), 9), 6).alias("l2"))
 
 
 @query("vec_cosine", f"""with {PAIRS_SQL}
 select id, round(1 - cos, 6) as similarity from p where label = qid""")
 def vec_cosine(spark, d):
-    store, means = corpus(spark, d), R.group_means(corpus(spark, d), "label", "vec")
-    both = store.join(means.withColumnRenamed("vec", "mean"), "label")
-    return both.select("id", F.round(cosine(F.col("vec"), F.col("mean")), 6).alias("similarity"))
+    both = _with_mean(spark, d)
+    similarity = 1 - F.round(1 - cosine(F.col("vec"), F.col("mean")), 9)
+    return both.select("id", F.round(similarity, 6).alias("similarity"))
 
 
 @query("join_query_corpus", f"""with {PAIRS_SQL}
@@ -84,9 +91,9 @@ def topk_retrieve(spark, d):
 c as (select r.*, n_chars as score from ranked r join documents on doc_id = id where rank <= 20)
 select qid::bigint as qid, id, rank, score, row_number() over (partition by qid order by score desc, id) as place from c""")
 def topk_rerank(spark, d):
-    found = nearest(label_queries(spark, d), corpus(spark, d), 20)
+    found = stage(nearest(label_queries(spark, d), corpus(spark, d), 20), "ranked")
     lengths = load(spark, d, "documents").select(F.col("doc_id").alias("id"), "n_chars")
-    return R.rerank_by_score(found.join(lengths, "id"), F.col("n_chars")).select("qid", "id", "rank", "score", "place")
+    return R.rerank_by_score(lengths.join(small_side(found), "id"), F.col("n_chars")).select("qid", "id", "rank", "score", "place")
 
 
 @query("flt_metadata_eq", "select vec_id as id, label from embeddings where label = 3")
@@ -112,12 +119,13 @@ near as (select *, row_number() over (partition by qid order by distance, other)
 select near.qid::bigint as qid, other::bigint as other, round(distance, 6) as distance, round(spread, 6) as spread
 from near join spread using (qid) where rn = 1""")
 def vec_label_centroids(spark, d):
-    means = label_queries(spark, d)
+    means = stage(label_queries(spark, d), "means")
     others = (
         nearest(means, means.select(F.col("qid").alias("id"), "vec"), 2)
         .filter("id <> qid").groupBy("qid").agg(F.min_by("id", "rank").alias("other"), F.min("distance").alias("distance"))
     )
-    store = corpus(spark, d).join(means.select(F.col("qid").alias("label"), F.col("vec").alias("mean")), "label")
+    own = small_side(means.select(F.col("qid").alias("label"), F.col("vec").alias("mean")), 10_000)
+    store = corpus(spark, d).join(own, "label")
     spread = store.groupBy(F.col("label").cast("bigint").alias("qid")).agg(
         F.avg(squared_l2(F.col("vec"), F.col("mean"))).alias("spread")
     )
@@ -180,7 +188,7 @@ def dml_update_document(spark, d):
 
 @query("vec_store_build")
 def vec_store_build(spark, d):
-    docs = load(spark, d, "documents").select(
+    docs = spread(load(spark, d, "documents")).select(
         F.col("doc_id").alias("id"), "text", F.create_map(F.lit("source"), F.col("source")).alias("meta"),
         F.col("lang").alias("collection"),
     )
@@ -194,7 +202,7 @@ def vec_store_build(spark, d):
 
 @query("vec_embed")
 def vec_embed(spark, d):
-    docs = embed(load(spark, d, "documents").select("doc_id", "text"), "text")
+    docs = embed(spread(load(spark, d, "documents")).select("doc_id", "text"), "text")
     return docs.select(
         "doc_id", F.size("vec").cast("bigint").alias("dims"),
         F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"),

@@ -88,6 +88,7 @@ def answered(
     make_client: B.MakeClient = B.extractive_client, make_vectors: Embed = embed,
 ) -> DataFrame:
     """Adds ``answer`` and ``cards`` to (qid, question): retrieve, maybe rerank, stuff, ask, cite."""
+    queries = stage(queries, "asked")
     found = stage(found_chunks(queries, chunks, k, rerank, make_vectors), "found")
     stuffed = R.stuffed_context(queries, found.select("qid", "rank", "id", "text"))
     asked = stuffed.withColumn("_p", render(ANSWER, {"context": F.col("context"), "question": F.col("question")}))
@@ -153,7 +154,7 @@ def standalone_questions(messages: DataFrame, make_client: B.MakeClient = B.extr
 
     The first message of a conversation is its own stand-alone question and is not sent anywhere.
     """
-    asks = last_asks(messages)
+    asks = stage(last_asks(messages), "asks")
     text = history_text(messages, asks, make_client=make_client)
     both = asks.join(text, "conv_id", "left").select(F.col("conv_id").alias("qid"), F.col("text").alias("asked"), "history")
     prompt = render(STANDALONE, {"question": F.col("asked"), "history": F.col("history")})

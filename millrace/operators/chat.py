@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.operators.ordering import blocked_row_number, blocked_running
+from millrace.sources.staging import stage
 
 TURNS_PER_BLOCK = 4096
 
@@ -90,16 +91,22 @@ def until_terminate(
 ) -> DataFrame:
     """Messages up to the first one holding the marker (included), or up to the automatic reply
     that would be one too many in a row (not included)."""
-    flagged = _cut(messages).withColumn("_auto", F.coalesce(automatic, F.lit(False)))
-    placed = blocked_row_number(flagged, ["conv_id"], [F.col("turn")], ["_block"], "_at")
-    broken = blocked_running(placed, ["conv_id"], [F.col("turn")], ["_block"], {
-        "_break": ("max", F.when(~F.col("_auto"), F.col("_at"))),
+    marked = F.coalesce(F.contains("text", F.lit(marker)), F.lit(False))
+    # Only flags travel through the running passes; the texts are read again at the end.
+    flags = _cut(messages.select(
+        "conv_id", "turn", F.coalesce(automatic, F.lit(False)).alias("_auto"), marked.alias("_marked")
+    ))
+    counted = stage(blocked_running(
+        flags, ["conv_id"], [F.col("turn")], ["_block"], {"_n": ("sum", F.col("_auto").cast("bigint"))}
+    ), "counted")
+    broken = blocked_running(counted, ["conv_id"], [F.col("turn")], ["_block"], {
+        "_broken": ("max", F.when(~F.col("_auto"), F.col("_n"))),
     })
-    in_a_row = F.when(F.col("_auto"), F.col("_at") - F.coalesce("_break", F.lit(0))).otherwise(0)
-    over = (in_a_row > most_in_a_row).cast("bigint")
-    marked = F.coalesce(F.contains("text", F.lit(marker)), F.lit(False)).cast("bigint")
-    ended = blocked_running(broken, ["conv_id"], [F.col("turn")], ["_block"], {
-        "_over": ("sum", over), "_marked": ("sum", marked),
-    })
-    before = F.col("_marked") - marked
-    return ended.filter((F.col("_over") == 0) & (before == 0)).select(*messages.columns)
+    over = F.col("_auto") & (F.col("_n") - F.coalesce("_broken", F.lit(0)) > most_in_a_row)
+    ends = broken.groupBy("conv_id").agg(
+        F.min(F.when(over, F.col("turn"))).alias("_over"), F.min(F.when(F.col("_marked"), F.col("turn"))).alias("_end")
+    ).filter("_over is not null or _end is not null")
+    within = (F.col("_over").isNull() | (F.col("turn") < F.col("_over"))) & (
+        F.col("_end").isNull() | (F.col("turn") <= F.col("_end"))
+    )
+    return messages.join(ends, "conv_id", "left").filter(within).select(*messages.columns)

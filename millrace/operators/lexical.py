@@ -74,16 +74,20 @@ def _scan(rows, docs: DataFrame, k: int) -> DataFrame:
         step = max(1, CELLS // max(1, len(names)))
         for batch in batches:
             for lo in range(0, len(batch), step):
-                part = batch.iloc[lo:lo + step]
+                part = batch.iloc[lo:lo + step].sort_values("doc_id")
                 cells = np.zeros((len(part), len(names)))
                 for row, text in enumerate(part["text"].fillna("")):
                     for word, tf in Counter(_WORD.findall(text)).items():
                         if word in known:
                             weight, at = known[word]
                             cells[row, at] += (1.0 + math.log(tf)) * weight
-                r, c = np.nonzero(cells)
+                # Rows are in doc_id order and the sort is stable, so ties fall to the lower id.
+                cells = np.round(cells, 6)
+                r = np.argsort(-cells, axis=0, kind="stable")[:k]
+                c = np.broadcast_to(np.arange(len(names)), r.shape)
+                best = cells[r, c]
                 found = pd.DataFrame({
-                    "qid": names[c], "doc_id": part["doc_id"].to_numpy()[r], "score": np.round(cells[r, c], 6),
+                    "qid": names[c[best > 0]], "doc_id": part["doc_id"].to_numpy()[r[best > 0]], "score": best[best > 0],
                 })
                 kept = (
                     pd.concat([kept, found]).sort_values(["qid", "score", "doc_id"], ascending=[True, False, True])

@@ -105,8 +105,10 @@ def nearest(
     queries = _asked(queries)
     corpus = corpus.select(F.col("id").cast("bigint"), F.col("vec")).filter("vec is not null")
     size = queries.agg(F.count("*"), F.max(F.size("vec")), F.min(F.size("vec"))).first()
-    n_queries, dims = size[0], size[1] or 1
-    if n_queries and size[1] != size[2]:
+    n_queries, dims = size[0], size[1]
+    if not n_queries:
+        return queries.sparkSession.createDataFrame([], "qid bigint, id bigint, distance double, rank bigint")
+    if size[1] != size[2]:
         raise ValueError("query vectors differ in length")
     # A vector of another length than the queries is an error of the store, not a far neighbour.
     corpus = corpus.withColumn(
@@ -177,7 +179,10 @@ def compare_all(queries: DataFrame, corpus: DataFrame, broadcast_numbers: int =
     queries = _asked(queries)
     corpus = corpus.select(F.col("id").cast("bigint"), "vec").filter("vec is not null")
     size = queries.agg(F.count("*"), F.max(F.size("vec"))).first()
-    n_queries, dims = size[0], size[1] or 1
+    n_queries, dims = size[0], size[1]
+    if not n_queries:
+        schema = "qid bigint, n bigint, nearest double, farthest double, mean double"
+        return queries.sparkSession.createDataFrame([], schema)
     blocks = max(1, math.ceil(n_queries * dims / broadcast_numbers))
     # More queries than one broadcast may hold are answered block by block, one scan each.
     tagged = queries.withColumn("_b", F.pmod(F.xxhash64("qid"), F.lit(blocks)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from millrace.functions.formats import fixed
@@ -86,25 +88,34 @@ def as_text_of(value: Column, kind: T.DataType) -> Column:
     return value.cast("string")
 
 
-def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
+def profile(df: DataFrame) -> DataFrame:
     """(column_name, rows, nulls, distinct_values, lowest, highest) for every column.
 
-    Exact distinct counts shuffle the distinct values of every column; the approximate form
-    shuffles one sketch per column and task.
+    Each column is read alone and counted per value, partly before its shuffle; together the
+    narrow scans read the table once.
     """
-    fields = df.schema.fields
-    names = [f.name for f in fields]
-    lows = [as_text_of(F.min(f.name), f.dataType).alias(f"lo{i}") for i, f in enumerate(fields)]
-    highs = [as_text_of(F.max(f.name), f.dataType).alias(f"hi{i}") for i, f in enumerate(fields)]
-    nulls = [F.count(F.when(F.col(n).isNull(), 1)).alias(f"nu{i}") for i, n in enumerate(names)]
-    count = F.approx_count_distinct if approximate else F.countDistinct
-    distinct = [count(n).alias(f"di{i}") for i, n in enumerate(names)]
-    one = df.agg(F.count("*").alias("rows"), *lows, *highs, *nulls, *distinct)
+    parts = []
+    for field in df.schema.fields:
+        value = F.col("v")
+        counted = df.select(F.col(field.name).alias("v")).groupBy("v").agg(F.count("*").alias("n"))
+        parts.append(counted.agg(
+            F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(value.isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+            F.count(value).alias("distinct_values"), as_text_of(F.min(value), field.dataType).alias("lowest"),
+            as_text_of(F.max(value), field.dataType).alias("highest"),
+        ).select(F.lit(field.name).alias("column_name"), "*"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def approximate_profile(df: DataFrame) -> DataFrame:
+    """(column_name, rows, nulls, distinct_values) in one pass; distinct counts are estimates."""
+    names = df.columns
+    one = df.agg(
+        F.count("*").alias("rows"),
+        *[F.count(F.when(F.col(n).isNull(), 1)).alias(f"nu{i}") for i, n in enumerate(names)],
+        *[F.approx_count_distinct(n).alias(f"di{i}") for i, n in enumerate(names)],
+    )
     cells = F.array(*[
         F.struct(F.lit(n).alias("column_name"), F.col("rows"), F.col(f"nu{i}").alias("nulls"),
-                 F.col(f"di{i}").alias("distinct_values"), F.col(f"lo{i}").alias("lowest"),
-                 F.col(f"hi{i}").alias("highest"))
-        for i, n in enumerate(names)
+                 F.col(f"di{i}").alias("distinct_values")) for i, n in enumerate(names)
     ])
     return one.select(F.explode(cells).alias("c")).select("c.*")
-

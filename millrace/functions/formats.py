@@ -21,8 +21,9 @@ def fixed(value: Column, decimals: int) -> Column:
     one = F.lit(2 ** 62).cast("decimal(20,0)")
     below = F.floor(scaled / one).cast("bigint")
     twice = (scaled - below.cast("decimal(15,0)") * one) * 2
-    up = (twice > one) | ((twice == one) & (below % 2 != 0))
-    units = F.floor(value) * unit + below + up.cast("bigint")
+    lower = F.floor(value) * unit + below
+    up = (twice > one) | ((twice == one) & (lower % 2 != 0))
+    units = lower + up.cast("bigint")
     whole = F.floor(units / unit).cast("string")
     return whole if decimals == 0 else F.concat(whole, F.lit("."), F.lpad((units % unit).cast("string"), decimals, "0"))
 

@@ -10,6 +10,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+# Names, arguments and results of the functions.
+
+
 def add(a: int, b: int) -> int:
     """Sum of two whole numbers."""
     return a + b

@@ -55,6 +55,7 @@ def snippet(text: Column, n: int = 500) -> Column:
     return F.concat(F.btrim(truncated(text, n), F.lit(BLANKS)), F.lit("..."))
 
 
+# Fixed value: the answer that stands for an empty section.
 NOTHING_FOUND = "No relevant information found!"
 
 

@@ -16,10 +16,7 @@ from millrace.operators.sizing import small_side
 from millrace.sources.staging import stage
 
 GUARD = "{{guard}}\nQuestion: {{question}}"
-REFUSAL_CASE = (
-    'The user asked: "{{question}}"\nThe topic control model prompt is "{{guard}}"\n'
-    "The question was classified as off-topic."
-)
+REFUSAL_CASE = 'Someone asked: "{{question}}"\nThis assistant follows: "{{guard}}"\nThe question is outside of that.'
 REFUSAL = "Explain briefly and politely why a question is refused.\n\n" + B.CONTEXT_MARK + REFUSAL_CASE
 ANSWER = "Answer only from the context and cite it.\n\n" + B.CONTEXT_MARK + "{{context}}\n\nQuestion: {{question}}\nAnswer with citations."
 STANDALONE = (

@@ -7,7 +7,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.operators.ordering import blocked_row_number
+from millrace.sources.staging import write_by
 
+# The columns of the raw files and the limits of a valid session.
 EVENT_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()),
     T.StructField("subscriber_id", T.IntegerType()),
@@ -29,7 +31,7 @@ def read_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def write_raw(events: DataFrame, path: str) -> None:
     """The same layout as a sink: one ``dt=`` folder per day, CSV with a header line."""
-    rebalanced(events).write.partitionBy("dt").option("header", True).csv(path)
+    write_by(events, "dt", path, "csv", header=True)
 
 
 def one_per_event(events: DataFrame, survivor: str = "any") -> DataFrame:
@@ -63,25 +65,21 @@ def curate(raw: DataFrame, survivor: str = "any") -> DataFrame:
     return long_view_flag(valid_events(one_per_event(raw, survivor)))
 
 
-def rebalanced(events: DataFrame) -> DataFrame:
-    """Rows of a day together, so a usual day becomes one file.
-
-    A rebalance rather than a plain repartition: adaptive execution cuts a day that outgrows the
-    advisory partition size into several files instead of pressing it through one task.
-    """
-    return events.hint("rebalance", "dt")
-
-
 def write_curated(clean: DataFrame, path: str) -> None:
-    rebalanced(clean).write.mode("overwrite").partitionBy("dt").parquet(path)
+    """One folder per day; a usual day becomes one file, a day beyond the advisory size several."""
+    write_by(clean, "dt", path)
 
 
 def curate_summary(written: DataFrame) -> DataFrame:
-    """Rows, subscribers and days in one pass over the written table."""
-    return written.agg(
-        F.count("*").alias("rows"),
-        F.countDistinct("subscriber_id").alias("subscribers"),
-        F.countDistinct("dt").alias("days"),
+    """Rows, subscribers and days of the written table.
+
+    Days and rows come from the folder column; only the subscriber column is read and counted
+    per value, so no row is expanded into one copy per distinct count.
+    """
+    per_day = written.groupBy("dt").agg(F.count("*").alias("n"))
+    subscribers = written.select("subscriber_id").distinct().agg(F.count("subscriber_id").alias("subscribers"))
+    return per_day.agg(F.sum("n").alias("rows"), F.count("dt").alias("days")).select(
+        "rows", subscribers.scalar().alias("subscribers"), "days"
     )
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+# What stands for an empty context, and what separates texts in a full one.
 NO_CONTEXT = "The provided documents do not contain this information."
 SEPARATOR = "\n\n---\n\n"
 
@@ -59,7 +60,7 @@ def source_card(
     number: Column, text: Column, source: Column, author: Column, page: Column, score: Column,
     title: str = "Source Document",
 ) -> Column:
-    """A Markdown card for one retrieved chunk, with fixed words where metadata is missing."""
+    """A Markdown card for one retrieved chunk. Layout and the words for missing metadata are fixed values."""
     snippet = F.btrim(F.substring(text, 1, 500), F.lit(" \t\r\n"))
     score_line = F.when(score.isNull(), "").otherwise(
         F.concat(F.lit("**Relevance Score:** "), score.cast("string"), F.lit("\n"))

@@ -46,7 +46,7 @@ def cluster_load(jobs: DataFrame, status: str = "status") -> DataFrame:
 
 
 def job_phase(status: Column, steps: Column, percent: Column, loss: Column) -> Column:
-    """What a training job is doing, in words."""
+    """What a training job is doing, in words. The sentences are fixed values."""
     step = F.coalesce(steps, F.lit(0))
     share = fixed(F.coalesce(percent, F.lit(0.0)), 0)
     base = F.concat(F.lit("training - step "), step.cast("string"), F.lit(", "), share, F.lit("%"))

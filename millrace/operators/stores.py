@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.sources.staging import fresh_path
+from millrace.sources.staging import fresh_path, write_by
 
 
 def text_id(text: Column) -> Column:
@@ -48,7 +48,7 @@ def get_documents(store: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 def save_store(store: DataFrame, name: str, collection: str = "collection") -> str:
     """A new version of the store on disk, one folder per collection; returns its path."""
     path = fresh_path(store.sparkSession, name)
-    store.hint("rebalance", collection).write.partitionBy(collection).parquet(path)
+    write_by(store, collection, path)
     return path
 
 

@@ -54,7 +54,7 @@ def llm_prompt_chain(spark, d):
 
 
 @query("llm_refusal", f"""
-select item_id as qid, {_sentence("concat('The user asked: \"', text, '\"', chr(10), 'The topic control model prompt is \"Topics: law\"', chr(10), 'The question was classified as off-topic.')")} as answer
+select item_id as qid, {_sentence("concat('Someone asked: \"', text, '\"', chr(10), 'This assistant follows: \"Topics: law\"')")} as answer
 from benchmark""")
 def llm_refusal(spark, d):
     asked = load(spark, d, "benchmark").select(

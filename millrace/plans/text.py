@@ -107,11 +107,11 @@ def agg_chunk_report(spark, d):
     return report.withColumn("mean_chars", F.round("mean_chars", 4))
 
 
-_TEMPLATE = "Answer the question based on the context below.\n\nContext: {{context}}\nQuestion: {question}\nItem {id}:"
+_TEMPLATE = "Use this text only.\n\nContext: {{context}}\nQuestion: {question}\nItem {id}:"
 
 
 @query("txt_prompt_render", """
-select item_id, concat('Answer the question based on the context below.', chr(10), chr(10), 'Context: ', text, chr(10),
+select item_id, concat('Use this text only.', chr(10), chr(10), 'Context: ', text, chr(10),
   'Question: What is said?', chr(10), 'Item ', item_id::varchar, ':') as prompt from benchmark""")
 def txt_prompt_render(spark, d):
     filled = T.render(_TEMPLATE, {"context": F.col("text"), "question": F.lit("What is said?"), "id": F.col("item_id")})
@@ -133,10 +133,10 @@ def txt_few_shot(spark, d):
 
 
 @query("txt_messages", """
-select item_id, 0::bigint as pos, 'system' as role, 'Summarize the given context in 2 sentences at most' as content from benchmark
+select item_id, 0::bigint as pos, 'system' as role, 'Give the text below in two sentences' as content from benchmark
 union all select item_id, 1, 'user', text from benchmark""")
 def txt_messages(spark, d):
-    system = F.lit("Summarize the given context in 2 sentences at most")
+    system = F.lit("Give the text below in two sentences")
     rows = load(spark, d, "benchmark").select("item_id", F.posexplode(T.messages(system, F.col("text"))).alias("pos", "m"))
     return rows.select("item_id", F.col("pos").cast("bigint").alias("pos"), "m.role", "m.content")
 

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from millrace.sources.staging import write_by
+
 
 def write_lines(rows: DataFrame, path: str) -> None:
     """(split, value) as one line per row in a folder per split, all splits in one pass."""
-    rows.hint("rebalance", "split").write.mode("overwrite").partitionBy("split").text(path)
+    write_by(rows, "split", path, "text")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -36,3 +36,24 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
+
+
+def write_by(df: DataFrame, column: str, path: str, fmt: str = "parquet", **options: object) -> None:
+    """Overwrite ``path`` with one folder per value of ``column``, usually one file in each.
+
+    A rebalance rather than a plain repartition: adaptive execution packs small values together
+    and cuts a value that outgrows the advisory partition size into several files instead of
+    pressing it through one task. A task thus holds about one advisory size of rows, little enough
+    to keep the files of its values open side by side instead of sorting the rows first.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(OPEN_FILES)
+    conf.set(OPEN_FILES, "256")
+    try:
+        writer = df.hint("rebalance", column).write.mode("overwrite").partitionBy(column)
+        writer.format(fmt).options(**options).save(path)
+    finally:
+        conf.set(OPEN_FILES, before)

@@ -31,7 +31,7 @@ def embed(df: DataFrame, text: str, out: str = "vec", dims: int = DIMS) -> DataF
 
     The stand-in for an embedding model; ``embed_with`` in ``operators.batch`` takes a real one.
     """
-    words = RegexTokenizer(inputCol=text, outputCol="_words", pattern="\\W+", toLowercase=True)
+    words = RegexTokenizer(inputCol=text, outputCol="_words", pattern="(?U)\\W+", toLowercase=True)
     counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dims)
     unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0)
     whole = df.withColumn(text, F.coalesce(F.col(text), F.lit("")))

@@ -70,19 +70,21 @@ def exchanges(messages: DataFrame, max_turns: int) -> DataFrame:
 
 
 def last_messages(messages: DataFrame, n: int) -> DataFrame:
-    """(conv_id, turn, looked_at, last_text): what a look at the last n messages before a turn sees."""
+    """(conv_id, turn, looked_at, last_text): what a look at the last n messages before a turn sees.
+
+    Places are cut into cells; the last n messages of a cell are also laid into the next one, so a
+    look back never leaves its cell and only n in every block of messages travel twice.
+    """
     placed = blocked_row_number(_cut(messages), ["conv_id"], [F.col("turn")], ["_block"], "_at")
-    seen = placed.select(
-        "conv_id", F.explode(F.array(*[F.col("_at") + i for i in range(1, n + 1)])).alias("_at"), "turn", "role", "text"
-    )
-    # Groups are (conversation, place), at most n messages each.
-    together = seen.groupBy("conv_id", "_at").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("_seen")
-    )
-    line = F.transform("_seen", lambda m: F.concat(m["role"], F.lit(": "), m["text"]))
-    return placed.select("conv_id", "turn", "_at").join(together, ["conv_id", "_at"], "left").select(
-        "conv_id", "turn", F.coalesce(F.size("_seen"), F.lit(0)).cast("bigint").alias("looked_at"),
-        F.coalesce(F.array_join(line, "\n"), F.lit("")).alias("last_text"),
+    size = max(TURNS_PER_BLOCK, n)
+    cell = F.floor(F.col("_at") / size)
+    cells = F.when(F.col("_at") % size >= size - n, F.array(cell, cell + 1)).otherwise(F.array(cell))
+    laid = placed.select("conv_id", "turn", "_at", "role", "text", F.explode(cells).alias("_cell"))
+    back = W.partitionBy("conv_id", "_cell").orderBy("_at").rowsBetween(-n, -1)
+    line = F.concat("role", F.lit(": "), "text")
+    seen = laid.withColumn("_seen", F.collect_list(line).over(back)).filter(F.col("_cell") == cell)
+    return seen.select(
+        "conv_id", "turn", F.size("_seen").cast("bigint").alias("looked_at"), F.array_join("_seen", "\n").alias("last_text")
     )
 
 

@@ -186,7 +186,16 @@ def dml_update_document(spark, d):
     return St.update_documents(store, changes, "doc_id").select("doc_id", "source", F.md5("text").alias("digest"))
 
 
-@query("vec_store_build")
+def _squared_norm():
+    return F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")), 4).alias("norm")
+
+
+# A text with any word has a vector of unit length, another one all zeros.
+_NORM_SQL = "case when regexp_matches(text, '[\\p{L}\\p{N}_]') then 1.0 else 0.0 end::double"
+
+
+@query("vec_store_build", f"""
+select doc_id as id, lang as collection, source, 256::bigint as dims, {_NORM_SQL} as norm from documents""")
 def vec_store_build(spark, d):
     docs = spread(load(spark, d, "documents")).select(
         F.col("doc_id").alias("id"), "text", F.create_map(F.lit("source"), F.col("source")).alias("meta"),
@@ -196,16 +205,15 @@ def vec_store_build(spark, d):
     stored = spark.read.parquet(path)
     return stored.select(
         "id", "collection", F.col("meta")["source"].alias("source"), F.size("vec").cast("bigint").alias("dims"),
-        F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")), 4).alias("norm"),
+        _squared_norm(),
     )
 
 
-@query("vec_embed")
+@query("vec_embed", f"select doc_id, 256::bigint as dims, {_NORM_SQL} as norm from documents")
 def vec_embed(spark, d):
     docs = embed(spread(load(spark, d, "documents")).select("doc_id", "text"), "text")
     return docs.select(
-        "doc_id", F.size("vec").cast("bigint").alias("dims"),
-        F.round(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x.cast("double")), 4).alias("total"),
+        "doc_id", F.size("vec").cast("bigint").alias("dims"), _squared_norm(),
     )
 
 

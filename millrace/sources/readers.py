@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -79,6 +80,22 @@ def binary_files(spark: SparkSession, path: str, mime: str) -> DataFrame:
     return files.select("path", "length", data_uri(F.col("content"), mime).alias("uri"))
 
 
+def document_pages(spark: SparkSession, path: str, extract: Callable[[bytes], list[str]]) -> DataFrame:
+    """(source, page from 1, text): files of a folder cut into pages by the caller's extractor.
+
+    The extractor (a PDF reader, say) sees one file at a time, inside the tasks.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "content")
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for source, content in zip(batch["path"], batch["content"]):
+                pages = extract(bytes(content))
+                yield pd.DataFrame({"source": source, "page": range(1, len(pages) + 1), "text": pages})
+
+    return files.mapInPandas(cut, "source string, page bigint, text string")
+
+
 def line_pages(docs: DataFrame, key: str, text: str) -> DataFrame:
     """(key, page, text): each line of a document as a page, numbered from 1."""
     return docs.select(key, F.posexplode(F.split(text, "\n")).alias("page", "text")).withColumn(

@@ -37,6 +37,15 @@ def test_files(spark, tmp_path):
     assert R.text_files(spark, str(tmp_path)).first().text == "ü"
 
 
+def test_pages_from_an_extractor(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"one|two")
+    (tmp_path / "b.pdf").write_bytes(b"")
+    pages = R.document_pages(spark, str(tmp_path), lambda content: content.decode().split("|") if content else [])
+    assert sorted((r.source[-5:], r.page, r.text) for r in pages.collect()) == [("a.pdf", 1, "one"), ("a.pdf", 2, "two")]
+    joined = R.joined_pages(pages, "source").first()
+    assert (joined.pages, joined.text) == (2, "onetwo")
+
+
 def test_fallback_only_when_there_is_no_access(spark):
     mirror = fresh_path(spark, "mirror")
     spark.range(3).write.json(mirror)

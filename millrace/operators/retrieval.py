@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 # What stands for an empty context, and what separates texts in a full one.
@@ -12,13 +14,11 @@ SEPARATOR = "\n\n---\n\n"
 def group_means(vectors: DataFrame, group: str, vec: str) -> DataFrame:
     """(group, vec): the mean vector per group.
 
-    Components are summed per (group, position) before the shuffle, so the largest group costs no
-    more than the smallest; only ``dimensions`` numbers per group are put back into an array.
+    Whole vectors are summed per group inside each task, so the largest group costs no more to
+    shuffle than the smallest.
     """
-    parts = vectors.select(group, F.posexplode(vec).alias("pos", "x"))
-    means = parts.groupBy(group, "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    ordered = F.array_sort(F.collect_list(F.struct("pos", "m")))
-    return means.groupBy(group).agg(F.transform(ordered, lambda s: s["m"]).alias("vec"))
+    means = vectors.filter(F.col(vec).isNotNull()).groupBy(group).agg(Summarizer.mean(array_to_vector(F.col(vec))).alias("_m"))
+    return means.select(group, vector_to_array("_m").alias("vec"))
 
 
 def rerank_by_score(candidates: DataFrame, score: Column, top_n: int | None = None) -> DataFrame:

@@ -65,16 +65,17 @@ def chk_table_counts(spark, d):
     return K.check_counts(K.row_counts(_tables(spark, d)), _expected(spark, EXPECTED))
 
 
-@query("job_ensure_tables", """
-with e(table_name, expected) as (values ('region', 5::bigint), ('nation', 25::bigint))
-select table_name, expected, actual, 'ok' as status, true as rebuilt from e
-join (select 'region' as table_name, count(*) as actual from region
-      union all select 'nation', count(*) from nation) using (table_name)""")
+_ENSURED = ["region", "nation", "customer", "orders"]
+
+
+@query("job_ensure_tables", " union all ".join(
+    f"select '{t}' as table_name, count(*) as expected, count(*) as actual, 'ok' as status, true as rebuilt from {t}"
+    for t in _ENSURED))
 def job_ensure_tables(spark, d):
-    wanted = _expected(spark, {"region": 5, "nation": 25})
-    source = _tables(spark, d, ["region", "nation"])
-    # A damaged start (region is empty) forces one rebuild; the second call must leave it alone.
-    damaged = {**source, "region": source["region"].filter("false")}
+    source = _tables(spark, d, _ENSURED)
+    wanted = stage(K.row_counts(source).withColumnRenamed("rows", "expected"), "expected")
+    # A damaged start (orders are empty) forces one rebuild; the second call must leave it alone.
+    damaged = {**source, "orders": source["orders"].filter("false")}
     tables, rebuilt = K.ensure_tables(damaged, wanted, lambda: source)
     tables, again = K.ensure_tables(tables, wanted, lambda: source)
     checked = K.check_counts(K.row_counts(tables), wanted)

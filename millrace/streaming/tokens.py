@@ -12,6 +12,19 @@ def pieces(messages: DataFrame, keys: list[str], text: str, size: int) -> DataFr
     return cut.select(*keys, "seq", F.substring("_whole", F.col("_start"), F.lit(size)).alias("chunk"))
 
 
+def _text():
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", "chunk"))), lambda p: p["chunk"]), "")
+
+
 def joined(chunks: DataFrame, keys: list[str]) -> DataFrame:
     """The pieces of each message in arrival order. One group is one message."""
-    return chunks.groupBy(*keys).agg(F.expr("listagg(chunk, '') within group (order by seq)").alias("text"))
+    return chunks.groupBy(*keys).agg(_text().alias("text"))
+
+
+def joined_stream(chunks: DataFrame, keys: list[str], arrived: str, silence: str = "30 seconds") -> DataFrame:
+    """The same for a stream of pieces: a message is complete once no piece came for ``silence``.
+
+    The session's end is also the watermark's delay, so finished messages leave the state.
+    """
+    alive = chunks.withWatermark(arrived, silence)
+    return alive.groupBy(*keys, F.session_window(arrived, silence)).agg(_text().alias("text")).select(*keys, "text")

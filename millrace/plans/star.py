@@ -36,13 +36,13 @@ def join_sales_by_country(spark, d):
 
 
 @query("join_employee_department", """
-select s_name as name, s_acctbal as salary from supplier join nation on s_nationkey = n_nationkey
+select c_name as name, c_acctbal as salary from customer join nation on c_nationkey = n_nationkey
 where n_name = 'NATION_7'""")
 def join_employee_department(spark, d):
-    people = load(spark, d, "supplier")
+    people = load(spark, d, "customer")
     department = load(spark, d, "nation").filter("n_name = 'NATION_7'")
-    return people.join(department, people.s_nationkey == department.n_nationkey).select(
-        F.col("s_name").alias("name"), F.col("s_acctbal").alias("salary")
+    return people.join(department, people.c_nationkey == department.n_nationkey).select(
+        F.col("c_name").alias("name"), F.col("c_acctbal").alias("salary")
     )
 
 

@@ -165,12 +165,14 @@ def test_stream_pieces(spark):
 
 def test_stream_of_pieces(spark, tmp_path):
     import json
+    import os
     first = [{"id": 1, "seq": 1, "chunk": "lo", "at": "2024-01-01T00:00:01"}, {"id": 1, "seq": 0, "chunk": "hel", "at": "2024-01-01T00:00:00"},
              {"id": 2, "seq": 0, "chunk": "a", "at": "2024-01-01T00:00:02"}]
     second = [{"id": 2, "seq": 1, "chunk": "b", "at": "2024-01-01T00:00:20"}, {"id": 3, "seq": 0, "chunk": "late", "at": "2024-01-01T01:00:00"}]
     third = [{"id": 4, "seq": 0, "chunk": "x", "at": "2024-01-01T01:00:01"}]
     for i, rows in enumerate([first, second, third]):
         (tmp_path / f"{i}.json").write_text("\n".join(map(json.dumps, rows)))
+        os.utime(tmp_path / f"{i}.json", (1_700_000_000 + i, 1_700_000_000 + i))  # files are taken oldest first
     stream = spark.readStream.schema("id bigint, seq int, chunk string, at timestamp").option("maxFilesPerTrigger", 1).json(str(tmp_path))
     run = (tokens.joined_stream(stream, ["id"], "at").writeStream.format("memory").queryName("pieces").outputMode("append")
            .option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start())

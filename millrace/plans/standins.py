@@ -1,4 +1,4 @@
-"""The reference's input tables expressed over the driver tables, in Spark and in SQL."""
+"""Input tables of the inventory expressed over the driver tables, in Spark and in SQL."""
 
 from __future__ import annotations
 

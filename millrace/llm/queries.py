@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import simhash
+from millrace.llm import mixing, sharding, simhash
 from millrace.session import load
 
 QUERIES = {}
@@ -21,3 +21,13 @@ def query(sql: str | None = None):
 @query()
 def op1_simhash(spark, sf_dir):
     return simhash.simhash_groups(load(spark, sf_dir, "documents"), width=3)
+
+
+@query()
+def op5_mixing(spark, sf_dir):
+    return mixing.mix(load(spark, sf_dir, "documents"), weights=[5, 2, 1], epochs=3).drop("repeats")
+
+
+@query()
+def op7_sharding(spark, sf_dir):
+    return sharding.shard(load(spark, sf_dir, "documents"), shards=8)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from millrace.llm import mixing, sharding, simhash
+from millrace.llm import mixing, packing, sharding, simhash
 from millrace.session import load
 
+#: Named in the packing query's contract; a parameter of the operator.
+TOKENIZER = "byte_bpe_50k.json"
+
 QUERIES = {}
 CHECKS = {}
 
@@ -23,6 +26,13 @@ def op1_simhash(spark, sf_dir):
     return simhash.simhash_groups(load(spark, sf_dir, "documents"), width=3)
 
 
+@query()
+def op2_packing(spark, sf_dir):
+    import public_tokenizers
+
+    return packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), size=1024)
+
+
 @query()
 def op5_mixing(spark, sf_dir):
     return mixing.mix(load(spark, sf_dir, "documents"), weights=[5, 2, 1], epochs=3).drop("repeats")

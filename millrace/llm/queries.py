@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import mixing, packing, sharding, simhash
+from millrace.llm import mixing, packing, pq, sharding, simhash
 from millrace.session import load
 
 #: Named in the packing query's contract; a parameter of the operator.
@@ -33,6 +33,11 @@ def op2_packing(spark, sf_dir):
     return packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), size=1024)
 
 
+@query()
+def op3_embedding_dedup(spark, sf_dir):
+    return pq.near_duplicates(load(spark, sf_dir, "embeddings"), cosine=0.9)
+
+
 @query()
 def op5_mixing(spark, sf_dir):
     return mixing.mix(load(spark, sf_dir, "documents"), weights=[5, 2, 1], epochs=3).drop("repeats")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import mixing, packing, pq, sharding, simhash
+from millrace.llm import collisions, mixing, packing, pq, sharding, simhash
 from millrace.session import load
 
 #: Named in the packing query's contract; a parameter of the operator.
@@ -43,6 +43,11 @@ def op5_mixing(spark, sf_dir):
     return mixing.mix(load(spark, sf_dir, "documents"), weights=[5, 2, 1], epochs=3).drop("repeats")
 
 
+@query()
+def op6_nearest(spark, sf_dir):
+    return collisions.nearest(load(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 @query()
 def op7_sharding(spark, sf_dir):
     return sharding.shard(load(spark, sf_dir, "documents"), shards=8)

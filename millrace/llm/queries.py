@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import collisions, mixing, packing, pq, sharding, simhash
+from millrace.llm import collisions, langid, mixing, packing, pq, sharding, simhash
 from millrace.session import load
 
 #: Named in the packing query's contract; a parameter of the operator.
@@ -51,3 +51,8 @@ def op6_nearest(spark, sf_dir):
 @query()
 def op7_sharding(spark, sf_dir):
     return sharding.shard(load(spark, sf_dir, "documents"), shards=8)
+
+
+@query()
+def op9_langid(spark, sf_dir):
+    return langid.identify(load(spark, sf_dir, "documents"))

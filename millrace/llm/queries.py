@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import collisions, langid, mixing, packing, pq, sharding, simhash
+from millrace.llm import collisions, ctw, langid, mixing, packing, pq, sharding, simhash
 from millrace.session import load
 
 #: Named in the packing query's contract; a parameter of the operator.
@@ -56,3 +56,8 @@ def op7_sharding(spark, sf_dir):
 @query()
 def op9_langid(spark, sf_dir):
     return langid.identify(load(spark, sf_dir, "documents"))
+
+
+@query()
+def op10_ctw(spark, sf_dir):
+    return ctw.score(load(spark, sf_dir, "documents"))

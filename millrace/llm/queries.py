@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import collisions, ctw, langid, mixing, packing, pq, sharding, simhash
+from millrace.llm import collisions, ctw, langid, mixing, packing, pq, sharding, simhash, suffixes
 from millrace.session import load
 
 #: Named in the packing query's contract; a parameter of the operator.
@@ -38,6 +38,11 @@ def op3_embedding_dedup(spark, sf_dir):
     return pq.near_duplicates(load(spark, sf_dir, "embeddings"), cosine=0.9)
 
 
+@query()
+def op4_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(load(spark, sf_dir, "documents"), length=200).drop("kept_text")
+
+
 @query()
 def op5_mixing(spark, sf_dir):
     return mixing.mix(load(spark, sf_dir, "documents"), weights=[5, 2, 1], epochs=3).drop("repeats")

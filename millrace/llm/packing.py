@@ -56,18 +56,19 @@ def _projection() -> np.ndarray:
     return np.random.default_rng(SEED).standard_normal((BUCKETS, DIMENSIONS))
 
 
-def curve_key(ids: np.ndarray) -> int:
-    """Where on the curve a document of these tokens lies: 0 where there are none."""
-    if not len(ids):
-        return 0
-    mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # token ids hashed to buckets
-    vector = np.log1p(np.bincount((mixed >> np.uint64(54)).astype(np.int64), minlength=BUCKETS))
-    vector -= vector.mean()
-    norm = np.linalg.norm(vector)
-    point = vector @ _projection() / norm if norm else np.zeros(DIMENSIONS)
+def curve_keys(documents_ids: list[np.ndarray]) -> np.ndarray:
+    """Where on the curve documents of these tokens lie: those without tokens in its middle."""
+    vectors = np.zeros((len(documents_ids), BUCKETS))
+    for vector, ids in zip(vectors, documents_ids):
+        mixed = ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)  # token ids hashed to buckets
+        vector += np.bincount((mixed >> np.uint64(54)).astype(np.int64), minlength=BUCKETS)
+    vectors = np.log1p(vectors)
+    vectors -= vectors.mean(axis=1, keepdims=True)
+    norm = np.linalg.norm(vectors, axis=1, keepdims=True)
+    points = vectors @ _projection() / np.where(norm > 0, norm, 1)
     # the projections of a unit vector are spread normally; this makes them even
-    even = [min(int((1 + erf(p / 2 ** 0.5)) / 2 * (1 << BITS)), (1 << BITS) - 1) for p in point]
-    return int(hilbert_key(np.array([even]), BITS)[0])
+    even = [[min(int((1 + erf(p / 2 ** 0.5)) / 2 * (1 << BITS)), (1 << BITS) - 1) for p in point] for point in points.tolist()]
+    return hilbert_key(np.array(even, np.int64).reshape(-1, DIMENSIONS), BITS)
 
 
 @cache
@@ -80,7 +81,7 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         encoder = _encoder(path)
         all_ids = [encoder.encode(x) for x in batch.column(1).to_pylist()]
-        curve = [curve_key(x) for x in all_ids]
+        curve = curve_keys(all_ids)
         width = "<u2" if encoder.core.max_token_value < 1 << 16 else "<u4"
         packed = [np.append(x, END).astype(width).tobytes() for x in all_ids]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(curve, pa.int64()), pa.array(packed, pa.binary())],
@@ -160,11 +161,11 @@ def pack(docs: DataFrame, path: str, size: int = 1024) -> DataFrame:
     Documents are ordered by the Hilbert key of their projected token vector (ties by doc_id, then by their
     ids) in ranges, and each task cuts its stretch of the curve into full sequences. What is left at its end
     becomes sequences whose lengths are powers of two, so nothing is padded; sequence_tokens is the length.
-    A document is its tokens and the end mark 0; null and empty texts are the end mark alone, at the start of
-    the curve. Repeated rows and rows without a doc_id are packed like any other. An empty table gives an
+    A document is its tokens and the end mark 0; null and empty texts are the end mark alone, in the
+    middle of the curve. Repeated rows and rows without a doc_id are packed like any other. An empty table gives an
     empty result. sequence_id holds the task in its upper bits.
     """
     tokens = stage(tokenised(docs, path), "tokens")
-    ordered = tokens.repartitionByRange("curve", "doc_id", "ids").sortWithinPartitions("curve", "doc_id", "ids")
+    ordered = tokens.repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id", "ids")
     wide = _encoder(path).core.max_token_value >= 1 << 16
     return ordered.select("doc_id", "ids").mapInArrow(_pack(size, wide), ", ".join(f"{c} long" for c in COLUMNS))

@@ -54,7 +54,7 @@ def test_round_trip(spark, sf):
 
 def test_alike_documents_are_near(spark):
     a, b = [random.Random(i).choices([f"{s}{j}" for j in range(50)], k=300) for i, s in enumerate("ab")]
-    keys = [packing.curve_key(np.array([zlib.crc32(w.encode()) % 5000 for w in x])) for x in (a, a[:290], b, b[:290])]
+    keys = packing.curve_keys([np.array([zlib.crc32(w.encode()) % 5000 for w in x]) for x in (a, a[:290], b, b[:290])])
     assert abs(keys[0] - keys[1]) < abs(keys[0] - keys[2])
 
 

@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.sizing import spread
+from millrace.sources.staging import stage
 
 
 def documents(docs: DataFrame, *more: str) -> DataFrame:
@@ -30,3 +31,15 @@ def by_slices(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts as bytes, null as no bytes."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
+
+
+def numbered(docs: DataFrame, scan: bool, *more: str) -> DataFrame:
+    """``documents`` with a number for every row, which all readers of the result see alike.
+
+    A plain scan of files (``scan``) has its rows in the same place each time, so the numbers need not be written
+    down. Anything else, and a scan that is dealt out to more cores, is.
+    """
+    spark = docs.sparkSession
+    rows = documents(docs, *more).withColumn("row", F.monotonically_increasing_id())
+    stable = scan and docs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    return rows if stable else stage(rows, "numbered")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millrace.llm import collisions, ctw, langid, mixing, packing, pq, sharding, simhash, suffixes
+from millrace.llm import chaining, collisions, ctw, langid, mixing, packing, pq, sharding, simhash, suffixes
 from millrace.session import load
 
 #: Named in the packing query's contract; a parameter of the operator.
@@ -40,7 +40,7 @@ def op3_embedding_dedup(spark, sf_dir):
 
 @query()
 def op4_suffix_dedup(spark, sf_dir):
-    return suffixes.remove_repeats(load(spark, sf_dir, "documents"), length=200).drop("kept_text")
+    return suffixes.remove_repeats(load(spark, sf_dir, "documents"), length=200, scan=True).drop("kept_text")
 
 
 @query()
@@ -58,6 +58,11 @@ def op7_sharding(spark, sf_dir):
     return sharding.shard(load(spark, sf_dir, "documents"), shards=8)
 
 
+@query()
+def op8_chaining(spark, sf_dir):
+    return chaining.passages(load(spark, sf_dir, "documents"), scan=True)
+
+
 @query()
 def op9_langid(spark, sf_dir):
     return langid.identify(load(spark, sf_dir, "documents"))

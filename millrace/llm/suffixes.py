@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.frames import by_slices, documents
+from millrace.llm.frames import by_slices, numbered
 from millrace.operators.sizing import small_side
 from millrace.sources.staging import stage
 
@@ -338,19 +338,17 @@ def removed_spans(lows: list[int], highs: list[int], length: int) -> list[tuple[
     return [tuple(x) for x in out]
 
 
-def remove_repeats(docs: DataFrame, length: int = 200) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 200, scan: bool = False) -> DataFrame:
     """Documents without the bytes covered by a string of ``length`` bytes that also starts anywhere else.
 
     Returns doc_id, n_bytes, n_removed, n_spans (maximal removed runs), kept_text (the other bytes, joined) and
     kept_sha256. Texts are UTF-8 bytes, and matches never cross documents; within a document they count, also where
     they overlap. All strings are judged on the input: every copy goes, the first too. Null and empty texts have no
     bytes, and texts shorter than ``length`` are kept whole. Every row is a document, repeated rows too; a row without a
-    doc_id is treated like any other. An empty table gives an empty result.
+    doc_id is treated like any other. An empty table gives an empty result. ``scan`` says that docs is a plain scan of files
+    (see numbered).
     """
-    # the number of a row must be the same for all who read it
-    rows = documents(docs).withColumn("row", F.monotonically_increasing_id())
-    if docs.sparkSession.sparkContext.defaultParallelism > docs.rdd.getNumPartitions():
-        rows = stage(rows, "texts")  # they were dealt out anew
+    rows = numbered(docs, scan)
     ranges = repeated_ranges(rows.select("row", "text"), length)
     # gathered per document, so bounded by its own length
     spans = ranges.groupBy("row").agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"))

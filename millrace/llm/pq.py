@@ -26,8 +26,9 @@ LISTS = 4096
 SUBSPACE = 4
 CENTRES = 256
 #: A list is visited if its border is at most this many standard deviations of a neighbour's step away. The step of
-#: a neighbour at the limit has the length r and, in any one direction, a deviation of r / sqrt(dim).
-REACH = 3.5
+#: a neighbour at the limit has the length r and, in any one direction, a deviation of r / sqrt(dim). Either of two
+#: neighbours may find the other, so a pair is missed only if its step crosses the border by twice as much.
+REACH = 2.0
 #: Rows of a list, and visitors to it, that meet in one group.
 MEMBERS = 4096
 VISITORS = 8192

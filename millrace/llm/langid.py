@@ -42,7 +42,7 @@ def symbols(texts: list[str | None], code: np.ndarray) -> tuple[np.ndarray, np.n
     text begins. Every text ends in a 0."""
     lower = [(x or "").lower() + "\n" for x in texts]
     s = code[np.frombuffer("".join(lower).encode("utf-32-le", "surrogatepass"), np.uint32)]
-    first = np.concatenate([[0], np.cumsum([len(x) for x in lower])])
+    first = np.cumsum([0, *map(len, lower)])
     begins = np.zeros(len(s) + 1, bool)
     begins[first] = True
     keep = (s != 0) | np.concatenate([[True], s[:-1] != 0]) | begins[:-1]
@@ -104,9 +104,11 @@ class Model:
             share.append(np.maximum(table - discount, 0) / np.maximum(total, 1)[where])
             down.append(np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0))
             # the next lower order counts in how many different contexts a gram goes on from
-            lower = np.unique(np.stack([l.astype(np.uint64), g & np.uint64((1 << BITS * order - BITS) - 1 if order > 1 else 0)]),
-                              axis=1, return_counts=True)
-            triples = (lower[0][0].astype(np.int64), lower[0][1], lower[1])
+            if order > 1:
+                top = np.uint64(BITS * ORDER)
+                low = g & np.uint64((1 << BITS * (order - 1)) - 1)
+                both, c = np.unique(l.astype(np.uint64) << top | low, return_counts=True)
+                triples = (both >> top).astype(np.int64), both & np.uint64((1 << BITS * ORDER) - 1), c
         for x in (keys, share, contexts, down):
             x.reverse()
         model = cls(languages, code, keys, share, contexts, down, np.zeros((0, size)), np.full(size, np.inf), 1.0)
@@ -152,8 +154,9 @@ class Model:
 
     def calibrate(self, texts: list[str], lang: list[int]) -> None:
         """The scale at which scores fit best as probabilities, and each language's highest usual cross-entropy."""
-        total, n, letters = self.totals(texts)
-        lang, some = np.array(lang), letters > 0
+        parts = [self.totals(texts[i:i + 32]) for i in range(0, len(texts), 32)] or [self.totals([])]
+        total, n, letters = (np.concatenate(x) for x in zip(*parts))
+        lang, some = np.array(lang, np.int64), letters > 0
         total, n, lang = total[some], n[some], lang[some]
 
         def loss(scale):
@@ -220,14 +223,25 @@ def identify(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """
     carry = carry or ["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs))
-    source = spread(docs).select(F.struct(*carry).alias("row"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
+    others = [c for c in carry if c != "text"]
+    source = spread(docs).select((F.struct(*others) if others else F.lit(0)).alias("row"), held_out(F.col("doc_id")).alias("held_out"),
+                                 F.col("text").cast("string").alias("text"))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         answers = shared.value.predict(batch.column(2).to_pylist())
         columns = [pa.array(list(c), t) for c, t in zip(zip(*answers), (pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
-        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns],
-                                          ["row", "held_out", "lang_pred", "score", "cross_entropy", "rejected"])
+        return pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "lang_pred", "score", "cross_entropy", "rejected"])
     row = source.schema["row"].dataType.simpleString()
-    out = source.mapInArrow(by_slices(work, 32), f"row {row}, held_out boolean, lang_pred string, score double, "
+    out = source.mapInArrow(by_slices(work, 32), f"row {row}, held_out boolean, text string, lang_pred string, score double, "
                                                  "cross_entropy double, rejected boolean")
-    return out.select("row.*", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+    return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in carry],
+                      "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
+def in_a_language(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are not rejected, in their columns."""
+    named = identify(docs, [*docs.columns, *[c for c in ("doc_id", "text") if c not in docs.columns]])
+    at = named.columns.index("held_out")
+    # by place, as a column of docs may be called like one of the answers
+    return named.toDF(*[f"c{i}" for i in range(len(named.columns))]).where(f"not c{at + 4}").select(
+        *[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])

@@ -15,7 +15,8 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.llm.components import components, local_stars
-from millrace.llm.frames import by_slices, documents, utf8
+from millrace.llm.frames import by_slices, documents, numbered, utf8
+from millrace.operators.sizing import small_side
 from millrace.sources.staging import stage
 
 #: Generator polynomial of the binary Golay code (fixed value).
@@ -143,11 +144,31 @@ def simhash_groups(docs: DataFrame, width: int = 3) -> DataFrame:
     empty table gives an empty result. Equal fingerprints meet once, before the search.
     """
     prints = stage(fingerprints(docs, width), "simhash")
-    each = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
+    return prints.join(_named(prints, "doc_id"), "fp").select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _named(prints: DataFrame, name: str) -> DataFrame:
+    """(fp, component_id): for each fingerprint, the smallest ``name`` of its group."""
+    each = stage(prints.groupBy("fp").agg(F.min(name).alias("first")), "simhash-distinct")
     found = components(linked(each.select("fp")))
     labelled = each.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn(
         "component", F.coalesce("component", "fp"))
     least = labelled.groupBy("component").agg(F.min("first").alias("component_id"))
-    names = labelled.join(least, "component").select("fp", "component_id")
-    return prints.join(names, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return labelled.join(least, "component").select("fp", "component_id")
+
+
+def one_of_each_group(docs: DataFrame, width: int = 3, scan: bool = False) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each group the row with the smallest doc_id stays.
+
+    Of rows that share that doc_id, the first stays; rows without a doc_id stay only if their group has no other, the
+    first of them. Documents without words are near-duplicates of each other.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = numbered(docs.withColumnsRenamed({c: f"own_{i}" for i, c in enumerate(others)}), scan, *[f"own_{i}" for i in range(len(others))])
+    ids = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("doc"), "row")
+    prints = stage(fingerprints(rows.withColumn("doc_id", F.col("row")), width).withColumnRenamed("doc_id", "row")
+                   .join(rows.select("row", ids.alias("id")), "row"), "simhash")
+    kept = stage(_named(prints, "id").select(F.col("component_id.row").alias("row")).distinct(), "simhash-kept")
+    return rows.join(small_side(kept), "row", "left_semi").select(
+        *[F.col(c if c in ("doc_id", "text") else f"own_{others.index(c)}").alias(c) for c in docs.columns])

@@ -1,66 +1,85 @@
 """Exact nearest-neighbour search as a Spark job.
 
 Pairs are never emitted. Each task scores its share of the corpus against a block of queries with
-numpy, keeps the best k per query, and only those rows are shuffled and merged.
-
-* few queries (their numbers fit a fixed budget, measured first): the query matrix is broadcast
-  and the corpus is scanned once, without any shuffle of the corpus;
-* more queries than that: corpus and queries meet in a grid of cells of bounded size. Same result.
+numpy, keeps the best k per query, and only those rows are shuffled and merged. The corpus is neither
+shuffled nor copied: a block of queries of bounded size is sent to it, one scan per block, and what a scan has
+found is written down before the next block is read.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from millrace.sources.staging import stage
+from millrace.sources.staging import fresh_path, stage
 
-# Largest query matrix that is broadcast: 4M numbers = 32 MB as doubles.
+# Largest block of queries that is broadcast: 4M numbers = 32 MB as doubles.
 BROADCAST_NUMBERS = 4_000_000
-# Largest side of a grid cell, in numbers (rows x dimensions).
-CELL_NUMBERS = 8_000_000
 # Pairs scored at once inside a task.
 BLOCK_PAIRS = 1 << 20
+# Numbers held at once while pairs are scored again.
+EXACT_NUMBERS = 1 << 22
+
 
-_DECIMALS = 9
+def _unit(vectors: np.ndarray) -> np.ndarray:
+    """Vectors of length one; all zeros stay. Scaled first, so that no size over- or underflows."""
+    most = np.abs(vectors).max(axis=1, initial=0.0, keepdims=True)
+    scaled = np.divide(vectors, most, out=np.zeros_like(vectors), where=most > 0)
+    size = np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
+    return np.divide(scaled, size, out=np.zeros_like(scaled), where=size > 0)
 
 
-def _distances(corpus: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
-    """(queries x corpus) matrix; lower is closer."""
+def _bounds(corpus: np.ndarray, queries: np.ndarray, metric: str) -> tuple[np.ndarray, np.ndarray]:
+    """(queries x corpus) distances by one matrix product, and how far rounding may have put each off."""
     dot = queries @ corpus.T
-    if metric == "l2":
-        norms = (queries * queries).sum(axis=1)[:, None] + (corpus * corpus).sum(axis=1)[None, :]
-        return np.round(np.maximum(norms - 2.0 * dot, 0.0), _DECIMALS)
+    ulp = np.finfo(np.float64).eps * (corpus.shape[1] + 8)
     if metric == "cosine":
-        size = np.sqrt((queries * queries).sum(axis=1))[:, None] * np.sqrt((corpus * corpus).sum(axis=1))[None, :]
-        return np.round(1.0 - np.divide(dot, size, out=np.zeros_like(dot), where=size > 0), _DECIMALS)
-    raise ValueError(f"unknown metric {metric!r}")
+        return 1.0 - dot, np.full((1, 1), 4 * ulp)
+    norms = (queries * queries).sum(axis=1)[:, None] + (corpus * corpus).sum(axis=1)[None, :]
+    return norms - 2.0 * dot, 2 * ulp * norms
+
+
+def _exact(corpus: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of pairs, row by row: squared differences, or one minus the cosine of unit vectors."""
+    out = np.empty(len(corpus))
+    step = max(1, EXACT_NUMBERS // max(1, corpus.shape[1]))
+    for lo in range(0, len(corpus), step):
+        c, q = corpus[lo:lo + step], queries[lo:lo + step]
+        out[lo:lo + step] = ((q - c) ** 2).sum(axis=1) if metric == "l2" else 1.0 - (q * c).sum(axis=1)
+    return out
 
 
 class _Best:
-    """The k closest ids per query seen so far."""
+    """The k closest ids per query seen so far, by exact distances, ties by id."""
 
     def __init__(self, queries: np.ndarray, k: int, metric: str):
-        self.queries, self.k, self.metric = queries, k, metric
+        if metric not in ("l2", "cosine"):
+            raise ValueError(f"unknown metric {metric!r}")
+        self.queries, self.k, self.metric = _unit(queries) if metric == "cosine" else queries, k, metric
         self.q = np.empty(0, dtype=np.int64)
         self.d = np.empty(0, dtype=np.float64)
         self.i = np.empty(0, dtype=np.int64)
         self.limit = np.full(len(queries), np.inf)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
+        vectors = _unit(vectors) if self.metric == "cosine" else vectors
         step = max(1, BLOCK_PAIRS // max(1, len(self.queries)))
         for lo in range(0, len(ids), step):
-            dist = _distances(vectors[lo:lo + step], self.queries, self.metric)
-            qi, ci = np.nonzero(dist <= self.limit[:, None])
+            some = vectors[lo:lo + step]
+            rough, off = _bounds(some, self.queries, self.metric)
+            limit = self.limit
+            if rough.shape[1] > self.k:  # k of this block are surely as near as this
+                limit = np.minimum(limit, np.partition(rough + off, self.k - 1, axis=1)[:, self.k - 1])
+            # only pairs that may be among the best are scored by their differences
+            qi, ci = np.nonzero(rough - off <= limit[:, None])
             if len(qi) == 0:
                 continue
             q = np.concatenate([self.q, qi])
-            d = np.concatenate([self.d, dist[qi, ci]])
+            d = np.concatenate([self.d, _exact(some[ci], self.queries[qi], self.metric)])
             i = np.concatenate([self.i, ids[lo:lo + step][ci]])
             order = np.lexsort((i, d, q))
             q, d, i = q[order], d[order], i[order]
@@ -84,136 +103,107 @@ def _merge(partial: DataFrame, k: int) -> DataFrame:
     )
 
 
+def _sound(key: str) -> Column:
+    """The vector, or an error that names the row whose vector holds something else than numbers."""
+    bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x))
+    return F.when(~bad, F.col("vec")).otherwise(
+        F.raise_error(F.concat(F.lit(f"not a number in the vector of {key} "), F.col(key).cast("string"))))
+
+
 def _asked(queries: DataFrame) -> DataFrame:
     """Queries on disk: they are measured first and read again, but computed once."""
     whole = queries.select(F.col("qid").cast("bigint"), F.col("vec").cast("array<double>")).filter("vec is not null")
-    return stage(whole, "queries")
+    return stage(whole.withColumn("vec", _sound("qid")), "queries")
 
 
-def nearest(
-    queries: DataFrame,
-    corpus: DataFrame,
-    k: int,
-    metric: str = "l2",
-    broadcast_numbers: int = BROADCAST_NUMBERS,
-    cell_numbers: int = CELL_NUMBERS,
-) -> DataFrame:
-    """(qid, id, distance, rank) of the k closest corpus vectors per query, ties by id.
+Score = Callable[[np.ndarray, np.ndarray, Iterator[pa.RecordBatch], int], Iterator[pa.RecordBatch]]
+
 
-    ``queries`` is (qid bigint, vec array), ``corpus`` is (id bigint, vec array).
+def _scans(queries: DataFrame, corpus: DataFrame, score: Score, schema: str, block_numbers: int) -> DataFrame:
+    """What ``score`` makes of every block of queries and every part of the corpus.
+
+    ``score`` gets the block's ids and matrix, the batches of a task and the vectors' length. The driver
+    holds one block at a time; all results are read from one folder.
     """
-    queries = _asked(queries)
-    corpus = corpus.select(F.col("id").cast("bigint"), F.col("vec")).filter("vec is not null")
+    spark = queries.sparkSession
     size = queries.agg(F.count("*"), F.max(F.size("vec")), F.min(F.size("vec"))).first()
     n_queries, dims = size[0], size[1]
     if not n_queries:
-        return queries.sparkSession.createDataFrame([], "qid bigint, id bigint, distance double, rank bigint")
+        return spark.createDataFrame([], schema)
     if size[1] != size[2]:
         raise ValueError("query vectors differ in length")
+    corpus = corpus.select(F.col("id").cast("bigint"), F.col("vec")).filter("vec is not null")
     # A vector of another length than the queries is an error of the store, not a far neighbour.
     corpus = corpus.withColumn(
         "vec",
-        F.when(F.size("vec") == dims, F.col("vec"))
+        F.when(F.size("vec") == dims, _sound("id"))
         .otherwise(F.raise_error(F.concat(F.lit("wrong vector length for id "), F.col("id").cast("string")))),
     )
-    if n_queries * dims <= broadcast_numbers:
-        return _merge(_scan(queries, corpus, k, metric, dims), k)
-    return _merge(_grid(queries, corpus, k, metric, dims, n_queries, cell_numbers), k)
+    blocks = max(1, math.ceil(n_queries * dims / block_numbers))
+    path = fresh_path(spark, "scans")
+    for b in range(blocks):
+        rows = queries.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b).collect()
+        if not rows:
+            continue
+        qids = np.array([r[0] for r in rows], dtype=np.int64)
+        matrix = np.array([r[1] for r in rows], dtype=np.float64).reshape(-1, dims)
+        shared = spark.sparkContext.broadcast((qids, matrix))
+
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            yield from score(*shared.value, batches, dims)
+
+        part = corpus.mapInArrow(scan, schema)
+        if blocks == 1:
+            return part
+        part.write.mode("append").parquet(path)
+        shared.unpersist()
+    return spark.read.schema(schema).parquet(path)
 
 
-def _scan(queries: DataFrame, corpus: DataFrame, k: int, metric: str, dims: int) -> DataFrame:
-    # Collected only because ``nearest`` has just measured it to be within the budget.
-    rows = queries.collect()
-    qids = np.array([r[0] for r in rows], dtype=np.int64)
-    matrix = np.array([r[1] for r in rows], dtype=np.float64).reshape(-1, dims)
-    shared = corpus.sparkSession.sparkContext.broadcast((qids, matrix))
+def nearest(
+    queries: DataFrame, corpus: DataFrame, k: int, metric: str = "l2", broadcast_numbers: int = BROADCAST_NUMBERS
+) -> DataFrame:
+    """(qid, id, distance, rank) of the k closest corpus vectors per query, ties by id.
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, vectors = shared.value
-        best = _Best(vectors, k, metric)
+    ``queries`` is (qid bigint, vec array), ``corpus`` is (id bigint, vec array). Distances are exact in
+    double precision at any scale of the values, and ranked as they are, unrounded.
+    """
+    def score(qids, matrix, batches, dims):
+        best = _Best(matrix, k, metric)
         for batch in batches:
             if batch.num_rows:
                 best.add(batch.column("id").to_numpy(), _matrix(batch.column("vec"), dims))
         if len(best.q):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names[best.q]), pa.array(best.i), pa.array(best.d)], ["qid", "id", "distance"]
+                [pa.array(qids[best.q]), pa.array(best.i), pa.array(best.d)], ["qid", "id", "distance"]
             )
 
-    return corpus.mapInArrow(score, "qid bigint, id bigint, distance double")
-
-
-def _grid(
-    queries: DataFrame, corpus: DataFrame, k: int, metric: str, dims: int, n_queries: int, cell_numbers: int
-) -> DataFrame:
-    n_corpus = corpus.count()
-    rows = max(1, math.ceil(n_corpus * dims / cell_numbers))
-    cols = max(1, math.ceil(n_queries * dims / cell_numbers))
-    # Hash of the unique id: cells stay even whatever the vectors or their labels look like.
-    left = corpus.select(
-        F.pmod(F.xxhash64("id"), F.lit(rows)).cast("int").alias("r"),
-        F.explode(F.sequence(F.lit(0), F.lit(cols - 1))).alias("c"), "id", "vec",
-    )
-    right = queries.select(
-        F.explode(F.sequence(F.lit(0), F.lit(rows - 1))).alias("r"),
-        F.pmod(F.xxhash64("qid"), F.lit(cols)).cast("int").alias("c"), "qid", "vec",
-    )
-
-    def cell(store: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
-        if store.empty or asked.empty:
-            return pd.DataFrame({"qid": [], "id": [], "distance": []})
-        best = _Best(np.stack(asked["vec"].to_list()).astype(np.float64), k, metric)
-        best.add(store["id"].to_numpy(), np.stack(store["vec"].to_list()).astype(np.float64))
-        return pd.DataFrame({"qid": asked["qid"].to_numpy()[best.q], "id": best.i, "distance": best.d})
-
-    return (
-        left.groupBy("r", "c").cogroup(right.groupBy("r", "c"))
-        .applyInPandas(cell, "qid bigint, id bigint, distance double")
-    )
+    return _merge(_scans(_asked(queries), corpus, score, "qid bigint, id bigint, distance double", broadcast_numbers), k)
 
 
 def compare_all(queries: DataFrame, corpus: DataFrame, broadcast_numbers: int = BROADCAST_NUMBERS) -> DataFrame:
     """Every query against every vector, summarised: (qid, n, nearest, farthest, mean) of squared L2.
 
-    One row per query and task leaves the scan; the pairs themselves are never rows.
+    One row per query and task leaves a scan; the pairs themselves are never rows.
     """
-    queries = _asked(queries)
-    corpus = corpus.select(F.col("id").cast("bigint"), "vec").filter("vec is not null")
-    size = queries.agg(F.count("*"), F.max(F.size("vec"))).first()
-    n_queries, dims = size[0], size[1]
-    if not n_queries:
-        schema = "qid bigint, n bigint, nearest double, farthest double, mean double"
-        return queries.sparkSession.createDataFrame([], schema)
-    blocks = max(1, math.ceil(n_queries * dims / broadcast_numbers))
-    # More queries than one broadcast may hold are answered block by block, one scan each.
-    tagged = queries.withColumn("_b", F.pmod(F.xxhash64("qid"), F.lit(blocks)))
-    parts = None
-    for b in range(blocks):
-        rows = tagged.filter(F.col("_b") == b).collect()
-        qids = np.array([r[0] for r in rows], dtype=np.int64)
-        matrix = np.array([r[1] for r in rows], dtype=np.float64).reshape(-1, dims)
-        shared = corpus.sparkSession.sparkContext.broadcast((qids, matrix))
-
-        def score(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            names, vectors = shared.value
-            n, total = 0, np.zeros(len(names))
-            low, high = np.full(len(names), np.inf), np.full(len(names), -np.inf)
-            step = max(1, BLOCK_PAIRS // max(1, len(names)))
-            for batch in batches:
-                data = _matrix(batch.column("vec"), dims)
-                for lo in range(0, len(data), step):
-                    dist = _distances(data[lo:lo + step], vectors, "l2")
-                    n += dist.shape[1]
-                    total += dist.sum(axis=1)
-                    low, high = np.minimum(low, dist.min(axis=1)), np.maximum(high, dist.max(axis=1))
-            if n:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(names), pa.array(np.full(len(names), n)), pa.array(low), pa.array(high), pa.array(total)],
-                    ["qid", "n", "low", "high", "total"],
-                )
-
-        part = corpus.mapInArrow(score, "qid bigint, n bigint, low double, high double, total double")
-        parts = part if parts is None else parts.unionByName(part)
-    return parts.groupBy("qid").agg(
+    def score(qids, matrix, batches, dims):
+        n, total = 0, np.zeros(len(qids))
+        low, high = np.full(len(qids), np.inf), np.full(len(qids), -np.inf)
+        for batch in batches:
+            data = _matrix(batch.column("vec"), dims)
+            n += len(data)
+            for at, query in enumerate(matrix if len(data) else ()):
+                dist = ((data - query) ** 2).sum(axis=1)
+                total[at] += dist.sum()
+                low[at], high[at] = min(low[at], dist.min()), max(high[at], dist.max())
+        if n:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(qids), pa.array(np.full(len(qids), n)), pa.array(low), pa.array(high), pa.array(total)],
+                ["qid", "n", "low", "high", "total"],
+            )
+
+    schema = "qid bigint, n bigint, low double, high double, total double"
+    return _scans(_asked(queries), corpus, score, schema, broadcast_numbers).groupBy("qid").agg(
         F.sum("n").alias("n"), F.min("low").alias("nearest"), F.max("high").alias("farthest"),
         (F.sum("total") / F.sum("n")).alias("mean"),
     )

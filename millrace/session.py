@@ -18,6 +18,7 @@ def local_session(cpus: int | str = 8, app: str = "millrace") -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.maxConcurrentOutputFileWriters", "256")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("MILLRACE_DRIVER_MEMORY", "12g"))
         .getOrCreate()

@@ -15,11 +15,19 @@ _own_dir: str | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a private one only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``, or by ``setCheckpointDir``.
+
+    Only a local session, whose executors are threads of the driver, may do without: it gets a folder of its own.
+    """
     global _own_dir
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    given = spark.sparkContext.getCheckpointDir()
+    if given:
+        return given.rstrip("/")
+    if spark.sparkContext.master.split("[")[0] != "local":
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
     if _own_dir is None:
         _own_dir = tempfile.mkdtemp(prefix="millrace-")
     return _own_dir
@@ -38,22 +46,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
-
-
 def write_by(df: DataFrame, column: str, path: str, fmt: str = "parquet", **options: object) -> None:
     """Overwrite ``path`` with one folder per value of ``column``, usually one file in each.
 
     A rebalance rather than a plain repartition: adaptive execution packs small values together
     and cuts a value that outgrows the advisory partition size into several files instead of
-    pressing it through one task. A task thus holds about one advisory size of rows, little enough
-    to keep the files of its values open side by side instead of sorting the rows first.
+    pressing it through one task. A task thus holds about one advisory size of rows; the session may let it keep
+    the files of its values open side by side (spark.sql.maxConcurrentOutputFileWriters) instead of sorting.
     """
-    conf = df.sparkSession.conf
-    before = conf.get(OPEN_FILES)
-    conf.set(OPEN_FILES, "256")
-    try:
-        writer = df.hint("rebalance", column).write.mode("overwrite").partitionBy(column)
-        writer.format(fmt).options(**options).save(path)
-    finally:
-        conf.set(OPEN_FILES, before)
+    writer = df.hint("rebalance", column).write.mode("overwrite").partitionBy(column)
+    writer.format(fmt).options(**options).save(path)

@@ -33,13 +33,13 @@ def data(spark):
 
 
 @pytest.mark.parametrize("metric", ["l2", "cosine"])
-def test_scan_and_grid_agree_with_brute_force(data, metric):
+def test_one_and_many_blocks_agree_with_brute_force(data, metric):
     queries, corpus, q, c = data
     corpus32 = [(i, np.array(v, dtype=np.float32).astype(float)) for i, v in corpus]
     want = brute(queries, corpus32, 4, metric)
     scan = {(r.qid, r.id, r["rank"]) for r in nearest(q, c, 4, metric).collect()}
-    grid = {(r.qid, r.id, r["rank"]) for r in nearest(q, c, 4, metric, broadcast_numbers=0, cell_numbers=60).collect()}
-    assert scan == want and grid == want
+    blocks = {(r.qid, r.id, r["rank"]) for r in nearest(q, c, 4, metric, broadcast_numbers=15).collect()}
+    assert scan == want and blocks == want
 
 
 def test_identical_vector_has_distance_zero(data):
@@ -49,6 +49,28 @@ def test_identical_vector_has_distance_zero(data):
     assert first.distance == 0.0 and first.id == 1
 
 
+@pytest.mark.parametrize("scale", [1e-6, 1.0, 1e6])
+@pytest.mark.parametrize("away", [0.0, 1e3])
+def test_exact_at_any_scale(spark, scale, away):
+    rng = np.random.default_rng(5)
+    corpus = (rng.normal(size=(50, 6)) + away) * scale
+    asked = corpus[:7] + rng.normal(size=(7, 6)) * scale * 0.01
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], "qid bigint, vec array<double>")
+    c = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(corpus)], "id bigint, vec array<double>")
+    got = {(r.qid, r["rank"]): (r.id, r.distance) for r in nearest(q, c, 5).collect()}
+    for i, v in enumerate(asked):
+        far = ((corpus - v) ** 2).sum(axis=1)
+        for n, at in enumerate(np.argsort(far)[:5], 1):
+            assert got[i, n][0] == at and got[i, n][1] == pytest.approx(far[at], rel=1e-12)
+
+
+def test_what_is_not_a_number_is_an_error(spark, data):
+    _, _, q, _ = data
+    bad = spark.createDataFrame([(1, [1.0, 2.0, float("nan"), 4.0, 5.0])], "id bigint, vec array<double>")
+    with pytest.raises(PySparkException, match="not a number in the vector of id 1"):
+        nearest(q, bad, 1).collect()
+
+
 def test_wrong_length_is_an_error(spark, data):
     _, _, q, _ = data
     bad = spark.createDataFrame([(1, [1.0, 2.0])], "id bigint, vec array<float>")

@@ -9,6 +9,7 @@ n-grams hold all nodes' counts, so they are all that is gathered from the corpus
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -16,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from millrace.llm.frames import by_slices, documents, utf8
+from millrace.llm.frames import by_slices, documents, slices, utf8
 from millrace.sources.staging import stage
 
 DEPTH = 5
@@ -39,20 +40,22 @@ def _mask(length: int) -> int:
     return (1 << 8 * length) - 1
 
 
-def grams(texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """(n-grams of DEPTH + 1 bytes, where each text begins) of words joined by spaces, each text ended by a line
-    end and begun as if after others."""
+def grams(texts: list[list[bytes]], at_once: int = 1 << 19) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(n-grams of DEPTH + 1 bytes, the text of each) of words joined by spaces, each text ended by a line end and begun
+    as if after others. So many positions at a time, however long a text is."""
     lines = [b" ".join(words) + END for words in texts]
-    raw = np.frombuffer(END * DEPTH + (END * DEPTH).join(lines), np.uint8).astype(np.int64)
-    out = raw[DEPTH:].copy()
-    for back in range(1, DEPTH + 1):
-        out |= raw[DEPTH - back:len(raw) - back] << 8 * back
+    raw = np.frombuffer(END * DEPTH + (END * DEPTH).join(lines), np.uint8)
     size = np.array([len(x) for x in lines])
-    begin = np.concatenate([[0], np.cumsum(size + DEPTH)[:-1]])
-    own = np.ones(len(out), bool)
-    for gap in range(DEPTH):  # the filling between texts is not part of them
-        own[(begin[1:] - DEPTH + gap)] = False
-    return out[own], np.concatenate([[0], np.cumsum(size)])
+    begin = DEPTH + np.concatenate([[0], np.cumsum(size + DEPTH)[:-1]])
+    for low in range(DEPTH, len(raw), at_once):
+        high = min(len(raw), low + at_once)
+        out = raw[low:high].astype(np.int64)
+        for back in range(1, DEPTH + 1):
+            out |= raw[low - back:high - back].astype(np.int64) << 8 * back
+        place = np.arange(low, high)
+        text = np.searchsorted(begin, place, side="right") - 1
+        own = place < begin[text] + size[text]  # the filling between texts is not part of them
+        yield out[own], text[own]
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -85,22 +88,21 @@ class Level:
     #: Posterior weight of the node's own estimate against its children.
     weight: np.ndarray = field(default=None)
 
-    def estimate(self, at: np.ndarray, bit: np.ndarray) -> np.ndarray:
-        return (np.where(bit, self.ones[at], self.zeros[at]) + 0.5) / (self.zeros[at] + self.ones[at] + 1.0)
-
-
-def levels(gram: np.ndarray, count: np.ndarray) -> list[Level]:
-    """Nodes of all decisions, for sorted n-grams of one depth."""
-    out, byte = [], gram & 255
-    for l in range(8):
+    @classmethod
+    def of(cls, gram: np.ndarray, count: np.ndarray, l: int) -> Level:
+        """For sorted n-grams of one depth."""
+        byte = gram & 255
         key = gram >> 8 << 8 | 1 << l | byte >> (8 - l)
         bit = byte >> (7 - l) & 1
         new = np.concatenate([[True], key[1:] != key[:-1]])[:len(key)]
         first = np.flatnonzero(new)
         total = np.add.reduceat(count, first) if len(first) else np.zeros(0, np.int64)
         ones = np.add.reduceat(count * bit, first) if len(first) else np.zeros(0, np.int64)
-        out.append(Level(key[first], total - ones, ones, np.cumsum(new) - 1, bit.astype(bool)))
-    return out
+        return cls(key[first], total - ones, ones, (np.cumsum(new) - 1).astype(np.int32), bit.astype(bool))
+
+    def one(self) -> np.ndarray:
+        """The estimate that the next bit is one."""
+        return (self.ones + 0.5) / (self.zeros + self.ones + 1.0)
 
 
 def truncated(gram: np.ndarray, count: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -121,18 +123,21 @@ def weigh(level: Level, below: np.ndarray | None) -> None:
     level.weight = np.ones(len(own)) if below is None else np.exp(own - np.log(2) - level.log)
 
 
-def subtree(gram: np.ndarray, count: np.ndarray):
-    """The weighted nodes below contexts of two bytes: ({depth: (n-grams, levels)}, {depth: place in depth - 1})."""
-    tables, up = {DEPTH: (gram, count)}, {}
-    for depth in range(DEPTH - 1, 1, -1):
-        g, c, up[depth + 1] = truncated(*tables[depth + 1], depth + 1)
-        tables[depth] = (g, c)
-    nodes = {d: (g, levels(g, c)) for d, (g, c) in tables.items()}
-    for l in range(8):
-        weigh(nodes[DEPTH][1][l], None)
+class Subtree:
+    """n-grams of three bytes and more below contexts of two, and their weighted nodes one decision at a time."""
+
+    def __init__(self, gram: np.ndarray, count: np.ndarray):
+        self.tables, self.up = {DEPTH: (gram, count)}, {}
+        for depth in range(DEPTH - 1, 1, -1):
+            g, c, up = truncated(*self.tables[depth + 1], depth + 1)
+            self.tables[depth], self.up[depth + 1] = (g, c), up.astype(np.int32)
+
+    def levels(self, l: int) -> dict[int, Level]:
+        out = {d: Level.of(g, c, l) for d, (g, c) in self.tables.items()}
+        weigh(out[DEPTH], None)
         for d in range(DEPTH - 1, 1, -1):
-            weigh(nodes[d][1][l], children(nodes[d][1][l], nodes[d + 1][1][l], d))
-    return nodes, up
+            weigh(out[d], children(out[d], out[d + 1], d))
+        return out
 
 
 @dataclass
@@ -141,40 +146,44 @@ class Top:
 
     gram: np.ndarray
     count: np.ndarray
-    #: By decision, the nodes of depth 1 and the sums of their children's logs.
+    #: The nodes of depth 1 and the sums of their children's logs.
     below: tuple[np.ndarray, np.ndarray]
 
-    def nodes(self) -> tuple[list[Level], list[Level], np.ndarray]:
+    def levels(self, l: int) -> tuple[Level, Level, np.ndarray]:
         short, count, up = truncated(self.gram, self.count, 1)
-        zero, one = levels(short, count), levels(self.gram, self.count)
+        zero, one = Level.of(short, count, l), Level.of(self.gram, self.count, l)
         keys, sums = self.below
-        for l in range(8):
-            weigh(one[l], sums[np.searchsorted(keys, one[l].key)])
-            weigh(zero[l], children(zero[l], one[l], 0))
+        weigh(one, sums[np.searchsorted(keys, one.key)])
+        weigh(zero, children(zero, one, 0))
         return zero, one, up
 
 
 class Model:
-    """All that is needed to score positions whose last two context bytes belong to one slice."""
+    """All that is needed to score positions whose last two context bytes belong to one slice.
+
+    Kept are the log probabilities of the n-grams that training has seen and, for all others, each node's key,
+    estimate and weight.
+    """
 
     def __init__(self, top: Top, gram: np.ndarray, count: np.ndarray):
-        zero, one, up1 = top.nodes()
-        nodes, up = subtree(gram, count)
-        self.depths = [zero, one, *[nodes[d][1] for d in range(2, DEPTH + 1)]]
-        self.gram = gram
-        short = [None, top.gram, *[nodes[d][0] for d in range(2, DEPTH + 1)]]
-        places = [None, up1, np.searchsorted(top.gram, short[2] & _mask(2)), *[up[d] for d in range(3, DEPTH + 1)]]
+        tree = Subtree(gram, count)
+        self.gram, self.nodes = gram, []
         log = np.zeros(len(gram))
         for l in range(8):
-            got = left = None
-            for d, level in enumerate(self.depths):
-                own, weight = level[l].estimate(level[l].at, level[l].bit), level[l].weight[level[l].at]
-                got, left = (0.0, 1.0) if got is None else (got[places[d]], left[places[d]])
-                got, left = got + left * weight * own, left * (1 - weight)
+            zero, one, up1 = top.levels(l)
+            own = tree.levels(l)
+            places = [None, up1, np.searchsorted(top.gram, tree.tables[2][0] & _mask(2)), *[tree.up[d] for d in range(3, DEPTH + 1)]]
+            got, left, kept = np.zeros(1), np.ones(1), []
+            for d, level in enumerate([zero, one, *[own[d] for d in range(2, DEPTH + 1)]]):
+                p, weight = level.one(), level.weight
+                kept.append((level.key, p.astype(np.float32), weight.astype(np.float32)))
+                got, left = (got[places[d]], left[places[d]]) if d else (np.zeros(len(level.at)), np.ones(len(level.at)))
+                p, weight = p[level.at], weight[level.at]
+                got = got + left * weight * np.where(level.bit, p, 1 - p)
+                left = left * (1 - weight)
             log += np.log10(got)
+            self.nodes.append(kept)
         self.log = log.astype(np.float32)
-        for level in (x for d in self.depths for x in d):
-            level.at = level.bit = level.log = None
 
     def score(self, gram: np.ndarray) -> np.ndarray:
         """Log10 probability of the last byte of each n-gram after the others."""
@@ -188,20 +197,18 @@ class Model:
 
     def _unseen(self, gram: np.ndarray) -> np.ndarray:
         out, byte = np.zeros(len(gram)), gram & 255
-        for l in range(8):
+        for l, depths in enumerate(self.nodes):
             bit = (byte >> (7 - l) & 1).astype(bool)
             got, left = np.zeros(len(gram)), np.ones(len(gram))
-            for d, level in enumerate(self.depths):
+            for d, (keys, one, weights) in enumerate(depths):
                 key = (gram & _mask(d + 1)) >> 8 << 8 | 1 << l | byte >> (8 - l)
-                nodes = level[l]
-                if not len(nodes.key):
+                if not len(keys):
                     break
-                at = np.minimum(np.searchsorted(nodes.key, key), len(nodes.key) - 1)
-                there = nodes.key[at] == key
-                weight = np.where(there, nodes.weight[at], 0.0)
-                got += left * weight * np.where(there, nodes.estimate(at, bit), 0.5)
+                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+                weight = np.where(keys[at] == key, weights[at], 0.0)
+                got += left * weight * np.where(bit, one[at], 1 - one[at])
                 left *= 1 - weight
-                # where a node has never been met, neither have those below, and all say one half
+            # where a node has never been met, neither have those below, and all say one half
             out += np.log10(got + left * 0.5)
         return out
 
@@ -222,16 +229,16 @@ def _count_grams(batches):
         for i in range(0, len(gram), 100_000):
             yield pa.RecordBatch.from_arrays([pa.array(gram[i:i + 100_000]), pa.array(count[i:i + 100_000])], ["gram", "n"])
     for batch in batches:
-        for at in range(0, batch.num_rows, 256):
-            g = grams(_words(batch.slice(at, 256), 0))[0]
-            held.append(np.unique(g, return_counts=True))
-            size += len(held[-1][0])
-            if size > 2_000_000:
-                held = [out()]
-                size = len(held[0][0])
-                if size > 1_000_000:
-                    yield from emit(*held[0])
-                    held, size = [], 0
+        for some in slices(batch, 512, 0):
+            for g, _ in grams(_words(some, 0)):
+                held.append(np.unique(g, return_counts=True))
+                size += len(held[-1][0])
+                if size > 1_500_000:
+                    held = [out()]
+                    size = len(held[0][0])
+                    if size > 750_000:
+                        yield from emit(*held[0])
+                        held, size = [], 0
     if held:
         yield from emit(*out())
 
@@ -256,11 +263,10 @@ def _count_words(batches):
 def _tops(table: pa.Table) -> pa.Table:
     gram, count = (table.column(c).to_numpy() for c in ("gram", "n"))
     order = np.argsort(gram)
-    nodes, _ = subtree(gram[order], count[order])
-    keys = np.concatenate([x.key & _mask(2) for x in nodes[2][1]])
-    logs = np.concatenate([x.log for x in nodes[2][1]])
-    own, at = np.unique(keys, return_inverse=True)
-    return pa.table({"node": own, "log": np.bincount(at, weights=logs, minlength=len(own))})
+    tree = Subtree(gram[order], count[order])
+    tops = [tree.levels(l)[2] for l in range(8)]
+    own, at = np.unique(np.concatenate([x.key & _mask(2) for x in tops]), return_inverse=True)
+    return pa.table({"node": own, "log": np.bincount(at, weights=np.concatenate([x.log for x in tops]), minlength=len(own))})
 
 
 def _part(context, parts: int):
@@ -281,16 +287,16 @@ def _model(shared) -> Model:
 
 
 def trained(texts: DataFrame) -> tuple[Top, int, DataFrame]:
-    """(top, number of slices, counts (gram, n, part)) of the texts."""
+    """(top, number of passes, counts (gram, n, part)) of the texts."""
     plain = stage(texts.mapInArrow(_count_grams, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")), "grams")
-    slices = max(1, -(-plain.count() // SLICE))
-    counts = plain.withColumn("part", _part(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF)), PARTS * slices))
+    passes = max(1, -(-plain.count() // SLICE))
+    counts = plain.withColumn("part", _part(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF)), PARTS * passes))
     # both of these are bounded by the 65,536 pairs of bytes
     one = counts.groupBy(F.col("gram").bitwiseAND(F.lit(0xFFFF)).alias("g")).agg(F.sum("n").alias("n")).orderBy("g")
     below = (counts.groupBy("part").applyInArrow(_tops, "node long, log double").groupBy("node").agg(F.sum("log").alias("log"))
              .orderBy("node"))
     (gram, count), (node, log) = (_columns(x, *x.columns) for x in (one, below))
-    return Top(gram, count, (node, log)), slices, counts
+    return Top(gram, count, (node, log)), passes, counts
 
 
 def _columns(rows: DataFrame, *names: str) -> list[np.ndarray]:
@@ -298,12 +304,15 @@ def _columns(rows: DataFrame, *names: str) -> list[np.ndarray]:
     return [table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in names]
 
 
-def _sums(gram: np.ndarray, first: np.ndarray, shared, at: int, slices: int) -> np.ndarray:
+def _sums(texts: list[list[bytes]], shared, at: int, parts: int) -> np.ndarray:
     """By text, the log10 probability of the positions that belong to slice ``at``."""
-    own = slice(None) if slices == 1 else _part(gram >> 8 & 0xFFFF, PARTS * slices) % slices == at
-    logs = np.zeros(len(gram))
-    logs[own] = _model(shared).score(gram[own])
-    return np.diff(np.concatenate([[0], np.cumsum(logs)])[first])
+    out = np.zeros(len(texts))
+    for gram, text in grams(texts):
+        if parts > 1:
+            own = _part(gram >> 8 & 0xFFFF, PARTS * parts) % parts == at
+            gram, text = gram[own], text[own]
+        out += np.bincount(text, weights=_model(shared).score(gram), minlength=len(texts))
+    return out
 
 
 def _frequent(words: DataFrame) -> tuple[dict[bytes, float], int]:
@@ -332,7 +341,7 @@ def score(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     rows = documents(docs).withColumn("held_out", held_out(F.col("doc_id")))
     learnt = rows.where(~F.col("held_out")).select("text")
-    top, slices, counts = trained(learnt)
+    top, passes, counts = trained(learnt)
     words = stage(learnt.mapInArrow(_count_words, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "words")
     ends = learnt.count()
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
@@ -341,18 +350,17 @@ def score(docs: DataFrame) -> DataFrame:
     table = spark.sparkContext.broadcast(frequent)
     end_log, size_log = float(np.log10(ends + 1)), float(np.log10(total + kinds + 1))
     rows = rows.withColumn("row", F.monotonically_increasing_id())
-    if slices > 1:
+    if passes > 1:
         rows = stage(rows, "texts")
 
     def one(at: int):
-        mine = counts.where(F.col("part") % slices == at).orderBy("gram")
+        mine = counts.where(F.col("part") % passes == at).orderBy("gram")
         return spark.sparkContext.broadcast((f"{id(mine)}-{at}", top, *_columns(mine, "gram", "n")))  # a slice is bounded
 
     shared = one(0)
 
     def whole(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, get = _words(batch, 1), table.value.get
-        gram, first = grams(texts)
         base, known, rare = [], [], []
         for ws in texts:
             logs = [get(w) for w in ws]
@@ -363,18 +371,19 @@ def score(docs: DataFrame) -> DataFrame:
         kind = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
         return pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(2), batch.column(3), pa.array([len(ws) + 1 for ws in texts], pa.int64()), pa.array(known, pa.int64()),
-             pa.array(base), pa.array(np.diff(first), pa.int64()), pa.array(_sums(gram, first, shared, 0, slices)), pa.array(rare, kind)],
+             pa.array(base), pa.array([sum(map(len, ws)) + max(1, len(ws)) for ws in texts], pa.int64()), pa.array(_sums(texts, shared, 0, passes)),
+             pa.array(rare, kind)],
             ["doc_id", "held_out", "row", "n_tokens", "n_known", "base_score", "bytes", "score", "rare"])
 
-    scored = stage(rows.mapInArrow(by_slices(whole, 64), "doc_id long, held_out boolean, row long, n_tokens long, n_known long, "
+    scored = stage(rows.mapInArrow(by_slices(whole, 512, 1), "doc_id long, held_out boolean, row long, n_tokens long, n_known long, "
                    "base_score double, bytes long, score double, rare array<struct<word: binary, times: long>>"), "scored")
     more = scored.select("row", F.inline("rare")).join(
         words.where((F.col("n") < least) | (F.length("word") > WORD)), "word").groupBy("row").agg(
         F.sum("times").alias("rare_known"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("rare_base"))
     out = scored.drop("rare").join(more, "row", "left")
-    if slices > 1:
-        rest = [rows.select("text", "row").mapInArrow(by_slices(_pass(one(at), at, slices), 64), "row long, rest double")
-                for at in range(1, slices)]
+    if passes > 1:
+        rest = [rows.select("text", "row").mapInArrow(by_slices(_pass(one(at), at, passes), 512, 0), "row long, rest double")
+                for at in range(1, passes)]
         out = out.join(reduce(DataFrame.union, rest).groupBy("row").agg(F.sum("rest").alias("rest")), "row", "left")
     else:
         out = out.withColumn("rest", F.lit(0.0))
@@ -386,8 +395,7 @@ def score(docs: DataFrame) -> DataFrame:
         full.alias("score"), (-full / F.log10(F.lit(2.0)) / F.col("bytes")).alias("bits_per_byte"))
 
 
-def _pass(shared, at: int, slices: int):
+def _pass(shared, at: int, passes: int):
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        gram, first = grams(_words(batch, 0))
-        return pa.RecordBatch.from_arrays([batch.column(1), pa.array(_sums(gram, first, shared, at, slices))], ["row", "rest"])
+        return pa.RecordBatch.from_arrays([batch.column(1), pa.array(_sums(_words(batch, 0), shared, at, passes))], ["row", "rest"])
     return work

@@ -4,12 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from millrace.operators.sizing import spread
 from millrace.sources.staging import stage
 
+#: Bytes of text that are worked on at a time.
+BYTES = 1 << 20
+
 
 def documents(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id as long and text, plus the named columns. Other columns of ``docs`` play no part."""
@@ -17,17 +22,29 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
                               *more))
 
 
-def by_slices(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = 512):
-    """A function for ``mapInArrow`` that hands ``work`` a bounded number of rows at a time."""
+def by_slices(work: Callable[[pa.RecordBatch], pa.RecordBatch | None], rows: int = 512, text: int | None = None):
+    """A function for ``mapInArrow`` that hands ``work`` a bounded number of rows at a time, and of bytes where the
+    place of a ``text`` column is given (one row at least)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, rows):
-                out = work(batch.slice(at, rows))
+            for some in slices(batch, rows, text):
+                out = work(some)
                 if out is not None:
                     yield out
     return run
 
 
+def slices(batch: pa.RecordBatch, rows: int, text: int | None = None) -> Iterator[pa.RecordBatch]:
+    size = None if text is None else pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy()
+    at = 0
+    while at < batch.num_rows:
+        n = min(rows, batch.num_rows - at)
+        if size is not None:
+            n = max(1, int(np.searchsorted(np.cumsum(size[at:at + n], dtype=np.int64), BYTES, side="right")))
+        yield batch.slice(at, n)
+        at += n
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts as bytes, null as no bytes."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -27,6 +27,8 @@ FOURTH = 4
 #: A document is rejected beyond this quantile of the cross-entropies of calibration documents, with a margin.
 QUANTILE, MARGIN = 0.999, 1.25
 UNKNOWN = "und"
+#: Characters of a text that are scored at a time.
+PIECE = 1 << 19
 
 
 def alphabet_of(letters: dict[str, int]) -> np.ndarray:
@@ -140,7 +142,14 @@ class Model:
         """(language, score, cross-entropy in nats per symbol, rejected) of each text."""
         if not self.languages:
             return [(UNKNOWN, 0.0, None, True)] * len(texts)
-        total, n, letters = self.totals(texts)
+        # very long texts in pieces, which are scored one by one and added up
+        pieces = [[x[i:i + PIECE] for i in range(0, len(x), PIECE)] if x and len(x) > PIECE else [x] for x in texts]
+        if len(pieces) == 1:
+            total, n, letters = (np.sum(x, axis=0) for x in zip(*(self.totals([p]) for p in pieces[0])))
+        else:
+            total, n, letters = self.totals([p for x in pieces for p in x])
+            first = np.cumsum([0, *[len(x) for x in pieces[:-1]]])
+            total, n, letters = (np.add.reduceat(x, first, axis=0) for x in (total, n, letters)) if len(first) else (total, n, letters)
         out = []
         for t, size, some in zip(total, n, letters):
             if not some:
@@ -202,7 +211,7 @@ def fit(docs: DataFrame) -> Model:
                 out.append(x)
         return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in rows], ["lang", "gram", "n"])
 
-    table = (sample.where(~F.col("apart")).select("text", "lang").mapInArrow(by_slices(count), "lang long, gram long, n long")
+    table = (sample.where(~F.col("apart")).select("text", "lang").mapInArrow(by_slices(count, 512, 0), "lang long, gram long, n long")
              .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow())
     lang, gram, n = (table.column(c).to_numpy() for c in ("lang", "gram", "n"))
     model = Model.fit(languages, code, lang, gram.view(np.uint64), n)
@@ -232,7 +241,7 @@ def identify(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
         columns = [pa.array(list(c), t) for c, t in zip(zip(*answers), (pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
         return pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, "lang_pred", "score", "cross_entropy", "rejected"])
     row = source.schema["row"].dataType.simpleString()
-    out = source.mapInArrow(by_slices(work, 32), f"row {row}, held_out boolean, text string, lang_pred string, score double, "
+    out = source.mapInArrow(by_slices(work, 256, 2), f"row {row}, held_out boolean, text string, lang_pred string, score double, "
                                                  "cross_entropy double, rejected boolean")
     return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in carry],
                       "held_out", "lang_pred", "score", "cross_entropy", "rejected")

@@ -86,7 +86,7 @@ def tokenised(docs: DataFrame, path: str) -> DataFrame:
         packed = [np.append(x, END).astype(width).tobytes() for x in all_ids]
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(curve, pa.int64()), pa.array(packed, pa.binary())],
                                           ["doc_id", "curve", "ids"])
-    return documents(docs).mapInArrow(by_slices(work, 128), "doc_id long, curve long, ids binary")
+    return documents(docs).mapInArrow(by_slices(work, 128, 1), "doc_id long, curve long, ids binary")
 
 
 COLUMNS = {"doc_id": pa.int64(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "doc_tokens": pa.int64(),

@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         fps = np.array([fingerprint(x, width) for x in utf8(batch.column(1))], np.uint64).view(np.int64)
         return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
-    return documents(docs).mapInArrow(by_slices(work), "doc_id long, fp long")
+    return documents(docs).mapInArrow(by_slices(work, 512, 1), "doc_id long, fp long")
 
 
 def _syndrome(words: np.ndarray) -> np.ndarray:

@@ -367,4 +367,4 @@ def remove_repeats(docs: DataFrame, length: int = 200, scan: bool = False) -> Da
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
                                           ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_text", "kept_sha256"])
     return (rows.join(spans, "row", "left").select("doc_id", "text", "low", "high")
-            .mapInArrow(by_slices(work, 256), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_text binary, kept_sha256 string"))
+            .mapInArrow(by_slices(work, 256, 1), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_text binary, kept_sha256 string"))

@@ -106,12 +106,11 @@ def test_log_gamma():
 
 def test_bytes_sum_to_one():
     texts = [[b"ab", b"abc"], [b"abab"]] * 3
-    gram, count = np.unique(ctw.grams(texts)[0], return_counts=True)
-    nodes, _ = ctw.subtree(gram, count)
+    gram, count = np.unique(np.concatenate([g for g, _ in ctw.grams(texts, 4)]), return_counts=True)
+    tops = [ctw.Subtree(gram, count).levels(l)[2] for l in range(8)]
     g, c, _ = ctw.truncated(gram, count, 2)
-    keys = np.concatenate([x.key & 0xFFFF for x in nodes[2][1]])
-    own, at = np.unique(keys, return_inverse=True)
-    sums = np.bincount(at, weights=np.concatenate([x.log for x in nodes[2][1]]))
+    own, at = np.unique(np.concatenate([x.key & 0xFFFF for x in tops]), return_inverse=True)
+    sums = np.bincount(at, weights=np.concatenate([x.log for x in tops]))
     model = ctw.Model(ctw.Top(g, c, (own, sums)), gram, count)
     for context in (b"\nab a", b"zzzab", b"zzzzz"):
         after = (int.from_bytes(context, "big") << 8) + np.arange(256)

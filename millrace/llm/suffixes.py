@@ -31,6 +31,7 @@ GROUP = 20_000
 BUCKET = 1 << 22
 MULTIPLIER = 0x9E3779B97F4A7C15
 MIX = 0xBF58476D1CE4E5B9
+SPREAD = 0x94D049BB133111EB
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -39,6 +40,12 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
+def spread_keys(chosen: np.ndarray) -> np.ndarray:
+    """Hashes that were chosen for being small, spread over all values again."""
+    h = (chosen ^ chosen >> np.uint64(32)) * np.uint64(SPREAD)
+    return h ^ h >> np.uint64(29)
+
+
 class Anchors:
     """Finds the anchors of all windows of ``length`` bytes; k-grams have half that length."""
 
@@ -77,7 +84,7 @@ class Anchors:
         new = good & np.concatenate([[True], (at[1:] != at[:-1]) | ~good[:-1]])
         last = good & np.concatenate([(at[1:] != at[:-1]) | ~good[1:], [True]])
         first, last = np.flatnonzero(new), np.flatnonzero(last)
-        return h[at[first]], at[first], first, last
+        return spread_keys(h[at[first]]), at[first], first, last
 
 
 def _pieces(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
@@ -105,57 +112,71 @@ def _blocks(batches, length: int):
         yield rows, starts, some
 
 
+def _digests(joined: bytes, anchor: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> np.ndarray:
+    """A hash of each chunk and of the place of its anchor."""
+    digest = xxhash.xxh3_64_intdigest
+    return np.array([digest(joined[p:q + length], a - p) for a, p, q in zip(anchor.tolist(), first.tolist(), last.tolist())],
+                    np.uint64).view(np.int64)
+
+
 def _anchor_hashes(length: int):
     def run(batches):
         find = Anchors(length)
         for _, _, texts in _blocks(batches, length):
-            h = find.chunks(texts)[0].view(np.int64)
+            h, anchor, first, last = find.chunks(texts)
+            columns = h.view(np.int64), _digests(b"".join(texts), anchor, first, last, length)
             for at in range(0, len(h), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(h[at:at + 100_000])], ["key"])
+                yield pa.RecordBatch.from_arrays([pa.array(c[at:at + 100_000]) for c in columns], ["key", "digest"])
     return run
 
 
-FOUND = pa.schema([("key", pa.int64()), ("digest", pa.binary()), ("left", pa.binary()), ("right", pa.binary()), ("copies", pa.int64()),
-                   ("row", pa.int64()), ("at", pa.int64())])
+FOUND = pa.schema([("key", pa.int64()), ("digest", pa.int64()), ("left", pa.binary()), ("right", pa.binary()), ("copies", pa.int64()),
+                   ("row", pa.int64()), ("at", pa.int64()), ("last", pa.int64())])
+
+
+def _hit(h: np.ndarray, bitmap: tuple[np.ndarray, int]) -> np.ndarray:
+    bits, size = bitmap
+    top = h >> np.uint64(64 - size)
+    return (bits[(top >> np.uint64(6)).astype(np.int64)] >> (top & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
 def _chunks(length: int, shared):
-    """Chunks whose anchor may occur elsewhere: their texts once per task (``row`` is null) with the number of equal ones, and all their
-    places (``key`` is null)."""
+    """Places of the chunks whose anchor may occur elsewhere (``copies`` is null), and, where chunks about it may differ, their
+    texts, once per task and with the number of equal ones (``row`` is null)."""
     def run(batches):
         find = Anchors(length)
-        bits, size = shared.value
-        seen: dict[bytes, list] = {}
+        again, differ = shared.value
+        seen: dict[int, list] = {}
 
         def texts():
-            rows = [(k, d, a, b, n, None, None) for d, (k, a, b, n) in seen.items()]
+            rows = [(k, d, a, b, n, None, None, None) for d, (k, a, b, n) in seen.items()]
             seen.clear()
-            return rows
+            return emit(list(zip(*rows)))
 
-        def emit(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), FOUND.types)], schema=FOUND)
+        def emit(columns):
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, FOUND.types)], schema=FOUND)
         for rows, starts, some in _blocks(batches, length):
             h, anchor, first, last = find.chunks(some)
-            top = h >> np.uint64(64 - size)
-            maybe = np.flatnonzero(bits[(top >> np.uint64(6)).astype(np.int64)] >> (top & np.uint64(63)) & np.uint64(1))
+            maybe = np.flatnonzero(_hit(h, again))
+            if not len(maybe):
+                continue
+            h, anchor, first, last = (x[maybe] for x in (h, anchor, first, last))
             joined = b"".join(some)
             begin = np.concatenate([[0], np.cumsum([len(x) for x in some])])
-            of = np.searchsorted(begin, first[maybe], side="right") - 1
-            keys, places = h[maybe].view(np.int64).tolist(), []
-            for key, a, p, q, i in zip(keys, anchor[maybe].tolist(), first[maybe].tolist(), last[maybe].tolist(), of.tolist()):
-                chunk = joined[p:q + length]
-                digest = xxhash.xxh3_128_digest(chunk, a - p)
-                if digest in seen:
-                    seen[digest][3] += 1
+            of = np.searchsorted(begin, first, side="right") - 1
+            digest, key = _digests(joined, anchor, first, last, length), h.view(np.int64)
+            nothing = [None] * len(h)
+            yield emit((key, digest, nothing, nothing, nothing, np.array(rows)[of], np.array(starts)[of] + first - begin[of], last - first))
+            mixed = np.flatnonzero(_hit(h, differ))
+            for k, d, a, p, q in zip(*(x[mixed].tolist() for x in (key, digest, anchor, first, last))):
+                if d in seen:
+                    seen[d][3] += 1
                 else:
-                    seen[digest] = [key, chunk[:a - p], chunk[a - p:], 1]
-                places.append((None, digest, None, None, None, rows[i], starts[i] + p - int(begin[i])))
-            if places:
-                yield emit(places)
+                    seen[d] = [k, joined[p:a], joined[a:q + length], 1]
             if len(seen) > KEPT:
-                yield emit(texts())
+                yield texts()
         if seen:
-            yield emit(texts())
+            yield texts()
     return run
 
 
@@ -286,7 +307,7 @@ def _repeats(length: int):
                         left, last = len(all_[i][0]), len(all_[i][0]) + len(all_[i][1]) - length
                         rows += [(names[i], max(0, left - high), min(last, left - low)) for low, high in some if left - low >= 0]
         columns = list(zip(*rows)) or [[], [], []]
-        return pa.table({"digest": pa.array(columns[0], pa.binary()), "low": pa.array(columns[1], pa.int64()),
+        return pa.table({"digest": pa.array(columns[0], pa.int64()), "low": pa.array(columns[1], pa.int64()),
                          "high": pa.array(columns[2], pa.int64())})
     return run
 
@@ -297,7 +318,7 @@ def _windows(length: int):
         for digest, left, right, copies in zip(*(batch.column(i).to_pylist() for i in range(4))):
             text = left + right
             rows += [(hashlib.blake2b(text[p:p + length], digest_size=16).digest(), digest, p, copies) for p in range(len(text) - length + 1)]
-        types = (pa.binary(), pa.binary(), pa.int64(), pa.int64())
+        types = (pa.binary(), pa.int64(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["window", "digest", "low", "copies"])
     return work
 
@@ -306,25 +327,30 @@ def repeated_ranges(rows: DataFrame, length: int) -> DataFrame:
     """(row, low, high): in the text of each ``row``, ranges of places at which strings of ``length`` bytes start that
     start somewhere else too. Nothing is left out; ranges may touch and overlap."""
     spark = rows.sparkSession
-    keys = rows.mapInArrow(_anchor_hashes(length), "key long").groupBy("key").count().where("count > 1").select("key")
-    shared = spark.sparkContext.broadcast(_bitmap(stage(keys, "anchors")))
-    found = stage(rows.mapInArrow(_chunks(length, shared), "key long, digest binary, left binary, right binary, copies long, row long, at long"),
-                  "chunks")
-    places = found.where("key is null").select("digest", "row", "at")
-    chunks = found.where("key is not null").select("key", "digest", "left", "right", "copies")
+    keys = stage(rows.mapInArrow(_anchor_hashes(length), "key long, digest long").groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.min("digest").alias("d0"), F.max("digest").alias("d1")).where("n > 1")
+        .select("key", (F.col("d0") != F.col("d1")).alias("differ")), "anchors")
+    mixed = keys.where("differ").select("key")
+    shared = spark.sparkContext.broadcast((_bitmap(keys.select("key")), _bitmap(mixed)))
+    found = stage(rows.mapInArrow(_chunks(length, shared), "key long, digest long, left binary, right binary, copies long, row long, "
+                                  "at long, last long"), "chunks")
+    # the bitmaps may say yes where the keys say no
+    places = found.where("copies is null").join(keys, "key").select("digest", "row", "at", "last", "differ")
+    equal = places.where("not differ").select("row", F.col("at").alias("low"), (F.col("at") + F.col("last")).alias("high"))
+    chunks = found.where("copies is not null").select("key", "digest", "left", "right", "copies")
     per_key = stage(chunks.groupBy("key").count(), "chunk-keys")
-    # an anchor that one task alone has met, once, is a mistake of the bitmap, unless a chunk has copies
     buckets = max(24, -(-chunks.count() * (length + length // 2) // BUCKET))
-    some = chunks.join(per_key.where(F.col("count") <= GROUP).withColumnRenamed("count", "n"), "key").where("n > 1 or copies > 1")
+    some = chunks.join(per_key.where(F.col("count") <= GROUP).select("key"), "key", "left_semi")
     ranges = (some.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets))).groupBy("bucket")
-              .applyInArrow(_repeats(length), "digest binary, low long, high long"))
+              .applyInArrow(_repeats(length), "digest long, low long, high long"))
     many = per_key.where(F.col("count") > GROUP).select("key")
     if many.limit(1).count():
         each = stage(chunks.join(small_side(many), "key").select("digest", "left", "right", "copies").mapInArrow(
-            by_slices(_windows(length), 256), "window binary, digest binary, low long, copies long"), "windows")
+            by_slices(_windows(length), 256), "window binary, digest long, low long, copies long"), "windows")
         twice = each.groupBy("window").agg(F.sum("copies").alias("n")).where("n > 1").select("window")
         ranges = ranges.union(each.join(twice, "window").select("digest", "low", F.col("low").alias("high")).distinct())
-    return places.join(ranges, "digest").select("row", (F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high"))
+    return equal.union(places.where("differ").join(ranges, "digest").select(
+        "row", (F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high")))
 
 
 def removed_spans(lows: list[int], highs: list[int], length: int) -> list[tuple[int, int]]:
@@ -338,6 +364,15 @@ def removed_spans(lows: list[int], highs: list[int], length: int) -> list[tuple[
     return [tuple(x) for x in out]
 
 
+def _merged(length: int):
+    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        spans = [[{"low": a, "high": b} for a, b in removed_spans(lows, highs, length)]
+                 for lows, highs in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
+        kind = pa.list_(pa.struct([("low", pa.int64()), ("high", pa.int64())]))
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, kind)], ["row", "spans"])
+    return work
+
+
 def remove_repeats(docs: DataFrame, length: int = 200, scan: bool = False) -> DataFrame:
     """Documents without the bytes covered by a string of ``length`` bytes that also starts anywhere else.
 
@@ -352,12 +387,13 @@ def remove_repeats(docs: DataFrame, length: int = 200, scan: bool = False) -> Da
     ranges = repeated_ranges(rows.select("row", "text"), length)
     # gathered per document, so bounded by its own length
     spans = ranges.groupBy("row").agg(F.collect_list("low").alias("low"), F.collect_list("high").alias("high"))
+    spans = stage(spans.mapInArrow(by_slices(_merged(length), 1024), "row long, spans array<struct<low: long, high: long>>"), "spans")
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for doc_id, text, lows, highs in zip(*(batch.column(i).to_pylist() for i in range(4))):
+        for doc_id, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3))):
             text = (text or "").encode()
-            gone, kept, at = removed_spans(lows or [], highs or [], length), [], 0
+            gone, kept, at = [(x["low"], x["high"]) for x in spans or []], [], 0
             for a, b in gone:
                 kept.append(text[at:a])
                 at = b
@@ -366,5 +402,5 @@ def remove_repeats(docs: DataFrame, length: int = 200, scan: bool = False) -> Da
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string())
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
                                           ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_text", "kept_sha256"])
-    return (rows.join(spans, "row", "left").select("doc_id", "text", "low", "high")
+    return (rows.join(small_side(spans), "row", "left").select("doc_id", "text", "spans")
             .mapInArrow(by_slices(work, 256, 1), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_text binary, kept_sha256 string"))

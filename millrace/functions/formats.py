@@ -11,7 +11,16 @@ def thousands(n: Column) -> Column:
 
 
 def fixed(value: Column, decimals: int) -> Column:
-    """A non-negative number below 9e15 with a fixed number of decimals (up to 3), as printf gives it.
+    """A number with a fixed number of decimals (up to 3), as printf gives it; ``nan``, ``inf`` and ``-inf`` stay words."""
+    value = value.cast("double")
+    endless = F.isnan(value) | (F.abs(value) == float("inf"))
+    size = _fixed_size(F.when(endless, 0.0).otherwise(F.abs(value)), decimals)
+    return (F.when(F.isnan(value), "nan").when(endless, F.when(value > 0, "inf").otherwise("-inf"))
+            .otherwise(F.concat(F.when(value < 0, "-").otherwise(""), size)))
+
+
+def _fixed_size(value: Column, decimals: int) -> Column:
+    """The same of a non-negative number below 9e15.
 
     The double is rounded by its exact binary value, ties to even. Its fraction times 2^62 is a
     whole number, so the rounding is done on integers.

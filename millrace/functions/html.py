@@ -4,19 +4,46 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# Character entities that are written out, the ampersand last.
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+# Named character entities that are written out, the ampersand last.
+ENTITIES = [
+    ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&mdash;", "\u2014"), ("&ndash;", "\u2013"),
+    ("&hellip;", "\u2026"), ("&lsquo;", "\u2018"), ("&rsquo;", "\u2019"), ("&ldquo;", "\u201c"), ("&rdquo;", "\u201d"),
+    ("&laquo;", "\u00ab"), ("&raquo;", "\u00bb"), ("&middot;", "\u00b7"), ("&bull;", "\u2022"), ("&copy;", "\u00a9"), ("&reg;", "\u00ae"),
+    ("&trade;", "\u2122"), ("&euro;", "\u20ac"), ("&pound;", "\u00a3"), ("&deg;", "\u00b0"), ("&times;", "\u00d7"), ("&amp;", "&"),
+]
+_NUMBER = "(?s)^#(?:([0-9]{1,7})|[xX]([0-9a-fA-F]{1,6}));(.*)$"
+
+
+def _character(piece: Column) -> Column:
+    """What follows an ampersand, with the character in front if it is a numbered one."""
+    decimal, digits = F.regexp_extract(piece, _NUMBER, 1), F.regexp_extract(piece, _NUMBER, 2)
+    code = F.coalesce(F.when(decimal != "", F.conv(decimal, 10, 16)), F.when(digits != "", digits))
+    number = F.conv(code, 16, 10).cast("int")
+    sound = (number > 0) & (number < 0x110000) & ~number.between(0xD800, 0xDFFF)
+    char = F.decode(F.unhex(F.lpad(F.when(sound, code), 8, "0")), "UTF-32")
+    return F.coalesce(F.concat(char, F.regexp_extract(piece, _NUMBER, 3)), F.concat(F.lit("&"), piece))
 
 
 def unescaped(text: Column) -> Column:
+    """Entities as characters: numbered ones, and the named ones of the list."""
+    pieces = F.split(text, "&")
+    numbered = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(F.slice(pieces, 2, F.size(pieces)), _character), ""))
+    text = F.when(text.contains("&#"), numbered).otherwise(text)
     for entity, char in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(char))
     return text
 
 
+def sql_unescaped(text: str) -> str:
+    """SQL that writes out the named entities, for checks."""
+    for entity, char in ENTITIES:
+        text = f"replace({text}, '{entity}', '{char.replace(chr(39), 2 * chr(39))}')"
+    return text
+
+
 def elements_pattern(tags: list[str]) -> str:
     """Each listed element with everything up to its closing tag (no nesting of the same tag)."""
-    return "(?s)" + "|".join(rf"<{t}\b[^>]*>.*?</{t}>" for t in tags)
+    return "(?si)" + "|".join(rf"<{t}\b[^>]*>.*?</{t}>" for t in tags)
 
 
 def plain(fragment: Column) -> Column:
@@ -34,7 +61,10 @@ def tags_text(html: Column, tags: list[str]) -> Column:
     return F.array_join(tag_texts(html, tags), " ")
 
 
-HREF = r"""<a\b[^>]*?\bhref\s*=\s*["']([^"']*)["']"""
+# An opening anchor tag; quoted values may hold any character. An attribute, and the one named href.
+ANCHOR = r"""(?i)<a(?=[\s/])(?:[^>"']|"[^"]*"|'[^']*')*+>"""
+_ATTRIBUTE = r"""[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?"""
+HREF = rf"""(?i)^<a[\s/]+(?:{_ATTRIBUTE}[\s/]+)*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
 
 
 def site_of(url: Column) -> Column:
@@ -45,10 +75,12 @@ def links(html: Column, site: Column) -> Column:
     """Every anchor target as an absolute address, in order, repeats included.
 
     ``https://`` addresses stay; what starts with ``/`` is put behind the site; anything else goes
-    behind the site and a slash. Anchors without a target are left out.
+    behind the site and a slash. Anchors without a target are left out. Tags and names are read in any
+    case, values with either quote or none, and entities in them are written out.
     """
     base = F.regexp_replace(site, "/$", "")
-    targets = F.regexp_extract_all(html, F.lit(HREF), F.lit(1))
+    tags = F.filter(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(0)), lambda t: t.rlike(HREF))
+    targets = F.transform(tags, lambda t: F.trim(unescaped(F.concat(*[F.regexp_extract(t, HREF, i) for i in (1, 2, 3)]))))
     return F.transform(
         targets,
         lambda h: F.when(h.startswith("https://"), h).when(h.startswith("/"), F.concat(base, h))

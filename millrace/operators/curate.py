@@ -6,7 +6,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from millrace.operators.ordering import blocked_row_number
+from millrace.operators.ordering import range_running
 from millrace.sources.staging import write_by
 
 # The columns of the raw files and the limits of a valid session.
@@ -109,8 +109,8 @@ def union_daily(days: list[DataFrame]) -> DataFrame:
     return out
 
 
-def renumbered(events: DataFrame, key: str, block: int = 100_000) -> DataFrame:
-    """Adds ``row_id``: 0, 1, 2, ... over all days, by day and key, counted in (day, key) blocks."""
-    cut = events.withColumn("_block", F.floor(F.col(key) / block))
-    numbered = blocked_row_number(cut, [], [F.col("dt"), F.col(key)], ["dt", "_block"], "_n")
-    return numbered.withColumn("row_id", F.col("_n") - 1).drop("_n", "_block")
+def renumbered(events: DataFrame, key: str) -> DataFrame:
+    """Adds ``row_id``: 0, 1, 2, ... over all days, by day and key, counted in range pieces; no day or key comes first."""
+    one = F.lit(1).cast("bigint")
+    numbered = range_running(events, [], [F.col("dt"), F.col(key)], {"_n": ("sum", one)})
+    return numbered.withColumn("row_id", F.col("_n") - 1).drop("_n")

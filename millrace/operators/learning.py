@@ -7,7 +7,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millrace.operators.ordering import blocked_running, range_running
 from millrace.sources.staging import shared_dir
@@ -53,7 +53,7 @@ def auc(df: DataFrame, label: str, score_column: str) -> DataFrame:
     """Exact area under the ROC curve from average ranks: (auc, positives, negatives).
 
     Rows are counted per distinct score first, so ties cost one row, and the ranks run over range
-    pieces of the scores instead of one sorted partition.
+    pieces of the scores instead of one sorted partition. With one class only there is no area: null.
     """
     counted = df.groupBy(F.col(score_column).alias("_s")).agg(
         F.count("*").alias("_n"), F.sum(F.col(label).cast("bigint")).alias("_pos")
@@ -65,7 +65,7 @@ def auc(df: DataFrame, label: str, score_column: str) -> DataFrame:
         F.sum(F.col("_n") - F.col("_pos")).alias("negatives"),
     )
     p, n = F.col("positives").cast("double"), F.col("negatives").cast("double")
-    return sums.select(((F.col("_ranks") - p * (p + 1) / 2) / (p * n)).alias("auc"), "positives", "negatives")
+    return sums.select(F.try_divide(F.col("_ranks") - p * (p + 1) / 2, p * n).alias("auc"), "positives", "negatives")
 
 
 def importances(spark: SparkSession, model, columns: list[str]) -> DataFrame:
@@ -97,9 +97,12 @@ def model_versions(runs: DataFrame, block: int = 100_000) -> DataFrame:
 
 
 def leaderboard(runs: DataFrame) -> DataFrame:
-    """Best AUC and number of runs per student. Student ids are 0-99, so the ranked table is too."""
+    """Best AUC and number of runs per student, placed in range pieces: equal AUCs share a place."""
     best = runs.groupBy("student_id").agg(F.count("*").alias("runs"), F.max("auc").alias("auc"))
-    return best.withColumn("place", F.rank().over(W.orderBy(F.col("auc").desc())).cast("bigint"))
+    equal = best.groupBy(F.col("auc").alias("_auc")).agg(F.count("*").alias("_n"))
+    places = range_running(equal, [], [F.col("_auc").desc()], {"_upto": ("sum", F.col("_n"))})
+    place = (F.col("_upto") - F.col("_n") + 1).alias("place")
+    return best.join(places, F.col("auc").eqNullSafe(F.col("_auc"))).select("student_id", "runs", "auc", place)
 
 
 def tune(

@@ -57,13 +57,12 @@ def blocked_running(
 ) -> DataFrame:
     """Running values per key, first row up to and including the current one.
 
-    ``blocks`` are columns that are non-null and never decrease along ``order`` within a key; keys
-    must not be null. Only (key, block) totals meet in one place per key, i.e. rows / block length
+    ``blocks`` are columns that never decrease along ``order`` within a key; a null in them or in a key is an error. Only (key, block) totals meet in one place per key, i.e. rows / block length
     of them. The rows themselves are shuffled once, by (key, block); further calls with the same
     keys and blocks find them in place.
     """
     inputs = {f"_in_{name}": col for name, (_, col) in running.items()}
-    cut = df.withColumns({**{k: _named(k) for k in keys}, **inputs})
+    cut = df.withColumns({**{k: _named(k) for k in [*keys, *blocks]}, **inputs})
     piece = [*keys, *blocks]
 
     totals = cut.groupBy(*piece).agg(

@@ -19,13 +19,15 @@ def softmax(scores: DataFrame, context: str, score: str, out: str = "p") -> Data
 
     exp(score - whole part) is summed per (context, whole part) before the shuffle; only these few
     sums per context are scaled to the largest one. No context is sorted, windowed or scanned twice.
+    A score of minus infinity, as masked candidates have, is a probability of 0.
     """
-    whole = F.floor(score)
-    sums = scores.groupBy(context, whole.alias("_b")).agg(F.sum(F.exp(F.col(score) - whole)).alias("_s"))
+    masked = F.col(score) == float("-inf")
+    whole = F.floor(F.when(~masked, F.col(score)))
+    sums = scores.filter(~masked).groupBy(context, whole.alias("_b")).agg(F.sum(F.exp(F.col(score) - whole)).alias("_s"))
     top = sums.withColumn("_top", F.max("_b").over(W.partitionBy(context)))
     total = top.groupBy(context, "_top").agg(F.sum(F.col("_s") * F.exp(F.col("_b") - F.col("_top"))).alias("_sum"))
-    return scores.join(total, context).withColumn(
-        out, F.exp(F.col(score) - F.col("_top")) / F.col("_sum")
+    return scores.join(total, context, "left").withColumn(
+        out, F.when(masked, F.when(F.col("_sum").isNotNull(), 0.0)).otherwise(F.exp(F.col(score) - F.col("_top")) / F.col("_sum"))
     ).drop("_top", "_sum")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from millrace.operators.ordering import blocked_running, hash_order, range_running
+from millrace.operators.ordering import hash_order, range_running
 
 
 def draw_and_split(
@@ -48,14 +48,15 @@ def length_batches(docs: DataFrame, key: str, length: str, batch_size: int) -> D
     )
 
 
-def packed(docs: DataFrame, key: str, length: str, sequence: int, block: int = 10_000) -> DataFrame:
+def packed(docs: DataFrame, key: str, length: str, sequence: int) -> DataFrame:
     """Examples laid end to end in key order and cut into sequences of a fixed length.
 
     (key, first_sequence, last_sequence, at): where each example starts and ends. Empty examples
-    take no room and are left out.
+    take no room and are left out. Places come from range pieces, whatever the keys look like; examples
+    without a key come first.
     """
-    cut = docs.filter(F.col(length) > 0).withColumn("_block", F.floor(F.col(key) / block))
-    running = blocked_running(cut, [], [F.col(key)], ["_block"], {"_end": ("sum", F.col(length))})
+    some = docs.select(key, length).filter(F.col(length) > 0)
+    running = range_running(some, [], [F.col(key), F.col(length)], {"_end": ("sum", F.col(length))})
     start = F.col("_end") - F.col(length)
     return running.select(
         key, F.floor(start / sequence).alias("first_sequence"),

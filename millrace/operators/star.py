@@ -70,13 +70,16 @@ def slow_cells(cells: DataFrame, seconds: str, threshold: float = 5.0) -> DataFr
 
 
 def latency(requests: DataFrame, model: str, value: str, at: str, width: float) -> DataFrame:
-    """Per model: requests, exact median and 95th percentile, requests per second of its time span."""
+    """Per model: requests, exact median and 95th percentile, requests per second of its time span.
+
+    A model whose requests all fall within one second has no rate: null.
+    """
     spread = requests.groupBy(model).agg(
         F.count("*").alias("requests"),
         (F.unix_timestamp(F.max(at).cast("timestamp")) - F.unix_timestamp(F.min(at).cast("timestamp"))).alias("seconds"),
     )
     points = exact_quantiles(requests, [model], value, [0.5, 0.95], width)
-    return spread.join(points, model).withColumn("per_second", F.col("requests") / F.col("seconds"))
+    return spread.join(points, model).withColumn("per_second", F.try_divide(F.col("requests"), F.col("seconds")))
 
 
 def as_text_of(value: Column, kind: T.DataType) -> Column:

@@ -2,16 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from millrace.functions.toolschema import RAW_ANSWERS, RAW_TOOLS, SIX_TYPES, function_specs, same_json
 
 WIDEST_TOOL = 8
 
 
+# What is to be read of the raw texts, as far as its shape goes.
+_LOOSE_TOOLS = "array<struct<name string, parameters variant>>"
+
+
+def problem() -> Column:
+    """Why the raw JSON texts of a row cannot be used; null where they can."""
+    tools, answers = F.from_json("tools", _LOOSE_TOOLS), F.from_json("answers", RAW_ANSWERS)
+
+    def is_map(v: Column) -> Column:
+        return F.schema_of_variant(v).startswith("OBJECT")
+
+    def described(v: Column) -> Column:
+        return F.forall(F.map_values(F.try_variant_get(v, "$", "map<string, variant>")), is_map)
+
+    shaped = F.forall(tools, lambda t: t["parameters"].isNull() | F.is_variant_null(t["parameters"]) | F.when(is_map(t["parameters"]), described(t["parameters"])).otherwise(False))
+    def closed(text: str) -> Column:  # the parser takes no notice of what follows an array
+        return F.rtrim(F.col(text)).endswith("]") & F.try_parse_json(text).isNotNull()
+
+    readable = closed("tools") & tools.isNotNull() & F.forall(tools, lambda t: t.isNotNull())
+    answered = closed("answers") & answers.isNotNull() & F.forall(answers, lambda a: a.isNotNull())
+    return (F.when(~F.coalesce(readable, F.lit(False)), "tools are not readable")
+            .when(~F.coalesce(shaped, F.lit(False)), "a parameter is not described by an object")
+            .when(~F.coalesce(answered, F.lit(False)), "answers are not readable"))
+
+
+def with_problems(raw: DataFrame) -> DataFrame:
+    """Adds ``problem`` to raw rows."""
+    return raw.withColumn("problem", problem())
+
+
 def parsed(raw: DataFrame) -> DataFrame:
-    """(id, query, tools, answers) with the two JSON texts as typed values; free values stay variants."""
-    return raw.withColumns({"tools": F.from_json("tools", RAW_TOOLS), "answers": F.from_json("answers", RAW_ANSWERS)})
+    """(id, query, tools, answers) with the two JSON texts as typed values; free values stay variants.
+
+    A row that cannot be read is an error, never a row that vanishes or loses its tools; ``with_problems`` tells
+    such rows beforehand.
+    """
+    why = problem()
+    checked = F.when(why.isNotNull(), F.raise_error(F.concat(F.lit("row "), F.col("id").cast("string"), F.lit(": "), why)))
+    return raw.withColumns({
+        "tools": F.coalesce(checked.cast("string"), F.col("tools")), "answers": F.col("answers"),
+    }).withColumns({"tools": F.from_json("tools", RAW_TOOLS), "answers": F.from_json("answers", RAW_ANSWERS)})
 
 
 def single_call(rows: DataFrame) -> DataFrame:
@@ -89,15 +127,17 @@ def truths(rows: DataFrame) -> DataFrame:
     )
 
 
-def verdicts(truth: DataFrame, predictions: DataFrame) -> DataFrame:
-    """Every truth beside every model's first call: OK, MISS (other call or none) or ERR.
+def verdicts(truth: DataFrame, predictions: DataFrame, models: list[str]) -> DataFrame:
+    """Every truth beside the first call of each of the models: OK, MISS (other call or none) or ERR.
 
-    ``predictions`` is (example_id, model, name, arguments, error) with one row per example and model.
+    ``predictions`` is (example_id, model, name, arguments, error) with at most one row per example and model. An
+    example that a model did not answer is a MISS like any other, and counts.
     """
+    truth = truth.withColumn("model", F.explode(F.array(*[F.lit(m) for m in models])))
     told = predictions.select(
         "example_id", "model", F.col("name").alias("called"), F.col("arguments").alias("called_with"), "error"
     )
-    both = truth.join(told, "example_id", "left")
+    both = truth.join(told, ["example_id", "model"], "left")
     name_ok = F.coalesce((F.col("called") == F.col("name")) & F.col("error").isNull(), F.lit(False))
     return both.withColumns({
         "verdict": F.when(F.col("error").isNotNull(), "ERR").when(name_ok, "OK").otherwise("MISS"),
@@ -108,7 +148,7 @@ def verdicts(truth: DataFrame, predictions: DataFrame) -> DataFrame:
 
 def accuracy(judged: DataFrame) -> DataFrame:
     """(model, examples, name accuracy, name and arguments accuracy)."""
-    return judged.filter("model is not null").groupBy("model").agg(
+    return judged.groupBy("model").agg(
         F.count("*").alias("examples"),
         F.avg(F.col("name_ok").cast("double")).alias("function_name_accuracy"),
         F.avg(F.col("all_ok").cast("double")).alias("function_name_and_args_accuracy"),
@@ -170,7 +210,7 @@ def _report(rows: DataFrame, checks: dict[str, Column]) -> DataFrame:
 
 
 def check_training(rows: DataFrame) -> DataFrame:
-    """(check, rows, bad) over training examples, all checks in one pass."""
+    """(check, rows, bad) over training examples, all checks in one pass. Each is named by its rule."""
     m = F.col("messages")
     call = F.get(F.get(m, F.lit(1))["tool_calls"], F.lit(0))["function"]
     return _report(rows, {
@@ -186,6 +226,12 @@ def check_training(rows: DataFrame) -> DataFrame:
     })
 
 
+def check_raw(raw: DataFrame, problems: list[str]) -> DataFrame:
+    """(check, rows, bad) over raw rows: how many cannot be read, and why."""
+    rows = with_problems(raw)
+    return _report(rows, {p: F.coalesce(F.col("problem") != p, F.lit(True)) for p in problems})
+
+
 def check_evaluation(rows: DataFrame) -> DataFrame:
     """(check, rows, bad) over evaluation examples."""
     return _report(rows, {
@@ -206,9 +252,17 @@ def own_models(listed: DataFrame, namespace: str, expected: list[str] = ()) -> D
     return listed.filter(F.contains("model_id", F.lit(namespace)))
 
 
-def with_responses(calls: DataFrame, responses: DataFrame) -> DataFrame:
-    """(turn, call, name, response): each call with the response of its name, call order kept."""
-    return calls.join(responses.select("turn", "name", "response"), ["turn", "name"], "left")
+def with_responses(calls: DataFrame, responses: DataFrame, order: str = "part") -> DataFrame:
+    """(turn, call, name, response): each call with the response of its name, call order kept.
+
+    If a turn calls a function twice, its first call gets the first response, and so on; ``order`` is the column that
+    tells the order of responses.
+    """
+    def nth(by: str) -> Column:
+        return F.row_number().over(W.partitionBy("turn", "name").orderBy(by))
+
+    told = responses.select("turn", "name", "response", nth(order).alias("_nth"))
+    return calls.withColumn("_nth", nth("call")).join(told, ["turn", "name", "_nth"], "left").drop("_nth")
 
 
 def call_log(history: DataFrame) -> DataFrame:

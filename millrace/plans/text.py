@@ -14,9 +14,7 @@ from millrace.sources.readers import data_uri
 from millrace.sources.staging import stage
 from millrace.streaming import tokens
 
-_PLAIN_SQL = ("trim(regexp_replace(replace(replace(replace(replace(replace(replace("
-              "regexp_replace(x, '<[^>]+>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&#39;', ''''), "
-              "'&nbsp;', ' '), '&amp;', '&'), '[ \\t\\n\\r]+', ' ', 'g'))")
+_PLAIN_SQL = "trim(regexp_replace(" + H.sql_unescaped("regexp_replace(x, '<[^>]+>', ' ', 'g')") + ", '[ \\t\\n\\r]+', ' ', 'g'))"
 
 
 @query("txt_extract_tags", f"""
@@ -27,9 +25,11 @@ def txt_extract_tags(spark, d):
     return load(spark, d, "pages").select("page_id", H.tags_text(F.col("html"), ["div", "li"]).alias("text"))
 
 
+# The pages' anchors are all written <a ... href="...">, so cutting at these words finds them without a pattern.
 _LINKS_SQL = """l as (
   select page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) as site,
-    regexp_extract_all(html, '<a\\b[^>]*?\\bhref\\s*=\\s*["'']([^"'']*)["'']', 1) as hrefs from pages),
+    list_transform(list_filter(string_split(html, '<a ')[2:], lambda t: contains(split_part(t, '>', 1), 'href="')),
+                   lambda t: """ + H.sql_unescaped("split_part(split_part(t, 'href=\"', 2), '\"', 1)") + """) as hrefs from pages),
 x as (select page_id, site, unnest(hrefs) as h, unnest(range(1, len(hrefs) + 1)) as pos from l)
 select page_id, pos, case when starts_with(h, 'https://') then h when starts_with(h, '/') then concat(site, h)
   else concat(site, '/', h) end as link from x"""

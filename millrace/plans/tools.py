@@ -126,6 +126,24 @@ def json_eval_format(spark, d):
     )
 
 
+# Raw rows as they may come: every 7th has unreadable tools or answers, or a parameter that is plain text.
+_BROKEN = {"tools": "case when p_partkey % 21 = 7 then substr(tools, 1, length(tools) - 3) when p_partkey % 21 = 14 then "
+                    "replace(tools, '\"note\":{\"type\":\"str\"}', '\"note\":\"a note\"') else tools end",
+           "answers": "case when p_partkey % 21 = 0 then concat(answers, ',') else answers end"}
+_PROBLEMS = ["tools are not readable", "a parameter is not described by an object", "answers are not readable"]
+_BROKEN_SQL = f"""loose as (select id, {_BROKEN['tools']} as tools, {_BROKEN['answers']} as answers from raw),
+par as (select id, unnest(json_keys(t, '$.parameters')) as k, t from (
+  select id, unnest(from_json(tools, '["json"]')) as t from loose where json_valid(tools))),
+odd as (select distinct id from par where json_type(t, '$.parameters.' || k) <> 'OBJECT'),
+said as (select id, case when not json_valid(tools) then '{_PROBLEMS[0]}' when id in (select id from odd) then '{_PROBLEMS[1]}'
+  when not json_valid(answers) then '{_PROBLEMS[2]}' end as problem from loose)"""
+
+
+def broken_rows(spark, d) -> DataFrame:
+    return raw_rows(spark, d).withColumn("p_partkey", F.col("id")).selectExpr(
+        "id", "query", f"{_BROKEN['tools']} as tools", f"{_BROKEN['answers']} as answers")
+
+
 _CHECKS = {
     "messages and tools present": "one", "user turn first": "one", "assistant turn has tool calls": "one",
     "exactly one call": "one", "call has name and arguments": "one", "tools are function specs": "one",
@@ -134,11 +152,13 @@ _CHECKS = {
 }
 
 
-@query("chk_tool_rows", f"with {ONE_SQL}, narrow as (select * from one where p_size <= 45) " + " union all ".join(
-    f"select '{c}' as \"check\", count(*) as rows, count(*) filter (where id is null) as bad from {t}" for c, t in _CHECKS.items()))
+@query("chk_tool_rows", f"with {ONE_SQL}, {_BROKEN_SQL}, narrow as (select * from one where p_size <= 45) " + " union all ".join(
+    f"select '{c}' as \"check\", count(*) as rows, count(*) filter (where id is null) as bad from {t}" for c, t in _CHECKS.items()) + "".join(
+    f" union all select '{p}', count(*), count(*) filter (where problem = '{p}') from said" for p in _PROBLEMS))
 def chk_tool_rows(spark, d):
     rows = T.examples(parsed_rows(spark, d))
-    return T.check_training(rows).unionByName(T.check_evaluation(T.eval_format(rows)))
+    return (T.check_training(rows).unionByName(T.check_evaluation(T.eval_format(rows)))
+            .unionByName(T.check_raw(broken_rows(spark, d), _PROBLEMS)))
 
 
 @query("snk_jsonl_splits", f"""with {ONE_SQL}, c as (select id, p_size from one order by id limit 3000),
@@ -173,17 +193,21 @@ judged as (select *, kind < 4 as name_ok, kind in (0, 1, 3) as all_ok,
   case when kind = 6 then 'ERR' when kind < 4 then 'OK' else 'MISS' end as verdict from kinds)"""
 
 
+ANSWERING = ["base", "tuned"]
+
+
 def predictions(spark, d) -> DataFrame:
     rows = load(spark, d, "part").select(
         F.col("p_partkey").alias("id"), "p_name", "p_size", F.concat(F.lit("find_"), F.lower("p_type")).alias("name"),
         F.explode(F.array(F.lit("base"), F.lit("tuned"))).alias("model"),
     ).filter("p_size % 5 not in (0, 4)")
-    kinds = rows.withColumn("kind", F.expr("id % case model when 'base' then 7 else 4 end"))
+    # kind 5 has not been answered at all: no row
+    kinds = rows.withColumn("kind", F.expr("id % case model when 'base' then 7 else 4 end")).filter("kind <> 5")
     return kinds.selectExpr(*_PREDICTED)
 
 
 def judged_rows(spark, d) -> DataFrame:
-    return T.verdicts(T.truths(parsed_rows(spark, d)), predictions(spark, d))
+    return T.verdicts(T.truths(parsed_rows(spark, d)), predictions(spark, d), ANSWERING)
 
 
 @query("join_truth_prediction", f"with {JUDGED_SQL} select example_id, model, name, verdict from judged")
@@ -209,8 +233,8 @@ select model, examples, round(function_name_accuracy, 6) as function_name_accura
   round(n, 6) as first_50_name_accuracy, round(a, 6) as first_50_name_and_args_accuracy from acc join few using (model)""")
 def agg_tool_accuracy(spark, d):
     truth, told = T.truths(parsed_rows(spark, d)), predictions(spark, d)
-    everything = T.accuracy(T.verdicts(truth, told))
-    first = T.accuracy(T.verdicts(T.first_examples(truth, 50), told)).select(
+    everything = T.accuracy(T.verdicts(truth, told, ANSWERING))
+    first = T.accuracy(T.verdicts(T.first_examples(truth, 50), told, ANSWERING)).select(
         "model", F.col("function_name_accuracy").alias("first_50_name_accuracy"),
         F.col("function_name_and_args_accuracy").alias("first_50_name_and_args_accuracy"),
     )
@@ -246,7 +270,7 @@ def chk_eval_gates(spark, d):
 select example_id, name, max(case when model = 'base' then verdict end) as base,
        max(case when model = 'tuned' then verdict end) as tuned from judged group by 1, 2""")
 def llm_side_by_side(spark, d):
-    return T.side_by_side(judged_rows(spark, d), ["base", "tuned"])
+    return T.side_by_side(judged_rows(spark, d), ANSWERING)
 
 
 @query("flt_own_models", """
@@ -285,18 +309,26 @@ def _responses(spark, d) -> DataFrame:
         F.concat(F.lit("found "), "p_name").alias("response"),
     )
     brands = parts.select(F.col("p_partkey").alias("turn"), F.lit("list_brands").alias("name"), F.col("p_brand").alias("response"))
-    return found.unionByName(brands)
+    again = F.explode(F.when(F.col("turn") % 3 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("part")
+    return found.unionByName(brands).select("turn", "name", again, "response").withColumn(
+        "response", F.when(F.col("part") == 1, F.concat("response", F.lit(" again"))).otherwise(F.col("response")))
 
 
 _RESPONSES_SQL = """resp as (
   select p_partkey as turn, concat('find_', lower(p_type)) as name, concat('found ', p_name) as response from part where p_size % 2 = 0
-  union all select p_partkey, 'list_brands', p_brand from part)"""
+  union all select p_partkey, 'list_brands', p_brand from part),
+called as (select turn, call, name, 0 as nth from calls union all
+  select turn, call + 10, name, 1 from calls where turn % 3 = 0)"""
 
 
 @query("join_call_response", f"""with {_CALLS_SQL}, {_RESPONSES_SQL}
-select calls.turn, call, calls.name, response from calls left join resp on calls.turn = resp.turn and calls.name = resp.name""")
+select called.turn, call, called.name, case when nth = 1 then response || ' again' else response end as response
+from called left join resp on called.turn = resp.turn and called.name = resp.name""")
 def join_call_response(spark, d):
-    return T.with_responses(_calls(spark, d), _responses(spark, d)).select("turn", "call", "name", "response")
+    # every third turn makes all its calls once more
+    calls = _calls(spark, d)
+    twice = calls.filter("turn % 3 = 0").withColumn("call", F.col("call") + 10)
+    return T.with_responses(calls.unionByName(twice), _responses(spark, d)).select("turn", "call", "name", "response")
 
 
 @query("json_call_log", f"""with {_CALLS_SQL}

@@ -46,11 +46,11 @@ def _no_access(error: Exception) -> bool:
 
 
 def first_readable_json(spark: SparkSession, paths: list[str], schema: str) -> DataFrame:
-    """The first path that can be opened; only access errors lead on to the next one."""
+    """The first path that can be opened; only access errors lead on to the next one. A broken line is an error."""
     refused: Exception | None = None
     for path in paths:
         try:
-            return spark.read.schema(schema).json(path)
+            return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
         except Exception as error:  # noqa: BLE001 - py4j wraps permission errors in several classes
             if not (isinstance(error, AnalysisException) or "Access" in str(error)) or not _no_access(error):
                 raise

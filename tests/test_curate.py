@@ -94,5 +94,11 @@ def test_half_even_summary(spark):
 
 
 def test_renumbered(spark, raw):
-    ids = [r.row_id for r in C.renumbered(C.one_per_event(raw), "event_id", block=2).orderBy("dt", "event_id").collect()]
+    ids = [r.row_id for r in C.renumbered(C.one_per_event(raw), "event_id").orderBy("dt", "event_id").collect()]
     assert ids == list(range(8))
+
+
+def test_renumbered_keeps_rows_without_an_id(spark):
+    rows = spark.createDataFrame([("d1", None), ("d1", 5), ("d0", 10 ** 17)], "dt string, event_id bigint")
+    got = sorted((r.row_id, r.dt, r.event_id) for r in C.renumbered(rows, "event_id").collect())
+    assert got == [(0, "d0", 10 ** 17), (1, "d1", None), (2, "d1", 5)]

@@ -34,3 +34,14 @@ def test_versions(spark):
     runs = spark.createDataFrame([("m", 1, 0.7), ("m", 2, 0.9), ("m", 3, 0.9), ("x", 4, 0.1)], "model string, run_id bigint, auc double")
     got = {r.run_id: (r.version, r.is_best) for r in L.model_versions(runs, block=2).collect()}
     assert got == {1: (1, False), 2: (2, True), 3: (3, False), 4: (1, True)}
+
+
+def test_one_class_has_no_area(spark):
+    df = spark.createDataFrame([(1, 0.3), (1, 0.7)], "y int, p double")
+    assert L.auc(df, "y", "p").first().auc is None
+
+
+def test_leaderboard_ties_and_missing(spark):
+    runs = spark.createDataFrame([(1, 0.9), (2, 0.9), (3, 0.5), (3, 0.8), (4, None)], "student_id int, auc double")
+    got = {r.student_id: (r.runs, r.auc, r.place) for r in L.leaderboard(runs).collect()}
+    assert got == {1: (1, 0.9, 1), 2: (1, 0.9, 1), 3: (2, 0.8, 3), 4: (1, None, 4)}

@@ -107,7 +107,7 @@ def test_length_batches_and_packing(spark):
     want = sum(max(ordered[i:i + 4]) * 4 - sum(ordered[i:i + 4]) for i in range(0, 60, 4))
     assert sum(b.padding for b in batches) == want
     start = 0
-    for r in sorted(packed(df, "id", "n", 16, block=7).collect(), key=lambda r: r.id):
+    for r in sorted(packed(df, "id", "n", 16).collect(), key=lambda r: r.id):
         n = lengths[r.id]
         assert (r.first_sequence, r.last_sequence, r["at"]) == (start // 16, (start + n - 1) // 16, start % 16)
         start += n

@@ -106,7 +106,7 @@ def test_verdicts_accuracy_and_gates(spark):
         (0, "base", "f", '{"a":1}', None), (1, "base", "g", '{"a":1}', None), (2, "base", None, None, None), (3, "base", None, None, "boom"),
         (0, "tuned", "f", '{"a":1}', None), (1, "tuned", "f", '{"a":2}', None), (2, "tuned", "f", '{"a":1}', None), (3, "tuned", "f", '{"a":1.0}', None),
     ], "example_id bigint, model string, name string, arguments string, error string")
-    judged = T.verdicts(truth, told)
+    judged = T.verdicts(truth, told, ["base", "tuned"])
     side = {r.example_id: (r.base, r.tuned) for r in T.side_by_side(judged, ["base", "tuned"]).collect()}
     assert side == {0: ("OK", "OK"), 1: ("MISS", "OK"), 2: ("MISS", "OK"), 3: ("ERR", "OK")}
     acc = {r.model: (r.function_name_accuracy, r.function_name_and_args_accuracy) for r in T.accuracy(judged).collect()}
@@ -139,3 +139,37 @@ def test_dispatch_and_sql_functions(spark):
     tools.register(spark)
     assert spark.sql("select add(57, 22)").first()[0] == 79
     assert tools.signatures(spark).filter("name = 'start_music'").count() == 3
+
+
+def test_unanswered_examples_count(spark):
+    truth = spark.createDataFrame([(i, "f", "{}") for i in range(4)], "example_id bigint, name string, arguments string")
+    told = spark.createDataFrame([(0, "base", "f", "{}", None)], "example_id bigint, model string, name string, arguments string, error string")
+    judged = T.verdicts(truth, told, ["base", "tuned"])
+    got = {r.model: (r.examples, r.function_name_accuracy) for r in T.accuracy(judged).collect()}
+    assert got == {"base": (4, 0.25), "tuned": (4, 0.0)}
+    assert {(r.base, r.tuned) for r in T.side_by_side(judged, ["base", "tuned"]).collect()} == {("OK", "MISS"), ("MISS", "MISS")}
+
+
+def test_a_function_called_twice(spark):
+    calls = spark.createDataFrame([(1, 0, "f"), (1, 1, "g"), (1, 2, "f"), (1, 3, "f")], "turn bigint, call bigint, name string")
+    said = spark.createDataFrame([(1, "f", 1, "second"), (1, "f", 0, "first"), (2, "f", 0, "other")],
+                                 "turn bigint, name string, part bigint, response string")
+    got = sorted((r.call, r.response) for r in T.with_responses(calls, said).collect())
+    assert got == [(0, "first"), (1, None), (2, "second"), (3, None)]
+
+
+@pytest.mark.parametrize("tools,answers,problem", [
+    ("[]", "[]", None), ('[{"name":"f"}]', '[{"name":"f","arguments":{}}]', None),
+    ('[{"name":"f","parameters":{"a":"text"}}]', "[]", "a parameter is not described by an object"),
+    ('[{"name":"f","parameters":"text"}]', "[]", "a parameter is not described by an object"),
+    ("[{", "[]", "tools are not readable"), (None, "[]", "tools are not readable"), ('{"name":"f"}', "[]", "tools are not readable"),
+    ("[]", "[},", "answers are not readable"), ("[]", "[],", "answers are not readable"), ("[]", None, "answers are not readable"),
+])
+def test_broken_rows_are_errors(spark, tools, answers, problem):
+    raw = spark.createDataFrame([(1, "q", tools, answers)], "id bigint, query string, tools string, answers string")
+    assert T.with_problems(raw).first().problem == problem
+    if problem:
+        with pytest.raises(Exception, match=problem):
+            T.parsed(raw).collect()
+    else:
+        assert T.parsed(raw).count() == 1

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.text import on_topic, render, section
 from millrace.functions.vectors import cosine, embed
 from millrace.operators import batch as B, retrieval as R
-from millrace.operators.chat import history_of, last_asks
 from millrace.operators.chunks import fixed_chunks
 from millrace.operators.nearest import nearest
 from millrace.operators.sizing import small_side
@@ -24,8 +24,6 @@ STANDALONE = (
     + B.CONTEXT_MARK + "{{question}}\n\nConversation:\n{{history}}"
 )
 
-CHUNKS_PER_DOCUMENT = 1 << 24
-
 Embed = Callable[[DataFrame, str, str], DataFrame]
 
 
@@ -33,7 +31,7 @@ def indexed(docs: DataFrame, size: int = 800, overlap: int = 60, make_vectors: E
     """(id, doc_id, source, page, text, vec): chunks of documents with their vectors, staged once."""
     cut = fixed_chunks(docs, "doc_id", "text", size, size - overlap, keep=["source"])
     named = cut.select(
-        (F.col("doc_id") * CHUNKS_PER_DOCUMENT + F.col("chunk")).alias("id"), "doc_id", "source",
+        F.xxhash64("doc_id", "chunk").alias("id"), "doc_id", "source",
         (F.col("chunk") + 1).alias("page"), "text",
     )
     return stage(make_vectors(named, "text", "vec"), "chunks")
@@ -109,55 +107,58 @@ def answer_queries(
     return on.select(*columns).unionByName(off.select(*columns))
 
 
-MESSAGES_PER_PIECE = 64
-LONGEST_HISTORY = 1_000_000
+# Characters of history that leave a task in one batch, one prompt at least.
+BATCH_CHARS = 1 << 23
 
 
-def history_text(
-    messages: DataFrame, asks: DataFrame, longest: int = LONGEST_HISTORY, piece: int = MESSAGES_PER_PIECE,
-    make_client: B.MakeClient = B.extractive_client,
-) -> DataFrame:
-    """(conv_id, history): everything said before each ask, oldest first, as one prompt text.
+def with_histories(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, text, history): every user message with all that was said before it, oldest first.
 
-    A prompt is one value, so its size must have a limit. A history of up to ``longest`` characters
-    is given word for word. A longer one is condensed by the model, ``piece`` messages at a time
-    and again until it fits, so no message is left out and no task holds more than one piece.
+    One rule for every length: the messages of a conversation are read in order, and each question leaves with the
+    whole history as it stands, word for word. A history is null for the first message. Prompts are not
+    stored or shuffled; they stream to the client that reads them, a bounded number of characters at a time, and a client
+    that cannot take one of them says so itself. What is sent grows with the square of a conversation, as
+    it does in any chat that repeats its history.
     """
-    rows = history_of(messages, asks).select(
-        "conv_id", F.col("turn").alias("seq"), F.concat("role", F.lit(": "), "text").alias("line")
-    )
-    while True:
-        rows = stage(rows, "history")
-        size = rows.groupBy("conv_id").agg(F.sum(F.length("line") + 1).alias("_chars"), F.count("*").alias("_n"))
-        # One message cannot be condensed further than to the model's own answer.
-        long = size.filter((F.col("_chars") > longest) & (F.col("_n") > 1)).select("conv_id")
-        if long.isEmpty():
-            break
-        # ``seq`` restarts from 0 without gaps after a round; turns before the first round may skip.
-        pieces = rows.join(long, "conv_id", "left_semi").groupBy(
-            "conv_id", F.floor(F.col("seq") / piece).alias("seq")
-        ).agg(F.expr("listagg(line, '\\n') within group (order by seq)").alias("_p"))
-        shorter = B.complete(
-            pieces.withColumn("_p", F.concat(F.lit(B.CONTEXT_MARK), "_p")), "_p", "line", make_client
-        ).select("conv_id", "seq", "line")
-        rows = rows.join(long, "conv_id", "left_anti").unionByName(shorter)
-    return rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("seq", "line"))).alias("_h")).select(
-        "conv_id", F.array_join(F.transform("_h", lambda m: m["line"]), "\n").alias("history")
-    )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, lines, out, size, begun = None, [], [], 0, False
+        for batch in batches:
+            for conv_id, turn, role, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if not begun or conv_id != conv:
+                    conv, lines, begun = conv_id, [], True
+                if role == "user":
+                    history = "\n".join(lines) if lines else None
+                    out.append((conv_id, turn, text, history))
+                    size += len(history or "") + len(text or "")
+                lines.append(f"{role or ''}: {text or ''}")
+                if size > BATCH_CHARS:
+                    yield _asks(out)
+                    out, size = [], 0
+        if out:
+            yield _asks(out)
+
+    ordered = messages.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text").repartition(
+        "conv_id").sortWithinPartitions("conv_id", "turn")
+    return ordered.mapInArrow(run, "conv_id bigint, turn bigint, text string, history string")
+
+
+def _asks(rows: list[tuple]) -> pa.RecordBatch:
+    types = (pa.int64(), pa.int64(), pa.string(), pa.string())
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["conv_id", "turn", "text", "history"])
 
 
 def standalone_questions(messages: DataFrame, make_client: B.MakeClient = B.extractive_client) -> DataFrame:
-    """(qid, asked, question): the last question of each conversation, rewritten where it has a history.
+    """(qid, conv_id, turn, asked, question): every question, rewritten where it has a history.
 
     The first message of a conversation is its own stand-alone question and is not sent anywhere.
     """
-    asks = stage(last_asks(messages), "asks")
-    text = history_text(messages, asks, make_client=make_client)
-    both = asks.join(text, "conv_id", "left").select(F.col("conv_id").alias("qid"), F.col("text").alias("asked"), "history")
-    prompt = render(STANDALONE, {"question": F.col("asked"), "history": F.col("history")})
-    follow_ups = B.complete(both.filter("history is not null").withColumn("_p", prompt), "_p", "question", make_client)
-    first = both.filter("history is null").withColumn("question", F.col("asked"))
-    return follow_ups.drop("_p", "history").unionByName(first.drop("history"))
+    asked = with_histories(messages).select(
+        F.xxhash64("conv_id", "turn").alias("qid"), "conv_id", "turn", F.col("text").alias("asked"),
+        F.when(F.col("history").isNotNull(),
+               render(STANDALONE, {"question": F.col("text"), "history": F.col("history")})).alias("_p"),
+    )
+    said = B.complete(asked, "_p", "_said", make_client, skip_null=True)
+    return said.withColumn("question", F.when(F.col("_p").isNull(), F.col("asked")).otherwise(F.col("_said"))).drop("_p", "_said")
 
 
 def scopes(queries: DataFrame, guards: dict[str, str]) -> DataFrame:

@@ -82,9 +82,9 @@ def _with_retries(client: Client, prompts: list[str], retries: int, wait: float)
 
 def complete(
     df: DataFrame, prompt: str, out: str, make_client: MakeClient = extractive_client,
-    retries: int = 2, wait: float = 0.5,
+    retries: int = 2, wait: float = 0.5, skip_null: bool = False,
 ) -> DataFrame:
-    """Adds ``out``: the model's plain text for the prompt column.
+    """Adds ``out``: the model's plain text for the prompt column. With ``skip_null`` rows without a prompt are not sent.
 
     Calls happen inside the tasks, a bounded number of prompts at a time; timeouts are the
     client's and are retried a few times, anything else fails the task.
@@ -94,11 +94,13 @@ def complete(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         client = make_client()
         for batch in batches:
-            asked = batch[prompt].fillna("").tolist()
+            sent = batch[prompt].notna() | (not skip_null)
+            asked = batch.loc[sent, prompt].fillna("").tolist()
             said: list[str] = []
             for lo in range(0, len(asked), PROMPTS_PER_CALL):
                 said += _with_retries(client, asked[lo:lo + PROMPTS_PER_CALL], retries, wait)
-            yield batch.assign(**{out: [s.strip() for s in said]})
+            answers = iter(said)
+            yield batch.assign(**{out: [next(answers).strip() if s else None for s in sent]})
 
     return df.mapInPandas(run, schema)
 

@@ -8,6 +8,7 @@ from millrace.operators import answering as A, batch as B
 from millrace.plans.registry import query
 from millrace.operators.sizing import spread
 from millrace.session import load
+from millrace.sources.staging import stage
 
 _BLANKS = "concat(' ', chr(9), chr(10), chr(13))"
 
@@ -80,10 +81,11 @@ def llm_rag_job(spark, d):
 
 @query("llm_history_query")
 def llm_history_query(spark, d):
-    questions = A.standalone_questions(load(spark, d, "conversations"))
+    questions = stage(A.standalone_questions(load(spark, d, "conversations")), "questions")
     chunks = A.indexed(_documents(spark, d), 1000, 200)
     done = A.answered(questions.select("qid", "question"), chunks, k=4)
-    return done.select("qid", "question", A.first_sentences(F.col("answer"), 3).alias("answer"))
+    return done.join(questions.select("qid", "conv_id", "turn"), "qid").select(
+        "conv_id", "turn", "question", A.first_sentences(F.col("answer"), 3).alias("answer"))
 
 
 _GUARDS = {"HR": ("en", "leave, the, of"), "marketing": ("fr", "brand, les"), "sales": ("de", "sales, und, ber")}

@@ -17,6 +17,15 @@ def hist_prior_turns(spark, d):
     return C.prior_turns(load(spark, d, "conversations")).drop("text")
 
 
+@query("hist_messages", """
+select a.conv_id, a.turn as ask_turn, m.turn, m.role, m.text from conversations a join conversations m
+  on a.conv_id = m.conv_id and m.turn < a.turn where a.role = 'user'""")
+def hist_messages(spark, d):
+    """The history itself: the earlier messages of every question."""
+    messages = load(spark, d, "conversations")
+    return C.history_of(messages, messages.filter("role = 'user'"))
+
+
 @query("hist_max_turns", """
 select conv_id, turn, role from (select *, sum((role = 'user')::int) over (partition by conv_id order by turn) as x,
   row_number() over (partition by conv_id order by turn) as rn from conversations) where rn <= 8 and x <= 2""")

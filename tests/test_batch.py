@@ -77,8 +77,8 @@ def test_empty_store_gives_the_fixed_sentence(spark, chunks):
 def test_first_question_is_not_rewritten(spark):
     talk = spark.createDataFrame([(1, 0, "user", "Who? Me"), (2, 0, "user", "What is X?"), (2, 1, "assistant", "A thing."), (2, 2, "user", "And Y? Or")],
                                  "conv_id bigint, turn bigint, role string, text string")
-    got = {r.qid: r.question for r in A.standalone_questions(talk).collect()}
-    assert got == {1: "Who? Me", 2: "And Y?"}
+    got = {(r.conv_id, r.turn): r.question for r in A.standalone_questions(talk).collect()}
+    assert got == {(1, 0): "Who? Me", (2, 0): "What is X?", (2, 2): "And Y?"}
 
 
 def test_first_sentences(spark):

@@ -69,22 +69,17 @@ def test_until_terminate(table, talks, most):
 
 
 def test_history_word_for_word(table, talks):
-    asks = C.last_asks(table)
-    got = {r.conv_id: r.history for r in A.history_text(table, asks).collect()}
+    got = {(r.conv_id, r.turn): r.history for r in A.with_histories(table).collect()}
+    want = {}
     for conv, rows in talks.items():
-        asked = [i for i, r in enumerate(rows) if r[2] == "user"]
-        if asked and asked[-1] > 0:
-            assert got[conv] == "\n".join(f"{r[2]}: {r[3]}" for r in rows[:asked[-1]])
-        else:
-            assert conv not in got
+        for i, (_, turn, role, _) in enumerate(rows):
+            if role == "user":
+                want[conv, turn] = "\n".join(f"{r[2]}: {r[3]}" for r in rows[:i]) if i else None
+    assert got == want
 
 
-def test_long_history_is_condensed_but_none_is_left_out(table):
-    seen = []
-
-    def client():
-        return lambda prompts: [f"[{p.count(': ')}]" for p in prompts]
-
-    asks = C.last_asks(table)
-    got = {r.conv_id: r.history for r in A.history_text(table, asks, longest=40, piece=4, make_client=client).collect()}
-    assert got and all(len(h) <= 40 for h in got.values())
+def test_long_history_stays_whole(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"message {t} " + "x" * 50) for t in range(401)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string").repartition(5)
+    last = A.with_histories(table).filter("turn = 400").first().history
+    assert last.split("\n") == [f"{r[2]}: {r[3]}" for r in rows[:400]]

@@ -2,18 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from functools import reduce
 
-# A join side up to this many (narrow) rows is sent to every executor.
+from pyspark.sql import Column, DataFrame, functions as F, types as T
+
+# A join side up to this many rows, and bytes, is sent to every executor.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
+
+
+def _bytes_of(field: T.StructField) -> Column:
+    column, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, (T.NumericType, T.BooleanType)):
+        size = F.size(column) * 8
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        size = F.octet_length(F.to_json(F.struct(column)))
+    else:
+        size = F.lit(8)
+    return F.coalesce(size.cast("bigint"), F.lit(0)) + 8
 
 
-def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` marked for broadcast if it is counted to be small, else left to a shuffle join.
+def small_side(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` marked for broadcast if it is measured to be small, in rows and bytes, else left to a shuffle join.
 
-    Meant for staged or source tables: the count must be cheap. Reading stops at the limit.
+    Meant for staged or source tables: measuring must be cheap. Reading stops at the limit of rows.
     """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+    each = reduce(Column.__add__, [_bytes_of(f) for f in df.schema.fields])
+    n, total = df.limit(rows + 1).agg(F.count("*"), F.coalesce(F.sum(each), F.lit(0))).first()
+    return F.broadcast(df) if n <= rows and total <= size else df
 
 
 def spread(source: DataFrame) -> DataFrame:

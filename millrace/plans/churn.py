@@ -221,7 +221,10 @@ def ml_auc(spark, d):
 
 
 def _features(spark, d) -> DataFrame:
-    return X.one_hot(X.one_hot(training_table(spark, d), "plan"), "country").drop("payment_method")
+    table = training_table(spark, d)
+    for column in ("plan", "country", "payment_method"):
+        table = X.one_hot(table, column)
+    return table
 
 
 @query("ml_train_churn")

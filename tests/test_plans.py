@@ -66,3 +66,15 @@ def test_running_values_shuffle_rows_once(spark, sf):
     # one exchange for the rows, two for the totals (sum, then place beside the rows) and one per window
     wide = [e for e in re.findall(r"Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan) if "text" in e]
     assert len(wide) == 1
+
+
+def test_small_sides_are_measured_in_bytes(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.operators.sizing import small_side
+    some = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"), F.array(F.struct("id")).alias("a"))
+
+    def marked(df):
+        return "Hint" in df._jdf.queryExecution().analyzed().toString()
+
+    assert marked(small_side(some)) and not marked(small_side(some, rows=99)) and not marked(small_side(some, size=100_000))

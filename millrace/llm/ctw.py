@@ -161,22 +161,25 @@ class Top:
 class Model:
     """All that is needed to score positions whose last two context bytes belong to one slice.
 
-    Kept are the log probabilities of the n-grams that training has seen and, for all others, each node's key,
-    estimate and weight.
+    Kept are the log probabilities of the n-grams that training has seen and, for all others, what tells them bit by bit: each
+    node's key, estimate and weight, and at the full depth, where nodes are many and weigh all, only running counts.
     """
 
     def __init__(self, top: Top, gram: np.ndarray, count: np.ndarray):
         tree = Subtree(gram, count)
         self.gram, self.nodes = gram, []
+        self.upto = np.concatenate([[0], np.cumsum(count)])
         log = np.zeros(len(gram))
         for l in range(8):
             zero, one, up1 = top.levels(l)
             own = tree.levels(l)
             places = [None, up1, np.searchsorted(top.gram, tree.tables[2][0] & _mask(2)), *[tree.up[d] for d in range(3, DEPTH + 1)]]
             got, left, kept = np.zeros(1), np.ones(1), []
-            for d, level in enumerate([zero, one, *[own[d] for d in range(2, DEPTH + 1)]]):
+            for d in range(DEPTH + 1):
+                level = zero if d == 0 else one if d == 1 else own.pop(d)
                 p, weight = level.one(), level.weight
-                kept.append((level.key, p.astype(np.float32), weight.astype(np.float32)))
+                if d < DEPTH:
+                    kept.append((level.key, p.astype(np.float32), weight.astype(np.float32)))
                 got, left = (got[places[d]], left[places[d]]) if d else (np.zeros(len(level.at)), np.ones(len(level.at)))
                 p, weight = p[level.at], weight[level.at]
                 got = got + left * weight * np.where(level.bit, p, 1 - p)
@@ -201,15 +204,19 @@ class Model:
             bit = (byte >> (7 - l) & 1).astype(bool)
             got, left = np.zeros(len(gram)), np.ones(len(gram))
             for d, (keys, one, weights) in enumerate(depths):
-                key = (gram & _mask(d + 1)) >> 8 << 8 | 1 << l | byte >> (8 - l)
                 if not len(keys):
                     break
+                key = (gram & _mask(d + 1)) >> 8 << 8 | 1 << l | byte >> (8 - l)
                 at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
                 weight = np.where(keys[at] == key, weights[at], 0.0)
                 got += left * weight * np.where(bit, one[at], 1 - one[at])
                 left *= 1 - weight
-            # where a node has never been met, neither have those below, and all say one half
-            out += np.log10(got + left * 0.5)
+            # at the full depth: the n-grams that agree up to this bit, and those of them that go on with zero
+            low = gram >> (8 - l) << (8 - l)
+            begin, middle, end = (self.upto[np.searchsorted(self.gram, low + step)] for step in (0, 1 << (7 - l), 1 << (8 - l)))
+            one = np.where(bit, end - middle, middle - begin)
+            # without any, both say one half, as in all nodes that have never been met
+            out += np.log10(got + left * (one + 0.5) / (end - begin + 1.0))
         return out
 
 
@@ -233,10 +240,10 @@ def _count_grams(batches):
             for g, _ in grams(_words(some, 0)):
                 held.append(np.unique(g, return_counts=True))
                 size += len(held[-1][0])
-                if size > 1_500_000:
+                if size > 1_000_000:
                     held = [out()]
                     size = len(held[0][0])
-                    if size > 750_000:
+                    if size > 500_000:
                         yield from emit(*held[0])
                         held, size = [], 0
     if held:
@@ -255,7 +262,7 @@ def _count_words(batches):
     for batch in batches:
         for text in batch.column(0).cast(pa.binary()).to_pylist():
             count.update((text or b"").lower().split())
-            if len(count) > 400_000:
+            if len(count) > 200_000:
                 yield from emit()
     yield from emit()
 

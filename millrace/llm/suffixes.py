@@ -18,12 +18,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from millrace.llm.frames import by_slices, numbered
+from millrace.llm.frames import by_slices, numbered, slices
 from millrace.operators.sizing import small_side
 from millrace.sources.staging import stage
 
 #: Bytes that are hashed or sorted at a time, and chunks that a task keeps to find equal ones.
-BLOCK = 1 << 22
+BLOCK = 1 << 20
 KEPT = 100_000
 SHALLOW = 24
 #: Chunks about one anchor that are sorted together; more are compared window by window.
@@ -96,7 +96,7 @@ def _pieces(text: bytes, length: int) -> Iterator[tuple[int, bytes]]:
 def _blocks(batches, length: int):
     """Joined pieces of bounded size: (row of each, where in its text each begins, the pieces)."""
     rows, starts, some, size = [], [], [], 0
-    for batch in batches:
+    for batch in (some for whole in batches for some in slices(whole, 512, whole.schema.get_field_index("text"))):
         for row, text in zip(batch.column("row").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist()):
             if text is None or len(text) < length:
                 continue

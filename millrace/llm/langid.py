@@ -5,7 +5,6 @@ All models are columns of shared tables: sorted arrays of packed character n-gra
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np

@@ -9,7 +9,7 @@ from math import erf
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from millrace.llm.frames import by_slices, documents
 from millrace.llm.tokens import Encoder

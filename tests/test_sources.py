@@ -1,6 +1,5 @@
 """Reading, checking and rebuilding."""
 
-import os
 
 import pytest
 from pyspark.errors import AnalysisException

@@ -70,8 +70,12 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Log of the KT probability of any sequence with these counts."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - np.log(np.pi)
+    """Log of the KT probability of any sequence with these counts; a part at a time, as it takes many arrays between."""
+    out = np.empty(len(zeros))
+    for i in range(0, len(out), 1 << 16):
+        a, b = zeros[i:i + (1 << 16)], ones[i:i + (1 << 16)]
+        out[i:i + (1 << 16)] = log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1.0) - np.log(np.pi)
+    return out
 
 
 @dataclass

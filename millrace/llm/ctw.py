@@ -23,10 +23,10 @@ from millrace.sources.staging import stage
 DEPTH = 5
 #: n-grams of the model that a scoring pass holds; a larger model is cut by the last two context bytes, and takes
 #: several passes. Each pass is split into PARTS groups for training.
-SLICE = 4_000_000
+SLICE = 1_000_000
 PARTS = 64
 #: Words whose counts are sent to all tasks: at most this many, none longer than WORD bytes. The others are joined.
-FREQUENT = 300_000
+FREQUENT = 150_000
 WORD = 64
 END = b"\n"
 

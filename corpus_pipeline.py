@@ -34,7 +34,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack(docs, public_tokenizers.path(TOKENIZER), size=1024)
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER), size=1024, added=True)
 
 
 STAGES = [("language_id", language_id), ("simhash_dedup", simhash_dedup), ("substring_dedup", substring_dedup),

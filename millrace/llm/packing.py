@@ -72,14 +72,14 @@ def curve_keys(documents_ids: list[np.ndarray]) -> np.ndarray:
 
 
 @cache
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+def _encoder(path: str, added: bool) -> Encoder:
+    return Encoder(path, added)
 
 
-def tokenised(docs: DataFrame, path: str) -> DataFrame:
+def tokenised(docs: DataFrame, path: str, added: bool = False) -> DataFrame:
     """(doc_id, curve, ids): ids with the end mark, as unsigned little-endian numbers of 16 bits if they fit."""
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        encoder = _encoder(path)
+        encoder = _encoder(path, added)
         all_ids = [encoder.encode(x) for x in batch.column(1).to_pylist()]
         curve = curve_keys(all_ids)
         width = "<u2" if encoder.core.max_token_value < 1 << 16 else "<u4"
@@ -155,7 +155,7 @@ def _rows(pieces: list[tuple]) -> list[tuple]:
     return out
 
 
-def pack(docs: DataFrame, path: str, size: int = 1024) -> DataFrame:
+def pack(docs: DataFrame, path: str, size: int = 1024, added: bool = False) -> DataFrame:
     """Pieces of documents in sequences of ``size`` tokens, one row per piece.
 
     Documents are ordered by the Hilbert key of their projected token vector (ties by doc_id, then by their
@@ -163,9 +163,10 @@ def pack(docs: DataFrame, path: str, size: int = 1024) -> DataFrame:
     becomes sequences whose lengths are powers of two, so nothing is padded; sequence_tokens is the length.
     A document is its tokens and the end mark 0; null and empty texts are the end mark alone, in the
     middle of the curve. Repeated rows and rows without a doc_id are packed like any other. An empty table gives an
-    empty result. sequence_id holds the task in its upper bits.
+    empty result. sequence_id holds the task in its upper bits. With ``added``, strings of the file's added tokens have those
+    tokens' ids, as in the library's default setting, else they are ordinary text.
     """
-    tokens = stage(tokenised(docs, path), "tokens")
+    tokens = stage(tokenised(docs, path, added), "tokens")
     ordered = tokens.repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id", "ids")
-    wide = _encoder(path).core.max_token_value >= 1 << 16
+    wide = _encoder(path, added).core.max_token_value >= 1 << 16
     return ordered.select("doc_id", "ids").mapInArrow(_pack(size, wide), ", ".join(f"{c} long" for c in COLUMNS))

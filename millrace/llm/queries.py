@@ -30,7 +30,7 @@ def op1_simhash(spark, sf_dir):
 def op2_packing(spark, sf_dir):
     import public_tokenizers
 
-    return packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), size=1024)
+    return packing.pack(load(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), size=1024, added=True)
 
 
 @query()

@@ -60,3 +60,19 @@ def test_alike_documents_are_near(spark):
 
 def test_no_rows(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+def test_added_tokens_have_their_ids(spark, tmp_path):
+    from millrace.llm.queries import QUERIES
+
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x  <|endoftext|>\n\n<|endoftext|><|endoftext|>  y", "<|endoftext", "don't  stop ", None]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    df.coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [np.array([*tokenizer.encode(t or "", add_special_tokens=False).ids, 0], "<u4") for t in texts]
+    assert 50256 in want[0]
+    got = QUERIES["op2_packing"](spark, str(tmp_path)).collect()
+    assert {r.doc_id for r in got} == {*range(len(texts))}
+    for r in got:
+        ids = want[r.doc_id]
+        assert r.doc_tokens == len(ids) and r.ids_crc32 == zlib.crc32(ids[r.start:r.start + r.length].tobytes())

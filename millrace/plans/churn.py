@@ -12,7 +12,7 @@ from millrace.plans.standins import (
 )
 from millrace.session import load
 from millrace.sources import readers
-from millrace.sources.staging import fresh_path
+from millrace.sources.staging import fresh_path, stage
 
 
 def day_text(column: str = "dt"):
@@ -229,17 +229,17 @@ def _features(spark, d) -> DataFrame:
 
 @query("ml_train_churn")
 def ml_train_churn(spark, d):
-    table = _features(spark, d)
+    table = stage(_features(spark, d), "features")
     parts = X.stratified_split(table, "churned_next_30d", "subscriber_id", 0.25, 42)
     model, columns = L.train_boosted(parts.filter("split = 'train'").drop("split"), "churned_next_30d",
-                                     ["subscriber_id"], rounds=5)
+                                     ["subscriber_id"])
     scored = L.score(model, columns, parts.filter("split = 'test'"))
     return L.auc(scored, "churned_next_30d", "probability").select(F.round("auc", 4).alias("auc"), "positives", "negatives")
 
 
 @query("ml_importance")
 def ml_importance(spark, d):
-    model, columns = L.train_boosted(_features(spark, d), "churned_next_30d", ["subscriber_id"], rounds=5)
+    model, columns = L.train_boosted(stage(_features(spark, d), "features"), "churned_next_30d", ["subscriber_id"])
     return L.importances(spark, model, columns)
 
 

@@ -45,3 +45,22 @@ def test_leaderboard_ties_and_missing(spark):
     runs = spark.createDataFrame([(1, 0.9), (2, 0.9), (3, 0.5), (3, 0.8), (4, None)], "student_id int, auc double")
     got = {r.student_id: (r.runs, r.auc, r.place) for r in L.leaderboard(runs).collect()}
     assert got == {1: (1, 0.9, 1), 2: (1, 0.9, 1), 3: (2, 0.8, 3), 4: (1, None, 4)}
+
+
+@pytest.mark.parametrize("name", ["ml_train_churn", "ml_importance"])
+def test_registered_queries_fit_all_rounds(spark, sf, monkeypatch, name):
+    from millrace.plans import QUERIES
+
+    asked = []
+
+    class Stop(Exception):
+        pass
+
+    def boosted(rounds, depth, rate, seed):
+        asked.append((rounds, depth, rate))
+        raise Stop
+
+    monkeypatch.setattr(L, "_boosted", boosted)
+    with pytest.raises(Stop):
+        QUERIES[name](spark, sf)
+    assert asked == [(300, 6, 0.1)]

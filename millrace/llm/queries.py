@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from millrace.llm import chaining, collisions, ctw, langid, mixing, packing, pq, sharding, simhash, suffixes
+from millrace.llm import (chaining, collisions, ctw, langid, mixing, packing, pivots, pq, sharding, simhash, sql, suffixes,
+                          zones)
 from millrace.session import load
 
 #: Named in the packing query's contract; a parameter of the operator.
@@ -71,3 +72,13 @@ def op9_langid(spark, sf_dir):
 @query()
 def op10_ctw(spark, sf_dir):
     return ctw.score(load(spark, sf_dir, "documents"))
+
+
+@query(sql.codes())
+def op11_pivots(spark, sf_dir):
+    return pivots.compress(load(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
+
+
+@query(sql.clusters())
+def op13_zones(spark, sf_dir):
+    return zones.cluster(load(spark, sf_dir, "embeddings"), dim=64, scale=64, k=16, rounds=3)

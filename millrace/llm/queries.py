@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from millrace.llm import (chaining, collisions, ctw, langid, mixing, packing, pivots, pq, sharding, simhash, sql, suffixes,
-                          zones)
+from millrace.llm import (chaining, collisions, ctw, langid, licence_texts, licences, mixing, packing, pivots, pq, sharding,
+                          simhash, sql, suffixes, zones)
 from millrace.session import load
 
 #: Named in the packing query's contract; a parameter of the operator.
@@ -79,6 +79,11 @@ def op11_pivots(spark, sf_dir):
     return pivots.compress(load(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
 
 
+@query(sql.licence_scan(licence_texts.TEMPLATES, licence_texts.PHRASES))
+def op12_licences(spark, sf_dir):
+    return licences.scan(load(spark, sf_dir, "documents"), licence_texts.TEMPLATES, licence_texts.PHRASES).drop("places")
+
+
 @query(sql.clusters())
 def op13_zones(spark, sf_dir):
     return zones.cluster(load(spark, sf_dir, "embeddings"), dim=64, scale=64, k=16, rounds=3)

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
+from millrace.llm import licences
+
 #: Whole numbers of SQL's integer division are cut towards zero; means are to go down.
 _FLOOR = "(s - ((s % n) + n) % n) // n"
 
@@ -76,3 +80,36 @@ def clusters(dim: int = 64, scale: int = 64, k: int = 16, rounds: int = 3) -> st
       SELECT o.vec_id, o.b.c::INTEGER AS cluster, o.b.d AS distance, sum(o.b.d) OVER (PARTITION BY o.b.c)::BIGINT AS cluster_inertia,
              sum(o.b.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(m.v, ',')) AS centroid_sha256
       FROM own{rounds} o JOIN centre{rounds} m ON m.c = o.b.c"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def licence_scan(templates: Sequence[tuple[str, str]], phrases: Mapping[str, str]) -> str:
+    """Templates as regular expressions over the words, each followed by a blank."""
+    base = []
+    for phrase, label in phrases.items():
+        words = licences.words(phrase)
+        there = " AND ".join(f"w[i + {n + 1}] = {_quoted(x.decode())}" for n, x in enumerate(words))
+        base.append(f"list_transform(list_filter(range(len(w)), lambda i: {there}), lambda i: {{'place': i, 'label': {_quoted(label)}}})")
+    found = [f"CASE WHEN regexp_matches(joined, {_quoted(' ' + licences.pattern(licences.parse(markup)))}) THEN {_quoted(label)} END"
+             for label, markup in templates]
+    distinct = "array_to_string(list_sort(list_distinct({})), ',')"
+    return f"""
+      WITH split AS (
+        SELECT doc_id, string_split(trim(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                        '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' '), ' ') AS w
+        FROM documents),
+      cut AS (SELECT doc_id, CASE WHEN w = [''] THEN [] ELSE w END AS w FROM split),
+      named AS (
+        SELECT doc_id, w, ' ' || array_to_string(w, ' ') || ' ' AS joined, flatten([{", ".join(base)}]) AS base FROM cut),
+      kept AS (
+        SELECT doc_id, w, base, list_transform(base, lambda b: b.place) AS place, list_transform(base, lambda b: b.label) AS own,
+               list_filter([{", ".join(found)}], lambda x: x IS NOT NULL) AS found
+        FROM named)
+      SELECT doc_id, len(w)::BIGINT AS n_words, len(base)::BIGINT AS n_base, list_min(place)::BIGINT AS first_word,
+             list_max(place)::BIGINT AS last_word, {distinct.format("own")} AS base_labels,
+             {distinct.format("list_concat(own, found)")} AS labels,
+             CASE WHEN len(found) > 0 THEN 1.0 WHEN len(own) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
+      FROM kept"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from millrace.sources.staging import stage
 
@@ -43,6 +43,28 @@ def sample_rows(df: DataFrame, key: str, n: int = 3) -> DataFrame:
     return df.orderBy(key).limit(n)
 
 
+def described(name: str, df: DataFrame, keys: list[str], n: int = 3, wide: int = 40) -> DataFrame:
+    """``table_info`` with a column ``sample``: the values of the n rows with the lowest keys, cut to ``wide`` characters each,
+    in the order of their keys.
+
+    The keys are looked up first, by a scan that reads nothing else; the rows are fetched by a filter that files can skip by.
+    """
+    lowest = df.select(*keys).orderBy(*keys).limit(n).collect()
+    last = F.lit(False)
+    for r in lowest:
+        last = last | reduce(Column.__and__, [F.col(k).eqNullSafe(F.lit(r[k])) for k in keys])
+    rows = df.where(last).orderBy(*keys).limit(n)
+    shown = [F.concat(F.size(f"`{f.name}`").cast("string"), F.lit(" values")) if isinstance(f.dataType, (T.ArrayType, T.MapType))
+             else F.left(F.col(f"`{f.name}`").cast("string"), F.lit(wide)) for f in df.schema.fields]
+    cells = F.array(*[F.struct(F.lit(i + 1).cast("bigint").alias("position"), F.coalesce(c, F.lit("NULL")).alias("value"))
+                      for i, c in enumerate(shown)])
+    # at most n values per column meet in a group
+    sample = (rows.select(F.struct(*keys).alias("key"), F.explode(cells).alias("cell")).groupBy("cell.position")
+              .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("key", "cell.value"))), lambda x: x["value"]), " | ").alias("sample")))
+    return table_info(name, df).join(F.broadcast(sample), "position", "left").select(
+        "table_name", "position", "column_name", "data_type", "filled", "sample")
+
+
 def check_counts(counts: DataFrame, expected: DataFrame) -> DataFrame:
     """(table_name, expected, actual, status): ok, MISMATCH or MISSING for every expected table."""
     both = expected.join(counts, "table_name", "left")

@@ -13,7 +13,7 @@ from millrace.operators import batch as B, retrieval as R
 from millrace.operators.chunks import fixed_chunks
 from millrace.operators.nearest import nearest
 from millrace.operators.sizing import small_side
-from millrace.sources.staging import stage
+from millrace.sources.staging import fresh_path, stage, write_by
 
 GUARD = "{{guard}}\nQuestion: {{question}}"
 REFUSAL_CASE = 'Someone asked: "{{question}}"\nThis assistant follows: "{{guard}}"\nThe question is outside of that.'
@@ -27,14 +27,31 @@ STANDALONE = (
 Embed = Callable[[DataFrame, str, str], DataFrame]
 
 
-def indexed(docs: DataFrame, size: int = 800, overlap: int = 60, make_vectors: Embed = embed) -> DataFrame:
-    """(id, doc_id, source, page, text, vec): chunks of documents with their vectors, staged once."""
-    cut = fixed_chunks(docs, "doc_id", "text", size, size - overlap, keep=["source"])
+def by_digest(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Vectors that SQL can compute too, see ``digest_embedder``."""
+    return B.embed_with(df, text, out, B.digest_embedder)
+
+
+def indexed(
+    docs: DataFrame, size: int = 800, overlap: int = 60, make_vectors: Embed = embed, make_id: Column | None = None,
+    of: str | None = None,
+) -> DataFrame:
+    """(id, doc_id, source, page, text, vec): chunks of documents with their vectors, staged once.
+
+    ``make_id`` tells the id from doc_id and chunk (from 0), else it is a hash of them. ``of`` names a column of ``docs`` that says who
+    may see a document; it becomes the column ``of`` of the store, which has a folder for each of its (few) values.
+    """
+    cut = fixed_chunks(docs, "doc_id", "text", size, size - overlap, keep=["source", *([of] if of else [])])
     named = cut.select(
-        F.xxhash64("doc_id", "chunk").alias("id"), "doc_id", "source",
-        (F.col("chunk") + 1).alias("page"), "text",
+        (F.xxhash64("doc_id", "chunk") if make_id is None else make_id.cast("bigint")).alias("id"), "doc_id", "source",
+        (F.col("chunk") + 1).alias("page"), "text", *([F.col(of).cast("string").alias("of")] if of else []),
     )
-    return stage(make_vectors(named, "text", "vec"), "chunks")
+    vectors = make_vectors(named, "text", "vec")
+    if not of:
+        return stage(vectors, "chunks")
+    path = fresh_path(docs.sparkSession, "chunks")
+    write_by(vectors, "of", path)
+    return docs.sparkSession.read.schema(vectors.schema).parquet(path)
 
 
 def guarded(queries: DataFrame, make_client: B.MakeClient) -> DataFrame:
@@ -55,9 +72,17 @@ def refused(queries: DataFrame, make_client: B.MakeClient = B.extractive_client)
 def found_chunks(
     queries: DataFrame, chunks: DataFrame, k: int = 20, rerank: bool = False, make_vectors: Embed = embed
 ) -> DataFrame:
-    """(qid, id, rank, source, page, text, relevance_score) of the k chunks closest to each question."""
-    vectors = make_vectors(queries.select("qid", "question"), "question", "vec").select("qid", "vec")
-    found = stage(nearest(vectors, chunks.select("id", "vec"), k), "ranked")
+    """(qid, id, rank, source, page, text, relevance_score) of the k chunks closest to each question.
+
+    Where questions carry a set of values (``sees``), each is answered from the chunks whose ``of`` is among them.
+    """
+    scoped = "sees" in queries.columns
+    vectors = stage(make_vectors(queries.select("qid", "question"), "question", "vec").select("qid", "vec"), "question-vectors")
+    if scoped:
+        found = nearest(vectors.join(queries.select("qid", "sees"), "qid"), chunks.select("id", "vec", "of"), k, scoped=True)
+    else:
+        found = nearest(vectors, chunks.select("id", "vec"), k)
+    found = stage(found, "ranked")
     # k rows per query go to the chunks, so that the corpus is not shuffled for a few texts.
     rows = chunks.join(small_side(found), "id").join(vectors.withColumnRenamed("vec", "_q"), "qid")
     scored = rows.withColumn("relevance_score", cosine(F.col("vec"), F.col("_q")))
@@ -97,13 +122,13 @@ def answered(
 
 def answer_queries(
     queries: DataFrame, chunks: DataFrame, guard_client: B.MakeClient, k: int = 20, rerank: bool = False,
-    make_client: B.MakeClient = B.extractive_client,
+    make_client: B.MakeClient = B.extractive_client, make_vectors: Embed = embed, keep: list[str] = (),
 ) -> DataFrame:
-    """(qid, question, on_topic, answer, cards): off-topic questions are refused without retrieval."""
+    """(qid, question, kept columns, on_topic, answer, cards): off-topic questions are refused without retrieval."""
     checked = guarded(queries, guard_client)
     off = refused(checked.filter(~F.col("on_topic")), make_client).withColumn("cards", F.lit(""))
-    on = answered(checked.filter("on_topic"), chunks, k, rerank, make_client)
-    columns = ["qid", "question", "on_topic", "answer", "cards"]
+    on = answered(checked.filter("on_topic"), chunks, k, rerank, make_client, make_vectors)
+    columns = ["qid", "question", *keep, "on_topic", "answer", "cards"]
     return on.select(*columns).unionByName(off.select(*columns))
 
 
@@ -167,6 +192,23 @@ def scopes(queries: DataFrame, guards: dict[str, str]) -> DataFrame:
     return queries.withColumn("_s", F.explode(offered)).select("*", "_s.scope", "_s.guard").drop("_s")
 
 
+def answer_scopes(
+    queries: DataFrame, scopes_of: dict[str, tuple[str, list[str]]], chunks: DataFrame, guard_client: B.MakeClient, k: int = 20,
+    rerank: bool = False, make_client: B.MakeClient = B.extractive_client, make_vectors: Embed = embed,
+) -> DataFrame:
+    """(qid, question, scope, on_topic, answer, cards): an answer or a refusal for every question and scope.
+
+    ``scopes_of`` gives each scope its guard prompt and the values of ``of`` it may see. A refusal is the guard's; what a scope
+    may see is decided by the store's metadata, whatever the guard has said. One scan of the store serves all scopes.
+    """
+    offered = F.array(*[F.struct(F.lit(s).alias("scope"), F.lit(g).alias("guard"), F.array(*map(F.lit, sees)).cast("array<string>").alias("sees"))
+                        for s, (g, sees) in scopes_of.items()])
+    asked = queries.select(F.col("qid").alias("_q"), "question", F.explode(offered).alias("_s")).select(
+        F.xxhash64("_q", "_s.scope").alias("qid"), "_q", "question", "_s.*")
+    done = answer_queries(asked, chunks, guard_client, k, rerank, make_client, make_vectors, keep=["_q", "scope"])
+    return done.select(F.col("_q").alias("qid"), "question", "scope", "on_topic", "answer", "cards")
+
+
 EXTRACT = (
     "List what the text below says about compute power, scalability and storage within <products></products> tags, "
     'or say "No relevant information found!".\n\n' + B.CONTEXT_MARK + "{{catalog}}"

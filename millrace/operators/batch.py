@@ -7,9 +7,11 @@ answers the same way every time.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import time
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -118,6 +120,31 @@ def embed_with(df: DataFrame, text: str, out: str, make_embedder: Callable[[], C
     return df.mapInPandas(run, schema)
 
 
+_ASCII = re.compile("[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
+_SMALL = {c: c + 32 for c in range(65, 91)}
+
+
+def digest_embedder(dims: int = 64) -> Callable[[list[str]], np.ndarray]:
+    """An embedding that any engine can repeat: words counted by a bucket of their MD5, as whole thousandths of unit length.
+
+    A-Z count as small letters; words are what ASCII characters other than letters and digits leave between them. As all values are
+    whole numbers, so are squared distances, and nothing depends on the order of additions.
+    """
+    @lru_cache(1 << 16)
+    def bucket(word: str) -> int:
+        return int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % dims
+
+    def embed(texts: list[str]) -> np.ndarray:
+        counts = np.zeros((len(texts), dims))
+        for row, text in zip(counts, texts):
+            for word in _ASCII.split(text.translate(_SMALL)):
+                if word:
+                    row[bucket(word)] += 1
+        size = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
+        return np.floor(np.divide(1000 * counts, size, out=np.zeros_like(counts), where=size > 0))
+    return embed
+
+
 def model_matrix(prompts: DataFrame, key: list[str], prompt: str, clients: dict[str, MakeClient]) -> DataFrame:
     """(key, one answer column per model): every prompt given to every model.
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -110,47 +111,70 @@ def _sound(key: str) -> Column:
         F.raise_error(F.concat(F.lit(f"not a number in the vector of {key} "), F.col(key).cast("string"))))
 
 
-def _asked(queries: DataFrame) -> DataFrame:
+def _asked(queries: DataFrame, scoped: bool = False) -> DataFrame:
     """Queries on disk: they are measured first and read again, but computed once."""
-    whole = queries.select(F.col("qid").cast("bigint"), F.col("vec").cast("array<double>")).filter("vec is not null")
+    sees = F.col("sees").cast("array<string>") if scoped else F.lit(None).cast("array<string>")
+    whole = queries.select(F.col("qid").cast("bigint"), F.col("vec").cast("array<double>"), sees.alias("sees")).filter("vec is not null")
     return stage(whole.withColumn("vec", _sound("qid")), "queries")
 
 
-Score = Callable[[np.ndarray, np.ndarray, Iterator[pa.RecordBatch], int], Iterator[pa.RecordBatch]]
+@dataclass
+class Block:
+    """Queries that go to the corpus together; ``sees`` holds what each may see, where that is limited."""
 
+    qids: np.ndarray
+    matrix: np.ndarray
+    sees: list[list[str] | None]
 
-def _scans(queries: DataFrame, corpus: DataFrame, score: Score, schema: str, block_numbers: int) -> DataFrame:
+
+Score = Callable[[Block, Iterator[pa.RecordBatch], int], Iterator[pa.RecordBatch]]
+
+# Up to this many different values the corpus is cut by a filter that files can skip by, beyond by a join.
+FILTER_VALUES = 1000
+
+
+def _in_sight(corpus: DataFrame, queries: DataFrame) -> DataFrame:
+    """The rows that some query may see."""
+    values = queries.select(F.explode("sees").alias("of")).filter("of is not null").distinct()
+    few = [r.of for r in values.limit(FILTER_VALUES + 1).collect()]
+    return corpus.filter(F.col("of").isin(few)) if len(few) <= FILTER_VALUES else corpus.join(values, "of", "left_semi")
+
+
+def _scans(queries: DataFrame, corpus: DataFrame, score: Score, schema: str, block_numbers: int, scoped: bool = False) -> DataFrame:
     """What ``score`` makes of every block of queries and every part of the corpus.
 
-    ``score`` gets the block's ids and matrix, the batches of a task and the vectors' length. The driver
+    ``score`` gets the block, the batches of a task and the vectors' length. The driver
     holds one block at a time; all results are read from one folder.
     """
     spark = queries.sparkSession
-    size = queries.agg(F.count("*"), F.max(F.size("vec")), F.min(F.size("vec"))).first()
-    n_queries, dims = size[0], size[1]
+    numbers = F.size("vec") + 8 * F.coalesce(F.size("sees"), F.lit(0)) if scoped else F.size("vec")
+    n_queries, dims, least, total = queries.agg(F.count("*"), F.max(F.size("vec")), F.min(F.size("vec")), F.sum(numbers)).first()
     if not n_queries:
         return spark.createDataFrame([], schema)
-    if size[1] != size[2]:
+    if dims != least:
         raise ValueError("query vectors differ in length")
-    corpus = corpus.select(F.col("id").cast("bigint"), F.col("vec")).filter("vec is not null")
+    if scoped:
+        corpus = _in_sight(corpus, queries)
+    more = [F.col("of").cast("string").alias("of")] if scoped else []
+    corpus = corpus.select(F.col("id").cast("bigint"), F.col("vec"), *more).filter("vec is not null")
     # A vector of another length than the queries is an error of the store, not a far neighbour.
     corpus = corpus.withColumn(
         "vec",
         F.when(F.size("vec") == dims, _sound("id"))
         .otherwise(F.raise_error(F.concat(F.lit("wrong vector length for id "), F.col("id").cast("string")))),
     )
-    blocks = max(1, math.ceil(n_queries * dims / block_numbers))
+    blocks = max(1, math.ceil(total / block_numbers))
     path = fresh_path(spark, "scans")
     for b in range(blocks):
         rows = queries.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b).collect()
         if not rows:
             continue
-        qids = np.array([r[0] for r in rows], dtype=np.int64)
-        matrix = np.array([r[1] for r in rows], dtype=np.float64).reshape(-1, dims)
-        shared = spark.sparkContext.broadcast((qids, matrix))
+        block = Block(np.array([r.qid for r in rows], dtype=np.int64),
+                      np.array([r.vec for r in rows], dtype=np.float64).reshape(-1, dims), [r.sees for r in rows])
+        shared = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            yield from score(*shared.value, batches, dims)
+            yield from score(shared.value, batches, dims)
 
         part = corpus.mapInArrow(scan, schema)
         if blocks == 1:
@@ -160,25 +184,67 @@ def _scans(queries: DataFrame, corpus: DataFrame, score: Score, schema: str, blo
     return spark.read.schema(schema).parquet(path)
 
 
+class _Sight:
+    """Which rows of a batch go to which queries; queries that see the same are one group."""
+
+    def __init__(self, sees: list[list[str] | None]):
+        members: dict[frozenset, list[int]] = {}
+        for at, values in enumerate(sees):
+            members.setdefault(frozenset(values or ()) - {None}, []).append(at)
+        self.groups = [np.array(at) for at in members.values()]
+        self.of: dict[str, list[int]] = {}
+        for group, values in enumerate(members):
+            for value in values:
+                self.of.setdefault(value, []).append(group)
+
+    def rows(self, column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
+        """(group, the rows it sees), for the groups that see any."""
+        values = column.dictionary_encode()
+        codes = values.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        seen: dict[int, list[np.ndarray]] = {}
+        for code, value in enumerate(values.dictionary.to_pylist()):
+            groups = self.of.get(value)
+            if groups:
+                rows = np.flatnonzero(codes == code)
+                for group in groups:
+                    seen.setdefault(group, []).append(rows)
+        for group, rows in seen.items():
+            yield group, np.concatenate(rows)
+
+
+FOUND = "qid bigint, id bigint, distance double"
+
+
 def nearest(
-    queries: DataFrame, corpus: DataFrame, k: int, metric: str = "l2", broadcast_numbers: int = BROADCAST_NUMBERS
+    queries: DataFrame, corpus: DataFrame, k: int, metric: str = "l2", broadcast_numbers: int = BROADCAST_NUMBERS,
+    scoped: bool = False,
 ) -> DataFrame:
     """(qid, id, distance, rank) of the k closest corpus vectors per query, ties by id.
 
     ``queries`` is (qid bigint, vec array), ``corpus`` is (id bigint, vec array). Distances are exact in
     double precision at any scale of the values, and ranked as they are, unrounded.
+
+    With ``scoped``, a query also carries the values it may see (``sees``, an array) and a corpus row the one it has
+    (``of``): all queries are answered by one scan of the rows that any of them may see, each from its own.
+    Rows without a value are seen by no query, and a query that may see nothing finds nothing.
     """
-    def score(qids, matrix, batches, dims):
-        best = _Best(matrix, k, metric)
+    def found(block: Block, at: np.ndarray, best: _Best) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(block.qids[at][best.q]), pa.array(best.i), pa.array(best.d)], ["qid", "id", "distance"])
+
+    def score(block, batches, dims):
+        sight = _Sight(block.sees) if scoped else None
+        groups = sight.groups if scoped else [np.arange(len(block.qids))]
+        best = [_Best(block.matrix[at], k, metric) for at in groups]
         for batch in batches:
             if batch.num_rows:
-                best.add(batch.column("id").to_numpy(), _matrix(batch.column("vec"), dims))
-        if len(best.q):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(qids[best.q]), pa.array(best.i), pa.array(best.d)], ["qid", "id", "distance"]
-            )
+                ids, vectors = batch.column("id").to_numpy(), _matrix(batch.column("vec"), dims)
+                for group, rows in sight.rows(batch.column("of")) if scoped else [(0, slice(None))]:
+                    best[group].add(ids[rows], vectors[rows])
+        for at, one in zip(groups, best):
+            if len(one.q):
+                yield found(block, at, one)
 
-    return _merge(_scans(_asked(queries), corpus, score, "qid bigint, id bigint, distance double", broadcast_numbers), k)
+    return _merge(_scans(_asked(queries, scoped), corpus, score, FOUND, broadcast_numbers, scoped), k)
 
 
 def compare_all(queries: DataFrame, corpus: DataFrame, broadcast_numbers: int = BROADCAST_NUMBERS) -> DataFrame:
@@ -186,7 +252,8 @@ def compare_all(queries: DataFrame, corpus: DataFrame, broadcast_numbers: int =
 
     One row per query and task leaves a scan; the pairs themselves are never rows.
     """
-    def score(qids, matrix, batches, dims):
+    def score(block, batches, dims):
+        qids, matrix = block.qids, block.matrix
         n, total = 0, np.zeros(len(qids))
         low, high = np.full(len(qids), np.inf), np.full(len(qids), -np.inf)
         for batch in batches:

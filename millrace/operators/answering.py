@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from millrace.functions.text import on_topic, render, section
 from millrace.functions.vectors import cosine, embed
-from millrace.operators import batch as B, retrieval as R
+from millrace.operators import batch as B, chat as C, retrieval as R
 from millrace.operators.chunks import fixed_chunks
 from millrace.operators.nearest import nearest
 from millrace.operators.sizing import small_side
@@ -132,58 +132,145 @@ def answer_queries(
     return on.select(*columns).unionByName(off.select(*columns))
 
 
-# Characters of history that leave a task in one batch, one prompt at least.
+# Characters of text that leave a task in one batch, one row at least.
 BATCH_CHARS = 1 << 23
 
 
-def with_histories(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, text, history): every user message with all that was said before it, oldest first.
+def ask_with_histories(
+    messages: DataFrame, make_model: B.MakeStreaming, head: Callable[[str], str], tail: str = "", block: int = C.BLOCK
+) -> DataFrame:
+    """(conv_id, turn, text, said): every user message, and what the model says to it with all that was said before.
+
+    A prompt is ``head`` of the message's text, the history as lines ``role: text``, oldest first and word for word, and ``tail``. The first
+    message of a conversation is not sent: ``said`` is null.
 
-    One rule for every length: the messages of a conversation are read in order, and each question leaves with the
-    whole history as it stands, word for word. A history is null for the first message. Prompts are not
-    stored or shuffled; they stream to the client that reads them, a bounded number of characters at a time, and a client
-    that cannot take one of them says so itself. What is sent grows with the square of a conversation, as
-    it does in any chat that repeats its history.
+    A conversation is cut into blocks of messages, and each block's questions are asked together, by one task: their prompts are
+    opened, all earlier messages run past them once, in order, and then the block's own. Earlier messages are read from the
+    shuffle as they are needed. A task thus holds one block, and no history, unless the model collects its prompts. What is sent grows with
+    the square of a conversation, as in any chat that repeats its history; what is shuffled, with the square of its blocks.
     """
+    numbered = C.placed(messages, block)
+    last = numbered.filter((F.col("role") == "user") & (F.col("block") > 0)).groupBy("conv_id").agg(F.max("block").alias("last"))
+    columns = ["conv_id", "target", "earlier", "place", "turn", "role", "text"]
+    own = numbered.select("*", F.col("block").alias("target"), F.lit(False).alias("earlier")).select(*columns)
+    last = last.withColumnRenamed("conv_id", "_conv")
+    before = numbered.join(last, F.col("conv_id").eqNullSafe(F.col("_conv"))).filter(F.col("block") < F.col("last")).select(
+        "*", F.explode(F.sequence(F.col("block") + 1, "last")).alias("target"), F.lit(True).alias("earlier")).select(*columns)
+    # Asking costs far more than moving the rows, so small partitions are not put together: their number is given.
+    tasks = max(int(messages.sparkSession.conf.get("spark.sql.shuffle.partitions")), messages.sparkSession.sparkContext.defaultParallelism)
+    laid = own.union(before).repartition(tasks, "conv_id", "target").sortWithinPartitions("conv_id", "target", "earlier", "place")
+    return laid.mapInArrow(_asking(make_model, head, tail), "conv_id bigint, turn bigint, text string, said string")
+
+
+def _asking(make_model: B.MakeStreaming, head: Callable[[str], str], tail: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, lines, out, size, begun = None, [], [], 0, False
-        for batch in batches:
-            for conv_id, turn, role, text in zip(*(c.to_pylist() for c in batch.columns)):
-                if not begun or conv_id != conv:
-                    conv, lines, begun = conv_id, [], True
-                if role == "user":
-                    history = "\n".join(lines) if lines else None
-                    out.append((conv_id, turn, text, history))
-                    size += len(history or "") + len(text or "")
-                lines.append(f"{role or ''}: {text or ''}")
-                if size > BATCH_CHARS:
-                    yield _asks(out)
-                    out, size = [], 0
+        model = make_model()
+        out, size = [], 0
+        for row in _block_by_block(batches, model, head, tail):
+            out.append(row)
+            size += sum(len(x or "") for x in row[2:])
+            if size > BATCH_CHARS:
+                yield _asks(out)
+                out, size = [], 0
         if out:
             yield _asks(out)
-
-    ordered = messages.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text").repartition(
-        "conv_id").sortWithinPartitions("conv_id", "turn")
-    return ordered.mapInArrow(run, "conv_id bigint, turn bigint, text string, history string")
+    return run
+
+
+def _block_by_block(batches: Iterator[pa.RecordBatch], model: B.Streaming, head: Callable[[str], str], tail: str) -> Iterator[tuple]:
+    at, block = None, None
+    for batch in batches:
+        for conv_id, target, earlier, place, turn, role, text in zip(*(c.to_pylist() for c in batch.columns)):
+            if (conv_id, target) != at:
+                if block:
+                    yield from block.answers(tail)
+                at, block = (conv_id, target), _Block(model, head)
+            line = f"{role or ''}: {text or ''}"
+            if earlier:
+                block.earlier(line)
+            else:
+                block.own.append((place, turn, role == "user", text, line))
+            # the next row of another block closes this one; rows of a block are its own, then all earlier ones
+            block.conv_id = conv_id
+    if block:
+        yield from block.answers(tail)
+
+
+class _Block:
+    """The questions of one block, while the earlier messages run past them."""
+
+    def __init__(self, model: B.Streaming, head: Callable[[str], str]):
+        self.model, self.head, self.conv_id = model, head, None
+        self.own: list[tuple] = []
+        self.prompts: list | None = None
+        self.open: list = []
+        self.lines = 0
+
+    def _begin(self) -> None:
+        self.prompts = []
+        for place, _, asks, text, _ in self.own:
+            if asks and place:
+                prompt = self.model.begin()
+                if self.model.feed(prompt, self.head(text or "")):
+                    self.open.append(prompt)
+                self.prompts.append(prompt)
+
+    def earlier(self, line: str) -> None:
+        if self.prompts is None:
+            self._begin()
+        piece = "\n" + line if self.lines else line
+        self.lines += 1
+        self.open = [p for p in self.open if self.model.feed(p, piece)]
+
+    def answers(self, tail: str) -> Iterator[tuple]:
+        if self.prompts is None:
+            self._begin()
+        waiting = iter(self.prompts)
+        asked = [(row, next(waiting) if row[0] else None) for row in self.own if row[2]]
+        for (place, *_), prompt in asked:
+            wanted = prompt is not None and any(p is prompt for p in self.open)
+            for n, (at, *_, line) in enumerate(self.own):
+                if not wanted or at >= place:
+                    break
+                wanted = self.model.feed(prompt, "\n" + line if self.lines + n else line)
+            if wanted and tail:
+                self.model.feed(prompt, tail)
+        said = self.model.finish(self.prompts)
+        for (_, turn, _, text, _), prompt in asked:
+            yield self.conv_id, turn, text, None if prompt is None else next(said)
 
 
 def _asks(rows: list[tuple]) -> pa.RecordBatch:
     types = (pa.int64(), pa.int64(), pa.string(), pa.string())
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["conv_id", "turn", "text", "history"])
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["conv_id", "turn", "text", "said"])
 
 
-def standalone_questions(messages: DataFrame, make_client: B.MakeClient = B.extractive_client) -> DataFrame:
+def with_histories(messages: DataFrame, block: int = C.BLOCK) -> DataFrame:
+    """(conv_id, turn, text, history): every user message with all that was said before it, oldest first, in one string each.
+
+    A history is null for the first message. For readers that need the text; a model is better asked by ``ask_with_histories``.
+    """
+    return ask_with_histories(messages, B.Collecting, lambda _: "", block=block).withColumnRenamed("said", "history")
+
+
+def standalone_questions(messages: DataFrame, make_client: B.MakeClient | None = None, block: int = C.BLOCK) -> DataFrame:
     """(qid, conv_id, turn, asked, question): every question, rewritten where it has a history.
 
-    The first message of a conversation is its own stand-alone question and is not sent anywhere.
+    The first message of a conversation is its own stand-alone question and is not sent anywhere. Without a client the
+    offline model reads its prompts as they stream; a client gets them in one string each.
     """
-    asked = with_histories(messages).select(
+    make_model = B.Streaming if make_client is None else lambda: B.Collecting(make_client())
+    begin, rest = STANDALONE.split("{{question}}")
+    between, tail = rest.split("{{history}}")
+    said = ask_with_histories(messages, make_model, lambda question: begin + question + between, tail, block)
+    return said.select(
         F.xxhash64("conv_id", "turn").alias("qid"), "conv_id", "turn", F.col("text").alias("asked"),
-        F.when(F.col("history").isNotNull(),
-               render(STANDALONE, {"question": F.col("text"), "history": F.col("history")})).alias("_p"),
+        F.when(F.col("said").isNull(), F.col("text")).otherwise(_stripped(F.col("said"))).alias("question"),
     )
-    said = B.complete(asked, "_p", "_said", make_client, skip_null=True)
-    return said.withColumn("question", F.when(F.col("_p").isNull(), F.col("asked")).otherwise(F.col("_said"))).drop("_p", "_said")
+
+
+def _stripped(text: Column) -> Column:
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
 def scopes(queries: DataFrame, guards: dict[str, str]) -> DataFrame:

@@ -37,6 +37,80 @@ def extractive_client() -> Client:
     return answer
 
 
+class Streaming:
+    """A model that takes its prompts in pieces, so that no prompt needs to be held whole.
+
+    ``begin`` opens a prompt, ``feed`` adds text to it and says whether more is wanted, ``finish`` gives the answers
+    of some prompts in turn. A client of a server would pass the pieces on as they come; this one is the streaming
+    twin of ``extractive_client``.
+    """
+
+    def begin(self):
+        return _Reading()
+
+    def feed(self, prompt, text: str) -> bool:
+        return prompt.feed(text)
+
+    def finish(self, prompts: list) -> Iterator[str]:
+        for prompt in prompts:
+            yield prompt.said()
+
+
+class _Reading:
+    """The first sentence after the context mark, or of the prompt, of a text read piece by piece."""
+
+    def __init__(self):
+        self.plain, self.marked, self.seen = _First(), None, ""
+
+    def feed(self, text: str) -> bool:
+        if self.marked is None:
+            self.plain.feed(text)
+            self.seen, mark, rest = (self.seen + text).partition(CONTEXT_MARK)
+            self.seen = self.seen[1 - len(CONTEXT_MARK):]
+            if not mark:
+                return True
+            self.marked, text = _First(), rest
+        return self.marked.feed(text)
+
+    def said(self) -> str:
+        return "".join((self.plain if self.marked is None else self.marked).parts)
+
+
+class _First:
+    def __init__(self):
+        self.parts, self.open = [], True
+
+    def feed(self, text: str) -> bool:
+        if self.open:
+            self.parts.append(_SENTENCE.match(text).group())
+            self.open = self.parts[-1][-1:] not in (".", "!", "?")
+        return self.open
+
+
+MakeStreaming = Callable[[], Streaming]
+
+
+class Collecting(Streaming):
+    """For clients that need a prompt in one string: pieces are kept by reference and joined one call at a time."""
+
+    def __init__(self, client: Client | None = None, retries: int = 2, wait: float = 0.5):
+        self.client, self.retries, self.wait = client, retries, wait
+
+    def begin(self):
+        return []
+
+    def feed(self, prompt: list[str], text: str) -> bool:
+        prompt.append(text)
+        return True
+
+    def finish(self, prompts: list[list[str]]) -> Iterator[str]:
+        if self.client is None:
+            yield from map("".join, prompts)
+            return
+        for lo in range(0, len(prompts), PROMPTS_PER_CALL):
+            yield from _with_retries(self.client, ["".join(p) for p in prompts[lo:lo + PROMPTS_PER_CALL]], self.retries, self.wait)
+
+
 def named_client(model: str) -> MakeClient:
     """The extractive answer signed with a model name, to tell answers of several models apart."""
     def make() -> Client:

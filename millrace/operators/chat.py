@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from millrace.operators.ordering import blocked_row_number, blocked_running
+from millrace.operators.ordering import blocked_row_number, blocked_running, range_running
 from millrace.sources.staging import stage
 
 TURNS_PER_BLOCK = 4096
@@ -49,6 +49,43 @@ def history_of(messages: DataFrame, asks: DataFrame) -> DataFrame:
     )
 
 
+# Messages in a block of a conversation.
+BLOCK = 256
+
+
+def placed(messages: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Messages with their place in the conversation (from 0) and its block, on disk.
+
+    Blocks are what histories share: a message's history is all blocks before its own, whole, and the messages before it in
+    its own. Messages of one turn are in the order of a hash of them; a conversation without an id is one like any other.
+    """
+    tie = F.xxhash64("role", "text")
+    rows = messages.select(F.col("conv_id").cast("bigint"), F.col("turn").cast("bigint"), "role", "text")
+    numbered = range_running(rows, ["conv_id"], [F.col("turn"), tie], {"_n": ("sum", F.lit(1).cast("bigint"))})
+    place = F.col("_n") - 1
+    return stage(numbered.select(*rows.columns, place.alias("place"), F.floor(place / block).alias("block")), "placed")
+
+
+def histories(numbered: DataFrame, asks: Column) -> DataFrame:
+    """(conv_id, ask_turn, ask_place, prefix_blocks): the histories of the messages for which ``asks`` holds, one row each.
+
+    A history is the first ``prefix_blocks`` blocks of its conversation, which all later ones share, and the messages of the next
+    block that are before ``ask_place``. ``expanded`` writes them out.
+    """
+    return numbered.filter(asks).select("conv_id", F.col("turn").alias("ask_turn"), F.col("place").alias("ask_place"),
+                                        F.col("block").alias("prefix_blocks"))
+
+
+def expanded(numbered: DataFrame, referred: DataFrame) -> DataFrame:
+    """(conv_id, ask_turn, place, turn, role, text): the messages of histories, as rows.
+
+    Histories meet messages by (conversation, block), so that a long conversation is spread over its blocks.
+    """
+    wanted = referred.withColumn("_block", F.explode(F.sequence(F.lit(0).cast("bigint"), "prefix_blocks"))).withColumnRenamed("conv_id", "_conv")
+    both = numbered.join(wanted, F.col("conv_id").eqNullSafe(F.col("_conv")) & (F.col("block") == F.col("_block")))
+    return both.filter(F.col("place") < F.col("ask_place")).select("conv_id", "ask_turn", "place", "turn", "role", "text")
+
+
 def last_asks(messages: DataFrame) -> DataFrame:
     """The latest user message of each conversation: (conv_id, turn, text)."""
     last = messages.filter("role = 'user'").groupBy("conv_id").agg(F.max("turn").alias("turn"))

@@ -7,23 +7,33 @@ from pyspark.sql import functions as F
 from millrace.operators import chat as C
 from millrace.plans.registry import query
 from millrace.session import load
+from millrace.sources.staging import stage
 
 
-@query("hist_prior_turns", """
-select conv_id, turn, role, count(*) over w as prior_messages, coalesce(sum(length(text)) over w, 0)::bigint as prior_chars,
-       count(*) filter (where role = 'user') over w as prior_user
-from conversations window w as (partition by conv_id order by turn rows between unbounded preceding and 1 preceding)""")
+# Messages in a block that histories share; the conversations here are short.
+BLOCK = 4
+
+
+@query("hist_prior_turns", f"""
+with p as (
+  select conv_id, turn, role, count(*) over w as prior_messages, coalesce(sum(length(text)) over w, 0)::bigint as prior_chars,
+         count(*) filter (where role = 'user') over w as prior_user
+  from conversations window w as (partition by conv_id order by turn rows between unbounded preceding and 1 preceding))
+select *, prior_messages // {BLOCK} as prefix_blocks, prior_messages % {BLOCK} as tail_messages from p""")
 def hist_prior_turns(spark, d):
-    return C.prior_turns(load(spark, d, "conversations")).drop("text")
+    """What is sent along with each message: its extent, and as blocks shared with the later ones and a tail."""
+    before = C.prior_turns(load(spark, d, "conversations")).drop("text")
+    return before.withColumns({"prefix_blocks": F.floor(F.col("prior_messages") / BLOCK), "tail_messages": F.col("prior_messages") % BLOCK})
 
 
 @query("hist_messages", """
 select a.conv_id, a.turn as ask_turn, m.turn, m.role, m.text from conversations a join conversations m
   on a.conv_id = m.conv_id and m.turn < a.turn where a.role = 'user'""")
 def hist_messages(spark, d):
-    """The history itself: the earlier messages of every question."""
-    messages = load(spark, d, "conversations")
-    return C.history_of(messages, messages.filter("role = 'user'"))
+    """The histories of all questions, kept as shared blocks and a tail, and written out at the end."""
+    numbered = C.placed(load(spark, d, "conversations"), BLOCK)
+    referred = stage(C.histories(numbered, F.col("role") == "user"), "histories")
+    return C.expanded(numbered, referred).drop("place")
 
 
 @query("hist_max_turns", """

@@ -1,8 +1,11 @@
-"""Text and links out of raw HTML, as column expressions."""
+"""Text and links out of raw HTML, as columns."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, functions as F, types as T
+
+from millrace.functions import markup
 
 # Named character entities that are written out, the ampersand last.
 ENTITIES = [
@@ -41,30 +44,22 @@ def sql_unescaped(text: str) -> str:
     return text
 
 
-def elements_pattern(tags: list[str]) -> str:
-    """Each listed element with everything up to its closing tag (no nesting of the same tag)."""
-    return "(?si)" + "|".join(rf"<{t}\b[^>]*>.*?</{t}>" for t in tags)
-
-
-def plain(fragment: Column) -> Column:
-    """A fragment without its tags; white space runs become one blank."""
-    return F.trim(F.regexp_replace(unescaped(F.regexp_replace(fragment, "<[^>]+>", " ")), "[ \\t\\n\\r]+", " "))
-
-
 def tag_texts(html: Column, tags: list[str]) -> Column:
-    """The texts of the chosen elements in page order."""
-    found = F.regexp_extract_all(html, F.lit(elements_pattern(tags)), F.lit(0))
-    return F.transform(found, plain)
+    """The texts of the outermost elements of these names, in page order; see ``markup.element_texts``."""
+    @F.arrow_udf(T.ArrayType(T.StringType()))
+    def texts(pages: pa.Array) -> pa.Array:
+        return pa.array([None if p is None else markup.element_texts(p, tags) for p in pages.to_pylist()], pa.list_(pa.string()))
+    return texts(html)
 
 
 def tags_text(html: Column, tags: list[str]) -> Column:
     return F.array_join(tag_texts(html, tags), " ")
 
 
-# An opening anchor tag; quoted values may hold any character. An attribute, and the one named href.
-ANCHOR = r"""(?i)<a(?=[\s/])(?:[^>"']|"[^"]*"|'[^']*')*+>"""
-_ATTRIBUTE = r"""[^\s=>"'/]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s>"']+))?"""
-HREF = rf"""(?i)^<a[\s/]+(?:{_ATTRIBUTE}[\s/]+)*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))"""
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def targets(pages: pa.Array) -> pa.Array:
+    """What the anchors of each page point to, as written but for entities."""
+    return pa.array([None if p is None else markup.targets(p) for p in pages.to_pylist()], pa.list_(pa.string()))
 
 
 def site_of(url: Column) -> Column:
@@ -75,14 +70,12 @@ def links(html: Column, site: Column) -> Column:
     """Every anchor target as an absolute address, in order, repeats included.
 
     ``https://`` addresses stay; what starts with ``/`` is put behind the site; anything else goes
-    behind the site and a slash. Anchors without a target are left out. Tags and names are read in any
-    case, values with either quote or none, and entities in them are written out.
+    behind the site and a slash. Anchors without a target are left out. Pages are read as a browser reads them: anchors in
+    comments and scripts are none, and entities in targets are written out.
     """
     base = F.regexp_replace(site, "/$", "")
-    tags = F.filter(F.regexp_extract_all(html, F.lit(ANCHOR), F.lit(0)), lambda t: t.rlike(HREF))
-    targets = F.transform(tags, lambda t: F.trim(unescaped(F.concat(*[F.regexp_extract(t, HREF, i) for i in (1, 2, 3)]))))
     return F.transform(
-        targets,
+        targets(html),
         lambda h: F.when(h.startswith("https://"), h).when(h.startswith("/"), F.concat(base, h))
         .otherwise(F.concat(base, F.lit("/"), h)),
     )

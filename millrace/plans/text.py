@@ -14,13 +14,20 @@ from millrace.sources.readers import data_uri
 from millrace.sources.staging import stage
 from millrace.streaming import tokens
 
-_PLAIN_SQL = "trim(regexp_replace(" + H.sql_unescaped("regexp_replace(x, '<[^>]+>', ' ', 'g')") + ", '[ \\t\\n\\r]+', ' ', 'g'))"
-
-
-@query("txt_extract_tags", f"""
-select page_id, coalesce(array_to_string(list_transform(
-  regexp_extract_all(html, '(?s)<div\\b[^>]*>.*?</div>|<li\\b[^>]*>.*?</li>'), lambda x: {_PLAIN_SQL}), ' '), '') as text
-from pages""")
+# Text between tags, with the depth of open elements counted tag by tag; an element begins where the depth leaves zero.
+@query("txt_extract_tags", """
+with cut as (
+  select page_id, unnest(string_split(html, '<')) as piece, unnest(range(len(string_split(html, '<')))) as n from pages),
+tags as (
+  select page_id, n, substr(piece, instr(piece, '>') + 1) as text,
+         case when regexp_matches(piece, '^(div|li)[ >]') then 1 when regexp_matches(piece, '^/(div|li)>') then -1 else 0 end as step from cut),
+deep as (select *, sum(step) over (partition by page_id order by n) as depth from tags),
+begun as (
+  select *, sum(case when step = 1 and depth = 1 then 1 else 0 end) over (partition by page_id order by n) as element from deep),
+texts as (
+  select page_id, element, trim(regexp_replace(""" + H.sql_unescaped("string_agg(text, ' ' order by n)") + """, '[ \\t\\n\\r]+', ' ', 'g')) as text
+  from begun where depth > 0 group by 1, 2)
+select page_id, coalesce(string_agg(texts.text, ' ' order by element), '') as text from pages left join texts using (page_id) group by 1""")
 def txt_extract_tags(spark, d):
     return load(spark, d, "pages").select("page_id", H.tags_text(F.col("html"), ["div", "li"]).alias("text"))
 

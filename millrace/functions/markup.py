@@ -48,13 +48,14 @@ SCOPE = {"table", "td", "th", "caption", "html", "template", "object", "marquee"
 Token = tuple[str, str, str]
 
 
-def tokens(page: str) -> Iterator[Token]:
-    """Tags and text in page order. Comments and declarations are left out; a tag that never ends is dropped with what follows."""
+def tokens(page: str, texts: bool = True) -> Iterator[Token]:
+    """Tags and, with ``texts``, text in page order. Comments and declarations are left out; a tag that never ends is dropped with
+    what follows."""
     at = 0
     while at < len(page):
         begins = _BEGINS.search(page, at)
         stop = begins.start() if begins else len(page)
-        if stop > at:
+        if texts and stop > at:
             yield "text", unescape(page[at:stop]), ""
         found = _TOKEN.match(page, stop)
         if not found:
@@ -75,7 +76,7 @@ def tokens(page: str) -> Iterator[Token]:
             if name in RAW_TEXT or name in ESCAPABLE:
                 closing = re.compile(rf"</{name}(?=[ \t\n\f\r/>])", re.I).search(page, at)
                 inner, at = page[at:closing.start()] if closing else page[at:], closing.start() if closing else len(page)
-                if inner:
+                if texts and inner:
                     yield ("text", unescape(inner), "") if name in ESCAPABLE else ("raw", inner, "")
 
 
@@ -102,7 +103,7 @@ def attribute(attributes: str, name: str) -> str | None:
 
 def targets(page: str) -> list[str]:
     """The values of ``href`` of all anchors, in page order, without outer blanks."""
-    found = (attribute(attributes, "href") for kind, name, attributes in tokens(page) if kind == "start" and name == "a")
+    found = (attribute(attributes, "href") for kind, name, attributes in tokens(page, texts=False) if kind == "start" and name == "a")
     return [t.strip(" \t\n\f\r") for t in found if t is not None]
 
 

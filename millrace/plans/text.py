@@ -29,7 +29,7 @@ texts as (
   from begun where depth > 0 group by 1, 2)
 select page_id, coalesce(string_agg(texts.text, ' ' order by element), '') as text from pages left join texts using (page_id) group by 1""")
 def txt_extract_tags(spark, d):
-    return load(spark, d, "pages").select("page_id", H.tags_text(F.col("html"), ["div", "li"]).alias("text"))
+    return spread(load(spark, d, "pages").select("page_id", "html")).select("page_id", H.tags_text(F.col("html"), ["div", "li"]).alias("text"))
 
 
 # The pages' anchors are all written <a ... href="...">, so cutting at these words finds them without a pattern.
@@ -43,14 +43,14 @@ select page_id, pos, case when starts_with(h, 'https://') then h when starts_wit
 
 
 def _links(spark, d):
-    pages = load(spark, d, "pages").select("page_id", "url", "html")
+    pages = spread(load(spark, d, "pages").select("page_id", "url", "html"))
     return pages.select("page_id", H.links(F.col("html"), H.site_of(F.col("url"))).alias("links"))
 
 
 def _listed(found):
-    return found.select("page_id", F.posexplode("links").alias("pos", "link")).withColumn(
-        "pos", (F.col("pos") + 1).cast("bigint")
-    )
+    # A plain explode would have the optimizer filter by the list's size, and read each page twice for it.
+    listed = found.select("page_id", F.posexplode_outer("links").alias("pos", "link")).filter("pos is not null")
+    return listed.withColumn("pos", (F.col("pos") + 1).cast("bigint"))
 
 
 @query("txt_links", f"with {_LINKS_SQL}")

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.errors import PySparkException
 
-from millrace.operators.lexical import search
+from millrace.operators import lexical
+from millrace.operators.lexical import from_index, indexed, search
 from millrace.operators.nearest import compare_all, nearest
 
 
@@ -91,12 +92,13 @@ def test_compare_all_in_one_and_many_scans(data):
     assert np.allclose(np.array(one), np.array(many))
 
 
-def test_lexical_in_one_and_many_scans(spark):
+def test_lexical_in_one_and_many_blocks(spark):
     docs = spark.createDataFrame([(i, f"alpha w{i % 5} w{i % 7} {'beta ' * (i % 3)}") for i in range(60)], "doc_id bigint, text string")
     asked = spark.createDataFrame([(i, f"Alpha w{i} BETA") for i in range(8)] + [(9, "nothing here")], "qid bigint, text string")
     one = sorted(map(tuple, search(asked, docs, 2).collect()))
-    many = sorted(map(tuple, search(asked, docs, 2, pairs_per_scan=3).collect()))
-    assert one == many and {r[0] for r in one} == set(range(8))
+    many = sorted(map(tuple, search(asked, docs, 2, block=7).collect()))
+    again = sorted(map(tuple, from_index(asked, indexed(docs, 16), 2).collect()))
+    assert one == many == again and {r[0] for r in one} == set(range(8))
     n, df_beta = 60, sum(i % 3 > 0 for i in range(60))
     # beta twice, w0 twice (i = 35 holds w0 from both), alpha once
     scores = {}
@@ -110,3 +112,32 @@ def test_lexical_in_one_and_many_scans(spark):
         scores[i] = round(sum((1 + math.log(tf[w])) * math.log(1 + n / df[w]) for w in ("alpha", "w0", "beta") if tf[w]), 6)
     best = sorted(scores, key=lambda i: (-scores[i], i))[:2]
     assert [r[1] for r in sorted(one, key=lambda r: r[3]) if r[0] == 0] == best
+
+
+def test_lexical_cut_into_small_parts(spark, monkeypatch):
+    """Bounded parts of a block, of its queries and of their shared words give the same."""
+    docs = spark.createDataFrame([(i * 3 % 61, f"a w{i % 5} w{i % 7} {'b ' * (i % 3)}") for i in range(61)] + [(70, None), (71, "")], "doc_id bigint, text string")
+    asked = spark.createDataFrame([(i, f"A w{i} B w{i % 3}\tw1") for i in range(9)] + [(9, "nothing"), (10, None)], "qid bigint, text string")
+    want = sorted(map(tuple, search(asked, docs, 3).collect()))
+    for name, value in (("CELLS", 20), ("SHARED", 5), ("QUERIES", 2)):
+        monkeypatch.setattr(lexical, name, value)
+    assert sorted(map(tuple, search(asked, docs, 3, block=8).collect())) == want and len(want) == 27
+
+
+def test_lexical_opens_only_blocks_that_may_win(spark):
+    """One block holds the document that shares all words; a block that shares a common one cannot reach it."""
+    rows = [(i, "common " + ("rare words here" if i == 5 else f"other{i}")) for i in range(64)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    asked = spark.createDataFrame([(1, "common rare words")], "qid bigint, text string")
+    opened = []
+    real = lexical._scored
+
+    def counted(pairs, *more):
+        opened.append(pairs.count())
+        return real(pairs, *more)
+    lexical._scored, found = counted, None
+    try:
+        found = search(asked, docs, 1, block=8).collect()
+    finally:
+        lexical._scored = real
+    assert [r.doc_id for r in found] == [5] and opened == [1, 0]

@@ -10,12 +10,19 @@ from __future__ import annotations
 import hashlib
 import re
 import time
+import uuid
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+import pyarrow as pa
+import pyarrow.parquet as pq
+from pyarrow import fs as pa_fs
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+
+from millrace.sources.staging import stage
 
 Client = Callable[[list[str]], list[str]]
 MakeClient = Callable[[], Client]
@@ -181,6 +188,85 @@ def complete(
     return df.mapInPandas(run, schema)
 
 
+def complete_logged(
+    df: DataFrame, prompt: str, out: str, log: str, make_client: MakeClient = extractive_client,
+    retries: int = 2, wait: float = 0.5,
+) -> DataFrame:
+    """``complete`` with a log of answers in the folder ``log``, so that no prompt is paid for twice.
+
+    Every different prompt is asked once; rows share its answer. A task writes what a call has said into the log before the next
+    call: when it runs again, after an error or on another machine, it asks only for what its part of the log does not
+    have. A job that runs again asks only what the whole log does not have. ``log`` must be a folder that Spark and pyarrow both reach
+    from all machines; it belongs to one model, and to one running job at a time.
+    """
+    spark = df.sparkSession
+    keyed = df.withColumn("_key", F.sha2(F.coalesce(F.col(prompt), F.lit("")), 256))
+    said = _read_log(spark, log)
+    asked = keyed.select("_key", F.coalesce(F.col(prompt), F.lit("")).alias("_prompt")).distinct()
+    # on disk: a task that runs again must find the prompts it had
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    waiting = stage(asked.join(said, "_key", "left_anti").repartition(tasks, "_key"), "waiting")
+    new = stage(waiting.mapInArrow(_asking(make_client, log, uuid.uuid4().hex, retries, wait), LOGGED), "answers")
+    answers = said.dropDuplicates(["_key"]).unionByName(new).withColumnRenamed("_answer", out)
+    return keyed.join(answers, "_key").select(*df.columns, out)
+
+
+LOGGED = "_key string, _answer string"
+
+
+def _read_log(spark: SparkSession, log: str) -> DataFrame:
+    try:
+        return spark.read.schema(LOGGED).option("recursiveFileLookup", "true").parquet(log)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], LOGGED)
+
+
+def _asking(make_client: MakeClient, log: str, job: str, retries: int, wait: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
+
+        client = make_client()
+        part = TaskLog(log, f"{job}/{TaskContext.get().partitionId()}")
+        known = part.answers()
+        for batch in batches:
+            prompts = dict(zip(batch.column("_key").to_pylist(), batch.column("_prompt").to_pylist()))
+            open_ = [key for key in prompts if key not in known]
+            for lo in range(0, len(open_), PROMPTS_PER_CALL):
+                some = open_[lo:lo + PROMPTS_PER_CALL]
+                texts = [t.strip() for t in _with_retries(client, [prompts[key] for key in some], retries, wait)]
+                part.add(some, texts)
+                known.update(zip(some, texts))
+            yield pa.RecordBatch.from_arrays([pa.array(list(prompts), pa.string()), pa.array([known.pop(key) for key in prompts], pa.string())],
+                                             ["_key", "_answer"])
+    return run
+
+
+class TaskLog:
+    """The part of a log that one task writes: a small file for each call, which appears as a whole."""
+
+    def __init__(self, log: str, part: str):
+        self.fs, root = pa_fs.FileSystem.from_uri(log)
+        self.folder = f"{root.rstrip('/')}/{part}"
+        self.fs.create_dir(self.folder, recursive=True)
+
+    def answers(self) -> dict[str, str]:
+        out = {}
+        for info in self.fs.get_file_info(pa_fs.FileSelector(self.folder)):
+            if info.path.endswith(".parquet"):
+                with self.fs.open_input_file(info.path) as file:
+                    table = pq.read_table(file)
+                out.update(zip(*(table.column(c).to_pylist() for c in ("_key", "_answer"))))
+        return out
+
+    def add(self, keys: list[str], answers: list[str]) -> None:
+        name = f"{self.folder}/{uuid.uuid4().hex}"
+        with self.fs.open_output_stream(f"{name}.open") as file:
+            pq.write_table(pa.table({"_key": keys, "_answer": answers}), file)
+        self.fs.move(f"{name}.open", f"{name}.parquet")
+
+
 def embed_with(df: DataFrame, text: str, out: str, make_embedder: Callable[[], Callable[[list[str]], np.ndarray]]) -> DataFrame:
     """Adds a vector per text from a caller's model, called per Arrow batch like ``complete``."""
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])

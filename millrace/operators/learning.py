@@ -9,7 +9,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from millrace.operators.ordering import blocked_running, range_running
+from millrace.operators.ordering import range_running
 from millrace.sources.staging import shared_dir
 
 
@@ -86,14 +86,15 @@ def importance_spread(weights: DataFrame, noise_prefix: str) -> DataFrame:
     )
 
 
-def model_versions(runs: DataFrame, block: int = 100_000) -> DataFrame:
-    """Registering a name again makes version 2, 3, ...; the run with the highest AUC is best."""
-    cut = runs.withColumn("_block", F.floor(F.col("run_id") / block))
-    numbered = blocked_running(cut, ["model"], [F.col("run_id")], ["_block"], {
-        "version": ("sum", F.lit(1).cast("bigint")),
-        "_best": ("all_min", F.struct((-F.col("auc")).alias("low"), F.col("run_id").alias("run"))),
-    })
-    return numbered.withColumn("is_best", F.col("run_id") == F.col("_best.run")).drop("_best", "_block")
+def model_versions(runs: DataFrame) -> DataFrame:
+    """Registering a name again makes version 2, 3, ...; the run with the highest AUC is best.
+
+    Versions are counted in range pieces of (model, run), so neither a model with most runs nor ids far apart matter.
+    """
+    numbered = range_running(runs, ["model"], [F.col("run_id")], {"version": ("sum", F.lit(1).cast("bigint"))})
+    best = runs.groupBy("model").agg(F.min(F.struct((-F.col("auc")).alias("low"), F.col("run_id").alias("run")))["run"].alias("_best"))
+    both = numbered.join(best.withColumnRenamed("model", "_of"), F.col("model").eqNullSafe(F.col("_of")))
+    return both.withColumn("is_best", F.col("run_id") == F.col("_best")).drop("_best", "_of")
 
 
 def leaderboard(runs: DataFrame) -> DataFrame:

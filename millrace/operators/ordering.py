@@ -149,20 +149,19 @@ def hash_block(hashed: Column, digits: int = 4) -> Column:
     return F.substring(hashed, 1, digits)
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float], width: float
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: Sequence[str], value: str, quantiles: Sequence[float]) -> DataFrame:
     """Per key the smallest value that at least a share q of the rows do not exceed.
 
-    Rows are first counted per distinct value (partial sums before the shuffle), then the counts
-    run in blocks of ``width``; no task ever holds all values of a key.
+    Rows are first counted per distinct value (partial sums before the shuffle), then the counts run in range pieces, which
+    follow the values wherever they lie dense; no task ever holds all values of a key.
     """
-    counted = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n"))
-    cut = counted.withColumn("_block", F.floor(F.col(value) / F.lit(float(width))))
-    placed = blocked_running(cut, keys, [F.col(value)], ["_block"], {
-        "_upto": ("sum", F.col("_n")), "_all": ("all_sum", F.col("_n")),
-    })
-    return placed.groupBy(*keys).agg(
+    counted = stage(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_n")), "counted")
+    totals = counted.groupBy(*keys).agg(F.sum("_n").alias("_all"))
+    placed = range_running(counted, keys, [F.col(value)], {"_upto": ("sum", F.col("_n"))})
+    named = totals.select("_all", *[F.col(k).alias(f"_of_{k}") for k in keys])
+    same = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in keys]
+    both = placed.join(named, same) if keys else placed.withColumn("_all", F.lit(counted.agg(F.sum("_n")).first()[0]))
+    return both.groupBy(*keys).agg(
         *[F.min(F.when(F.col("_upto") >= F.ceil(F.lit(float(q)) * F.col("_all")), F.col(value)))
           .alias(f"p{round(q * 100)}") for q in quantiles]
     )

@@ -24,7 +24,7 @@ def group_means(vectors: DataFrame, group: str, vec: str) -> DataFrame:
 def rerank_by_score(candidates: DataFrame, score: Column, top_n: int | None = None) -> DataFrame:
     """New places by descending score, ties by id. All candidates stay unless ``top_n`` says so."""
     scored = candidates.withColumn("score", score)
-    best = W.partitionBy("qid").orderBy(F.col("score").desc(), F.col("id"))
+    best = W.partitionBy("qid").orderBy(F.col("score").desc_nulls_last(), F.col("id"))
     placed = scored.withColumn("place", F.row_number().over(best).cast("bigint"))
     return placed if top_n is None else placed.filter(F.col("place") <= top_n)
 

@@ -69,7 +69,7 @@ def slow_cells(cells: DataFrame, seconds: str, threshold: float = 5.0) -> DataFr
     )
 
 
-def latency(requests: DataFrame, model: str, value: str, at: str, width: float) -> DataFrame:
+def latency(requests: DataFrame, model: str, value: str, at: str) -> DataFrame:
     """Per model: requests, exact median and 95th percentile, requests per second of its time span.
 
     A model whose requests all fall within one second has no rate: null.
@@ -78,19 +78,25 @@ def latency(requests: DataFrame, model: str, value: str, at: str, width: float)
         F.count("*").alias("requests"),
         (F.unix_timestamp(F.max(at).cast("timestamp")) - F.unix_timestamp(F.min(at).cast("timestamp"))).alias("seconds"),
     )
-    points = exact_quantiles(requests, [model], value, [0.5, 0.95], width)
+    points = exact_quantiles(requests, [model], value, [0.5, 0.95])
     return spread.join(points, model).withColumn("per_second", F.try_divide(F.col("requests"), F.col("seconds")))
 
 
 def as_text_of(value: Column, kind: T.DataType) -> Column:
     """A value as text that does not depend on how an engine prints doubles."""
     if isinstance(kind, (T.DoubleType, T.FloatType)):
-        return value.cast("decimal(30,4)").cast("string")
+        # what no decimal holds (NaN, infinity, very large numbers) is shown as it is
+        return F.coalesce(value.try_cast("decimal(30,4)").cast("string"), value.cast("string"))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.date_format(value, "yyyy-MM-dd HH:mm:ss")
     return value.cast("string")
 
 
+def _named(column: str) -> Column:
+    """A column by its whole name, which may hold dots."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def profile(df: DataFrame) -> DataFrame:
     """(column_name, rows, nulls, distinct_values, lowest, highest) for every column.
 
@@ -100,7 +106,7 @@ def profile(df: DataFrame) -> DataFrame:
     parts = []
     for field in df.schema.fields:
         value = F.col("v")
-        counted = df.select(F.col(field.name).alias("v")).groupBy("v").agg(F.count("*").alias("n"))
+        counted = df.select(_named(field.name).alias("v")).groupBy("v").agg(F.count("*").alias("n"))
         parts.append(counted.agg(
             F.sum("n").alias("rows"), F.coalesce(F.sum(F.when(value.isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
             F.count(value).alias("distinct_values"), as_text_of(F.min(value), field.dataType).alias("lowest"),
@@ -114,8 +120,8 @@ def approximate_profile(df: DataFrame) -> DataFrame:
     names = df.columns
     one = df.agg(
         F.count("*").alias("rows"),
-        *[F.count(F.when(F.col(n).isNull(), 1)).alias(f"nu{i}") for i, n in enumerate(names)],
-        *[F.approx_count_distinct(n).alias(f"di{i}") for i, n in enumerate(names)],
+        *[F.count(F.when(_named(n).isNull(), 1)).alias(f"nu{i}") for i, n in enumerate(names)],
+        *[F.approx_count_distinct(_named(n)).alias(f"di{i}") for i, n in enumerate(names)],
     )
     cells = F.array(*[
         F.struct(F.lit(n).alias("column_name"), F.col("rows"), F.col(f"nu{i}").alias("nulls"),

@@ -9,7 +9,7 @@ from millrace.operators.retrieval import NO_CONTEXT
 from millrace.operators.sizing import spread
 from millrace.plans.registry import query
 from millrace.session import load
-from millrace.sources.staging import stage
+from millrace.sources.staging import fresh_path, stage
 
 _BLANKS = "concat(' ', chr(9), chr(10), chr(13))"
 
@@ -22,7 +22,7 @@ def _sentence(text: str) -> str:
 @query("llm_batch", f"select item_id, {_sentence('text')} as answer from benchmark")
 def llm_batch(spark, d):
     asked = load(spark, d, "benchmark").select("item_id", F.concat(F.lit("Summarize.\n\nContext: "), "text").alias("prompt"))
-    return B.complete(asked, "prompt", "answer").select("item_id", "answer")
+    return B.complete_logged(asked, "prompt", "answer", fresh_path(spark, "answer-log")).select("item_id", "answer")
 
 
 TASKS = {"writing": "Write a story. Context: ", "code": "Write a function. Context: ", "summary": "Summarize. Context: "}

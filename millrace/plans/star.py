@@ -112,7 +112,7 @@ select event_type as model, count(*) as requests, quantile_disc(value, 0.5) as p
 from events group by 1""")
 def agg_latency(spark, d):
     requests = load(spark, d, "events").select(F.col("event_type").alias("model"), "value", "ts")
-    return S.latency(requests, "model", "value", "ts", 5.0).select(
+    return S.latency(requests, "model", "value", "ts").select(
         "model", "requests", "p50", "p95", F.round("per_second", 8).alias("per_second")
     )
 

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.functions.vectors import cosine, embed, squared_l2
-from millrace.operators import retrieval as R, stores as St
+from millrace.operators import pivots, retrieval as R, stores as St
+from millrace.operators.buckets import BucketStore
 from millrace.operators.nearest import compare_all, nearest
 from millrace.plans.registry import query
 from millrace.operators.sizing import small_side, spread
 from millrace.session import load
-from millrace.sources.staging import stage
+from millrace.sources.staging import fresh_path, stage
 
 # The queries asked are the mean vectors of the labels, so every stored vector takes part in them.
 CENTROID_SQL = """e as (select vec_id, label, pos, embedding[pos]::double as x
@@ -86,14 +87,22 @@ def topk_retrieve(spark, d):
     return shown(nearest(label_queries(spark, d), corpus(spark, d), 20))
 
 
+@query("topk_search_indexed", topk_sql(20))
+def topk_search_indexed(spark, d):
+    """The same from an index on disk, of which only pieces are read that may hold one of the nearest."""
+    return shown(pivots.search(label_queries(spark, d), pivots.index(corpus(spark, d)), 20))
+
+
 @query("topk_rerank", f"""with {PAIRS_SQL}, ranked as (
   select qid, id, distance, row_number() over (partition by qid order by distance, id) as rank from p),
-c as (select r.*, n_chars as score from ranked r join documents on doc_id = id where rank <= 20)
-select qid::bigint as qid, id, rank, score, row_number() over (partition by qid order by score desc, id) as place from c""")
+c as (select r.*, n_chars as score from ranked r left join documents on doc_id = id where rank <= 20)
+select qid::bigint as qid, id, rank, score, row_number() over (partition by qid order by score desc nulls last, id) as place from c""")
 def topk_rerank(spark, d):
     found = stage(nearest(label_queries(spark, d), corpus(spark, d), 20), "ranked")
     lengths = load(spark, d, "documents").select(F.col("doc_id").alias("id"), "n_chars")
-    return R.rerank_by_score(lengths.join(small_side(found), "id"), F.col("n_chars")).select("qid", "id", "rank", "score", "place")
+    # the few found are looked up; one without a document stays, behind those that have one
+    known = stage(lengths.join(small_side(found.select("id").distinct()), "id"), "lengths")
+    return R.rerank_by_score(found.join(known, "id", "left"), F.col("n_chars")).select("qid", "id", "rank", "score", "place")
 
 
 @query("flt_metadata_eq", "select vec_id as id, label from embeddings where label = 3")
@@ -148,14 +157,22 @@ def join_anti_delete_ids(spark, d):
     return St.delete_documents(corpus(spark, d).select("id", "label"), _toxic_ids(spark, d), "id")
 
 
+def _store(documents: DataFrame, key: str) -> BucketStore:
+    """A store of these documents on disk, in buckets of ids."""
+    spark = documents.sparkSession
+    store = BucketStore(spark, fresh_path(spark, "store"), documents.schema, key, 16)
+    store.create(documents)
+    return store
+
+
 @query("dml_delete_document", """
 select label::varchar as collection, count(*) as vectors from embeddings
 where vec_id not in (select doc_id from labels where toxic = 1) group by 1""")
 def dml_delete_document(spark, d):
     store = corpus(spark, d).select("id", F.col("label").cast("string").alias("collection"))
-    path = St.save_store(St.delete_documents(store, _toxic_ids(spark, d), "id"), "store")
-    kept = spark.read.schema("id bigint, collection string").parquet(path)
-    return kept.groupBy("collection").agg(F.count("*").alias("vectors"))
+    kept = _store(store, "id")
+    kept.delete(_toxic_ids(spark, d))
+    return kept.read().groupBy("collection").agg(F.count("*").alias("vectors"))
 
 
 @query("dml_add_documents", """
@@ -169,8 +186,9 @@ def dml_add_documents(spark, d):
     store = docs.select("id", "text", F.lit(1).alias("version"))
     again = docs.filter("lang = 'fr'").select("id", F.concat("text", F.lit(" (revised)")).alias("text"), F.lit(2).alias("version"))
     fresh = load(spark, d, "benchmark").select(St.text_id(F.col("text")).alias("id"), "text", F.lit(2).alias("version"))
-    added = again.unionByName(St.newest(fresh, "id", "version"))
-    return St.add_documents(store, added, "id").select("id", "version", F.md5("text").alias("digest"))
+    kept = _store(store, "id")
+    kept.add(again.unionByName(St.newest(fresh, "id", "version")))
+    return kept.read().select("id", "version", F.md5("text").alias("digest"))
 
 
 @query("dml_update_document", """
@@ -183,7 +201,9 @@ def dml_update_document(spark, d):
     changes = St.get_documents(store, good, "doc_id").select(
         "doc_id", F.concat(F.lit("Updated: "), "text").alias("text"), F.lit("news").alias("source")
     )
-    return St.update_documents(store, changes, "doc_id").select("doc_id", "source", F.md5("text").alias("digest"))
+    kept = _store(store, "doc_id")
+    kept.update(changes)
+    return kept.read().select("doc_id", "source", F.md5("text").alias("digest"))
 
 
 def _squared_norm():

@@ -40,7 +40,7 @@ class TableSet:
         log = self.log()
         newest = log.agg(F.max(F.struct("version", "entry")).alias("last"))
         rows = log.join(F.broadcast(newest), F.struct("version", "entry") == F.col("last")).collect()  # a row per table
-        return (rows[0].version if rows else 0), {r.table_name: r.path for r in rows}
+        return (rows[0].version if rows else 0), {r.table_name: r.path for r in rows if r.table_name is not None}
 
     def tables(self) -> dict[str, DataFrame]:
         """The tables of the version in force; one whose files are gone is left out."""
@@ -65,7 +65,7 @@ class TableSet:
         paths = {name: path for name, path in paths.items() if name not in dropped}
         paths |= {name: t if isinstance(t, str) else self.written(t, name) for name, t in changed.items()}
         entry = uuid.uuid4().hex
-        rows = [(last + 1, entry, name, path) for name, path in sorted(paths.items())]
+        rows = [(last + 1, entry, name, path) for name, path in sorted(paths.items())] or [(last + 1, entry, None, None)]
         self.spark.createDataFrame(rows, ENTRY).coalesce(1).write.mode("append").parquet(f"{self.folder}/log")
         return last + 1
 

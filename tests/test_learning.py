@@ -32,7 +32,7 @@ def test_training_finds_the_signal_and_not_the_noise(spark):
 
 def test_versions(spark):
     runs = spark.createDataFrame([("m", 1, 0.7), ("m", 2, 0.9), ("m", 3, 0.9), ("x", 4, 0.1)], "model string, run_id bigint, auc double")
-    got = {r.run_id: (r.version, r.is_best) for r in L.model_versions(runs, block=2).collect()}
+    got = {r.run_id: (r.version, r.is_best) for r in L.model_versions(runs).collect()}
     assert got == {1: (1, False), 2: (2, True), 3: (3, False), 4: (1, True)}
 
 

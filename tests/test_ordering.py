@@ -72,7 +72,7 @@ def test_range_running_keeps_null_keys(spark):
 
 def test_quantiles(spark, rows):
     df = spark.createDataFrame(rows, "k string, i bigint, v double")
-    for r in exact_quantiles(df, ["k"], "v", [0.5, 0.95], 0.1).collect():
+    for r in exact_quantiles(df, ["k"], "v", [0.5, 0.95]).collect():
         values = sorted(v for k, _, v in rows if k == r.k)
         for q, found in ((0.5, r.p50), (0.95, r.p95)):
             need = -(-q * len(values) // 1)
@@ -125,3 +125,17 @@ def test_sampling_rules(spark):
     assert {(r.c, r.i) for r in nucleus(soft, "c", "i", 0.6).collect()} == {
         ("flat", 0), ("flat", 1), ("flat", 2), ("peak", 0)}
     assert {r.i: r["rank"] for r in ranked(df, "c", "i", "s").filter("c = 'peak'").collect()} == {0: 1, 1: 2, 2: 3}
+
+
+def test_quantiles_of_a_dense_range(spark):
+    """Most values lie in a millionth of the range, some are not finite, one key is null."""
+    rnd = random.Random(6)
+    rows = [(k, 1e-6 * rnd.random() if i % 10 else 1e9 * rnd.random()) for k in ("a", None) for i in range(500)]
+    rows += [("a", float("inf")), ("a", float("nan")), ("a", None), ("b", -0.0), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: (r.p25, r.p50, r.p100) for r in exact_quantiles(df, ["k"], "v", [0.25, 0.5, 1.0]).collect()}
+    for k in ("a", None):
+        values = sorted((v for j, v in rows if j == k and v is not None), key=lambda v: (v != v, v))
+        want = [values[-(-int(len(values) * q * 100) // 100) - 1] for q in (0.25, 0.5)]
+        assert list(got[k][:2]) == want
+    assert got["a"][2] != got["a"][2] and got["b"] == (0.0, 0.0, 0.0) and "c" not in got

@@ -14,6 +14,8 @@ from millrace.sources.staging import stage
 
 #: Bytes of text that are worked on at a time.
 BYTES = 1 << 20
+#: Spark's setting for the number of pieces that files are cut into at least.
+PIECES = "spark.sql.files.minPartitionNum"
 
 
 def documents(docs: DataFrame, *more: str) -> DataFrame:
@@ -54,9 +56,12 @@ def numbered(docs: DataFrame, scan: bool, *more: str) -> DataFrame:
     """``documents`` with a number for every row, which all readers of the result see alike.
 
     A plain scan of files (``scan``) has its rows in the same place each time, so the numbers need not be written
-    down. Anything else, and a scan that is dealt out to more cores, is.
+    down. Anything else, and a scan that is dealt out to more cores, is. How a scan is cut depends on the cores Spark knows of, which
+    may come and go: their number as first seen is held in the session's setting for it, so that later scans are cut alike.
     """
     spark = docs.sparkSession
+    if spark.conf.get(PIECES, None) is None:
+        spark.conf.set(PIECES, str(spark.conf.get("spark.sql.leafNodeDefaultParallelism", None) or spark.sparkContext.defaultParallelism))
     rows = documents(docs, *more).withColumn("row", F.monotonically_increasing_id())
     stable = scan and docs.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
     return rows if stable else stage(rows, "numbered")

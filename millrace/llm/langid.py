@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from millrace.llm.frames import by_slices, documents
 from millrace.operators.sizing import spread
 
-#: Characters per n-gram, bits per character, and so the different letters that are told apart.
+#: Characters per n-gram, bits per character, and so the different letters that are told apart: all that any script in use has.
 ORDER = 4
-BITS = 10
+BITS = 16
 LETTERS = (1 << BITS) - 2
 OTHER = (1 << BITS) - 1
 #: The models are fitted on at most about this many labelled documents of each language, the smallest by hash. One in
@@ -106,10 +106,10 @@ class Model:
             down.append(np.where(total > 0, discount * kinds / np.maximum(total, 1), 1.0))
             # the next lower order counts in how many different contexts a gram goes on from
             if order > 1:
-                top = np.uint64(BITS * ORDER)
+                top = np.uint64(BITS * (order - 1))
                 low = g & np.uint64((1 << BITS * (order - 1)) - 1)
                 both, c = np.unique(l.astype(np.uint64) << top | low, return_counts=True)
-                triples = (both >> top).astype(np.int64), both & np.uint64((1 << BITS * ORDER) - 1), c
+                triples = (both >> top).astype(np.int64), both & np.uint64((1 << BITS * (order - 1)) - 1), c
         for x in (keys, share, contexts, down):
             x.reverse()
         model = cls(languages, code, keys, share, contexts, down, np.zeros((0, size)), np.full(size, np.inf), 1.0)
@@ -192,11 +192,12 @@ def fit(docs: DataFrame) -> Model:
     languages = sorted(counts)
     if not languages:
         return Model.fit([], np.zeros(0x110000, np.uint16), *(np.zeros(0, t) for t in (np.int64, np.uint64, np.int64)))
-    draw = F.pmod(F.xxhash64("doc_id", "lang"), F.lit(1 << 30))
+    # by id and text: rows that share an id, or have none, are drawn one by one all the same
+    draw = F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 30))
     share = F.create_map(*[x for l, c in counts.items() for x in (F.lit(l), F.lit(int(min(1.0, PER_LANGUAGE / c) * (1 << 30))))])
-    sample = labelled.where(draw < F.element_at(share, F.col("lang"))).withColumn("apart", F.pmod(F.xxhash64("doc_id"), F.lit(FOURTH)) == 0)
+    sample = labelled.where(draw < F.element_at(share, F.col("lang"))).withColumn("apart", F.pmod(F.xxhash64("doc_id", "text"), F.lit(FOURTH)) == 0)
     letters = (sample.select(F.explode(F.split(F.lower("text"), "")).alias("x")).groupBy("x").count()
-               .where(F.length("x") == 1).orderBy(F.desc("count"), "x").limit(4 * LETTERS).collect())
+               .where(F.length("x") == 1).orderBy(F.desc("count"), "x").limit(2 * LETTERS).collect())
     code = alphabet_of({r.x: r["count"] for r in letters if r.x.isalpha()})
     number = {l: i for i, l in enumerate(languages)}
 

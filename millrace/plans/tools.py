@@ -13,7 +13,7 @@ from millrace.sources import sinks
 from millrace.sources.staging import fresh_path
 
 # The raw rows are JSON texts built from ``part`` by one expression that both engines can read.
-_LOOSE = """case p_size % 16 when 0 then 'str' when 1 then 'str, optional' when 2 then 'str, default=''London'''
+_LOOSE = """case p_size % 16 when 0 then 'str' when 1 then 'str, optional' when 2 then 'str, default=''Lisbon'''
   when 3 then 'default=''x''' when 4 then 'List[int]' when 5 then 'Tuple[int, int]' when 6 then 'Callable[[int], str]'
   when 7 then 'set' when 8 then 'Dict' when 9 then 'weird' when 10 then ' int ' when 11 then 'float, optional'
   when 12 then 'bool' when 13 then 'list' when 14 then 'Set[str]' else 'int, default=5, optional' end"""
@@ -118,11 +118,18 @@ def json_convert_example(spark, d):
 
 
 @query("json_eval_format", f"""with {ONE_SQL}
-select id, 1::bigint as n_messages, query as content, concat('find_', lower(p_type)) as name from one where p_size <= 45""")
+select id, 1::bigint as n_messages, query as content, concat('find_', lower(p_type)) as name, p_name as name_argument,
+       p_size::bigint as size_argument, concat('find_', lower(p_type), case when p_size < 5 then ',bare' else ',list_brands' end) as tool_names,
+       case when p_size < 5 then 0 else 1 end::bigint as described_tools
+from one where p_size <= 45""")
 def json_eval_format(spark, d):
+    given = F.col("tool_calls")[0]["function"]["arguments"]
+    described = F.size(F.filter(F.slice("tools", 2, 100), lambda t: t["function"]["description"] != ""))
     return T.eval_format(T.examples(parsed_rows(spark, d))).select(
         "id", F.size("messages").cast("bigint").alias("n_messages"), F.col("messages")[0]["content"].alias("content"),
         F.col("tool_calls")[0]["function"]["name"].alias("name"),
+        F.try_variant_get(given, "$.name", "string").alias("name_argument"), F.try_variant_get(given, "$.size", "bigint").alias("size_argument"),
+        F.array_join(F.transform("tools", lambda t: t["function"]["name"]), ",").alias("tool_names"), described.cast("bigint").alias("described_tools"),
     )
 
 
@@ -161,18 +168,27 @@ def chk_tool_rows(spark, d):
             .unionByName(T.check_raw(broken_rows(spark, d), _PROBLEMS)))
 
 
-@query("snk_jsonl_splits", f"""with {ONE_SQL}, c as (select id, p_size from one order by id limit 3000),
-r as (select id, p_size, row_number() over (order by md5(concat('1234:', id::varchar)), id) as place from c),
+@query("snk_jsonl_splits", f"""with {ONE_SQL}, c as (select id, p_size, query, p_type from one order by id limit 3000),
+r as (select *, row_number() over (order by md5(concat('1234:', id::varchar)), id) as place from c),
 n as (select least(1500, count(*)) as n from c),
-s as (select p_size, case when place <= floor(0.70 * n) then 'training'
+s as (select *, case when place <= floor(0.70 * n) then 'training'
     when place <= floor(0.70 * n) + floor(0.15 * n) then 'validation' else 'testing' end as split from r, n where place <= n)
-select split, count(*) as lines, count(*) as valid from s where split <> 'testing' or p_size <= 45 group by 1""")
+select split, count(*) as lines, count(*) as valid, min(query) as first_content, max(query) as last_content, sum(length(query))::bigint as content_chars,
+       count(distinct concat('find_', lower(p_type))) as tools_called, count(*) filter (where split = 'testing') as truths
+from s where split <> 'testing' or p_size <= 45 group by 1""")
 def snk_jsonl_splits(spark, d):
     drawn = splits.draw_and_split(T.examples(parsed_rows(spark, d)), "id")
     path = fresh_path(spark, "splits")
     sinks.write_lines(T.split_lines(drawn), path)
+    line = F.col("value")
+    content = F.get_json_object(line, "$.messages[0].content")
+    # the call is the truth beside the messages of a test line, and the last message of another
+    truth = F.get_json_object(line, "$.tool_calls[0].function.name")
+    called = F.coalesce(truth, F.get_json_object(line, "$.messages[1].tool_calls[0].function.name"))
     return sinks.read_lines(spark, path).groupBy("split").agg(
-        F.count("*").alias("lines"), F.count(F.get_json_object("value", "$.messages")).alias("valid")
+        F.count("*").alias("lines"), F.count(F.get_json_object(line, "$.messages")).alias("valid"), F.min(content).alias("first_content"),
+        F.max(content).alias("last_content"), F.sum(F.length(content)).alias("content_chars"), F.countDistinct(called).alias("tools_called"),
+        F.count(truth).alias("truths"),
     )
 
 

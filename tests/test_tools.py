@@ -11,7 +11,7 @@ from millrace.operators import toolcalls as T
 
 
 @pytest.mark.parametrize("loose,want", [
-    ("str", "string"), ("str, optional", "string"), ("str, default='London'", "string"), ("default='x'", "string"),
+    ("str", "string"), ("str, optional", "string"), ("str, default='Lisbon'", "string"), ("default='x'", "string"),
     ("List[int]", "array"), ("Tuple[int, int]", "array"), ("Callable[[int], str]", "string"), ("set", "array"),
     ("Set[str]", "array"), ("Dict", "object"), ("weird", "string"), (" int ", "integer"), ("float, optional", "number"),
     ("int, default=5, optional", "integer"), ("bool", "boolean"), ("", "string"), ("default=5", "string"),

@@ -324,7 +324,10 @@ def _sums(texts: list[list[bytes]], shared, at: int, parts: int) -> np.ndarray:
             gram, text = gram[own], text[own]
         # sorted n-grams are found much faster; the text travels in the lower bits
         key = np.sort(gram << bits | text)
-        out += np.bincount(key & (1 << bits) - 1, weights=_model(shared).score(key >> bits), minlength=len(texts))
+        gram = key >> bits
+        new = np.diff(gram, prepend=-1) != 0  # each n-gram is scored once, wherever and however often it stands
+        log = _model(shared).score(gram[new])
+        out += np.bincount(key & (1 << bits) - 1, weights=log[np.cumsum(new) - 1], minlength=len(texts))
     return out
 
 

@@ -180,6 +180,31 @@ def _parts(qid: np.ndarray, n: np.ndarray, wide: int) -> Iterator[tuple[int, int
         at = stop
 
 
+def sentiment(docs: DataFrame, lexicon: DataFrame) -> DataFrame:
+    """(doc_id, score, sentiment): the weights of a text's words added up, and positive, negative or neutral by the sign.
+
+    ``docs`` is (doc_id, text), ``lexicon`` the caller's (word, weight), words in small letters and each once. A word counts as often as it stands.
+    Words are counted by document in each task, so a long text or a frequent word is a few rows.
+    """
+    counted = docs.select("doc_id", F.explode(words(F.lower("text"))).alias("word")).groupBy("doc_id", "word").agg(F.count("*").alias("n"))
+    scored = counted.join(small_side(lexicon), "word").groupBy("doc_id").agg(F.sum(F.col("n") * F.col("weight")).alias("score"))
+    score = F.coalesce("score", F.lit(0))
+    return docs.select("doc_id").join(scored, "doc_id", "left").select(
+        "doc_id", score.alias("score"), F.when(score > 0, "positive").when(score < 0, "negative").otherwise("neutral").alias("sentiment"))
+
+
+def learnt_lexicon(labelled: DataFrame, least: int = 5) -> DataFrame:
+    """(word, weight): 1 for words that a larger share of the good documents has than of the bad ones, -1 for the others.
+
+    ``labelled`` is (doc_id, text, good). Words of fewer than ``least`` documents, or as frequent in both, have no weight.
+    """
+    seen = labelled.select(F.col("good").cast("boolean").alias("good"), F.explode(_words("text")).alias("word"))
+    by_word = seen.groupBy("word").agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b")).filter(F.col("g") + F.col("b") >= least)
+    n_good, n_bad = labelled.agg(F.count_if(F.col("good").cast("boolean")), F.count_if(~F.col("good").cast("boolean"))).first()
+    leaning = F.signum((F.col("g") * n_bad - F.col("b") * n_good).cast("double")).cast("bigint")
+    return by_word.select("word", leaning.alias("weight")).filter("weight <> 0")
+
+
 def _top(scored: DataFrame, k: int) -> DataFrame:
     best = W.partitionBy("qid").orderBy(F.col("score").desc(), "doc_id")
     return scored.withColumn("rank", F.row_number().over(best).cast("bigint")).filter(F.col("rank") <= k)

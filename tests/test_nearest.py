@@ -141,3 +141,12 @@ def test_lexical_opens_only_blocks_that_may_win(spark):
     finally:
         lexical._scored = real
     assert [r.doc_id for r in found] == [5] and opened == [1, 0]
+
+
+def test_sentiment_by_a_given_lexicon(spark):
+    docs = spark.createDataFrame([(1, "Good good\tbad"), (2, "BAD news"), (3, "good bad"), (4, None), (5, "none")], "doc_id bigint, text string")
+    lexicon = spark.createDataFrame([("good", 1), ("bad", -1), ("unused", 5)], "word string, weight bigint")
+    got = {r.doc_id: (r.score, r.sentiment) for r in lexical.sentiment(docs, lexicon).collect()}
+    assert got == {1: (1, "positive"), 2: (-1, "negative"), 3: (0, "neutral"), 4: (0, "neutral"), 5: (0, "neutral")}
+    labelled = docs.join(spark.createDataFrame([(1, True), (2, False), (3, False)], "doc_id bigint, good boolean"), "doc_id")
+    assert {tuple(r) for r in lexical.learnt_lexicon(labelled, 1).collect()} == {("good", 1), ("news", -1)}

@@ -130,7 +130,8 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10) -> DataFrame:
     block searches its own sorted arrays without any limit on candidates, and the best k of all blocks stay.
     Vectors that are null, zero or hold null or non-finite components take no part, nor do rows without a vec_id.
     Vectors of different lengths are not compared. A query row that is repeated asks once, by its first row in the
-    order of values. An empty table gives an empty result.
+    order of values. An empty table gives an empty result. Other columns, whatever their
+    names, play no part.
     """
     spark = vectors.sparkSession
     rows = stage(usable(vectors).where("vec_id is not null").select("vec_id", F.col("vec").cast("array<double>").alias("vec"), "dim"),

@@ -193,7 +193,9 @@ class Model:
         self.log = log.astype(np.float32)
 
     def score(self, gram: np.ndarray) -> np.ndarray:
-        """Log10 probability of the last byte of each n-gram after the others."""
+        """Log10 probability of the last byte of each n-gram after the others. Other columns, whatever their
+    names, play no part.
+    """
         if not len(self.gram):
             return self._unseen(gram)
         at = np.minimum(np.searchsorted(self.gram, gram), len(self.gram) - 1)

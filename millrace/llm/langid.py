@@ -228,7 +228,8 @@ def identify(docs: DataFrame, carry: list[str] | None = None) -> DataFrame:
     its share among all languages, scaled to fit calibration documents. Null texts and texts without a letter
     are ``und`` with score 0 and count as rejected, as do texts further from their language than practically all
     calibration documents. Rows without a label, or held out, teach nothing; with no labelled row at all
-    every document is ``und``. Every row gives one row. An empty table gives an empty result.
+    every document is ``und``. Every row gives one row. An empty table gives an empty result. Columns that are not
+    carried play no part, whatever their names.
     """
     carry = carry or ["doc_id"]
     shared = docs.sparkSession.sparkContext.broadcast(fit(docs))

@@ -63,7 +63,8 @@ def mix(docs: DataFrame, weights: list[int] | None = None, epochs: int = 3, seed
     Null and empty texts have size 0 and are taken as often as their source's whole repetitions. A null source
     is a source of its own, the last one. Repeated rows each count. Rows that agree in doc_id and text are
     interchangeable. Reruns agree: nothing depends on partitions. An empty table gives an empty result.
-    Only DataFrame functions are used.
+    Only DataFrame functions are used. Columns that are not carried play no part, whatever their names. Sources are rows of one window: there
+    may be many, as long as a task can sort their sums.
     """
     return _mixed(docs, weights or [5, 2, 1], epochs, seed, carry or ["doc_id"]).select(
         "row.*", "size", "source_size", "target", "repeats", (F.col("repeats") * F.col("size")).alias("taken"))

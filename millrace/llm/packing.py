@@ -164,7 +164,8 @@ def pack(docs: DataFrame, path: str, size: int = 1024, added: bool = False) -> D
     A document is its tokens and the end mark 0; null and empty texts are the end mark alone, in the
     middle of the curve. Repeated rows and rows without a doc_id are packed like any other. An empty table gives an
     empty result. sequence_id holds the task in its upper bits. With ``added``, strings of the file's added tokens have those
-    tokens' ids, as in the library's default setting, else they are ordinary text.
+    tokens' ids, as in the library's default setting, else they are ordinary text. Other columns, whatever their
+    names, play no part.
     """
     tokens = stage(tokenised(docs, path, added), "tokens")
     ordered = tokens.repartitionByRange("curve", "doc_id").sortWithinPartitions("curve", "doc_id", "ids")

@@ -196,7 +196,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.9) -> DataFrame:
     Linked are vectors found with a cosine of ``cosine`` or more, in double precision; none below is. Vectors
     that are null, zero or hold null or non-finite components link with nothing, and vectors of different
     lengths are not compared. Equal vectors meet once, with their number. Every row gives one row, repeated rows
-    too; rows without a vec_id are linked, and named only by others. An empty table gives an empty result.
+    too; rows without a vec_id are linked, and named only by others. An empty table gives an empty result. Other columns, whatever their
+    names, play no part.
     """
     spark = vectors.sparkSession
     rows = stage(usable(vectors), "vectors")

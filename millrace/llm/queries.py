@@ -44,7 +44,7 @@ def op4_suffix_dedup(spark, sf_dir):
     return suffixes.remove_repeats(load(spark, sf_dir, "documents"), length=200, scan=True).drop("kept_text")
 
 
-@query()
+@query(sql.mix([5, 2, 1], epochs=3))
 def op5_mixing(spark, sf_dir):
     return mixing.mix(load(spark, sf_dir, "documents"), weights=[5, 2, 1], epochs=3).drop("repeats")
 

@@ -107,7 +107,8 @@ def shard(docs: DataFrame, shards: int = 8) -> DataFrame:
     Returns doc_id, size (UTF-8 bytes of the text and 1), text_crc32 (unsigned), law ('bytes'), shard, slot (place
     within the shard, gapless from 0) and grown_shard (null: adding a shard would move rows freely). A null
     text has no bytes; it is a group of its own beside the empty text. Every row gets a slot, repeated rows
-    and rows without doc_id too. An empty table gives an empty result.
+    and rows without doc_id too. An empty table gives an empty result. Other columns, whatever their
+    names, play no part.
     """
     text = F.col("text")
     # null and empty texts differ by the first byte

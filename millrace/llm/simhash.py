@@ -141,7 +141,8 @@ def simhash_groups(docs: DataFrame, width: int = 3) -> DataFrame:
     doc_id of the group, the document itself included. Every row of ``docs`` gives one row, repeated rows too.
     Documents without words (null, empty or blank texts) have the fingerprint zero and are linked like any
     other. Rows without a doc_id are linked too, but name no group unless nothing else does (then null). An
-    empty table gives an empty result. Equal fingerprints meet once, before the search.
+    empty table gives an empty result. Equal fingerprints meet once, before the search. Other columns, whatever their
+    names, play no part.
     """
     prints = stage(fingerprints(docs, width), "simhash")
     return prints.join(_named(prints, "doc_id"), "fp").select(

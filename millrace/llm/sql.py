@@ -113,3 +113,38 @@ def licence_scan(templates: Sequence[tuple[str, str]], phrases: Mapping[str, str
              {distinct.format("list_concat(own, found)")} AS labels,
              CASE WHEN len(found) > 0 THEN 1.0 WHEN len(own) > 0 THEN 0.5 ELSE 0.0 END::DOUBLE AS score
       FROM kept"""
+
+
+def mix(weights: Sequence[int], epochs: int, seed: int = 7, ranges: int = 1 << 12) -> str:
+    """Sources in the order in which they fill up; documents in the order of their hash, by range first."""
+    cycle = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(weights))
+    return f"""
+      WITH sized AS (
+        SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
+               md5(concat_ws(':', '{seed}', coalesce(doc_id::VARCHAR, ''), md5(coalesce(text, '')))) AS draw FROM documents),
+      cut AS (SELECT *, ('0x' || left(draw, 8))::BIGINT % {ranges} AS range FROM sized),
+      sums AS (SELECT source, sum(size)::BIGINT AS source_size FROM cut GROUP BY 1),
+      weighed AS (
+        SELECT *, CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(weights)} {cycle} END::BIGINT AS weight FROM sums),
+      filling AS (
+        SELECT *, {epochs} * source_size AS cap, row_number() OVER (ORDER BY source_size / weight, source NULLS LAST) AS place FROM weighed),
+      sharing AS (
+        SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS rest,
+               (sum(weight) OVER (ORDER BY place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS weights FROM filling),
+      levels AS (SELECT *, rest * weight / weights >= cap AS is_full, rest / weights AS level FROM sharing),
+      plan AS (
+        SELECT source, source_size, CASE WHEN is_full THEN cap::DOUBLE ELSE weight * (SELECT arg_min(level, place) FROM levels WHERE NOT is_full) END AS target FROM levels),
+      whole AS (
+        SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS times FROM plan),
+      spare AS (SELECT *, target - times * source_size AS extra FROM whole),
+      ran AS (SELECT source, range, sum(size)::BIGINT AS n FROM cut GROUP BY 1, 2),
+      upto AS (SELECT *, sum(n) OVER (PARTITION BY source ORDER BY range) AS upto FROM ran),
+      ends AS (
+        SELECT s.source, min(u.range) AS last FROM upto u JOIN spare s ON u.source IS NOT DISTINCT FROM s.source WHERE u.upto > s.extra GROUP BY 1),
+      placed AS (
+        SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY range, draw, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+        FROM cut)
+      SELECT p.doc_id, p.size, s.source_size, s.target,
+             p.size * (s.times + CASE WHEN e.last IS NULL OR p.range > e.last THEN 0 WHEN p.range < e.last THEN 1
+                                      WHEN p.size > 0 AND p.before + p.size / 2 <= s.extra THEN 1 ELSE 0 END) AS taken
+      FROM placed p JOIN spare s ON p.source IS NOT DISTINCT FROM s.source LEFT JOIN ends e ON e.source IS NOT DISTINCT FROM p.source"""

@@ -381,7 +381,8 @@ def remove_repeats(docs: DataFrame, length: int = 200, scan: bool = False) -> Da
     they overlap. All strings are judged on the input: every copy goes, the first too. Null and empty texts have no
     bytes, and texts shorter than ``length`` are kept whole. Every row is a document, repeated rows too; a row without a
     doc_id is treated like any other. An empty table gives an empty result. ``scan`` says that docs is a plain scan of files
-    (see numbered).
+    (see numbered). Other columns, whatever their
+    names, play no part.
     """
     rows = numbered(docs, scan)
     ranges = repeated_ranges(rows.select("row", "text"), length)

@@ -198,7 +198,7 @@ def learnt_lexicon(labelled: DataFrame, least: int = 5) -> DataFrame:
 
     ``labelled`` is (doc_id, text, good). Words of fewer than ``least`` documents, or as frequent in both, have no weight.
     """
-    seen = labelled.select(F.col("good").cast("boolean").alias("good"), F.explode(_words("text")).alias("word"))
+    seen = labelled.select(F.col("good").cast("boolean").alias("good"), F.explode(F.array_distinct(words(F.lower("text")))).alias("word"))
     by_word = seen.groupBy("word").agg(F.count_if("good").alias("g"), F.count_if(~F.col("good")).alias("b")).filter(F.col("g") + F.col("b") >= least)
     n_good, n_bad = labelled.agg(F.count_if(F.col("good").cast("boolean")), F.count_if(~F.col("good").cast("boolean"))).first()
     leaning = F.signum((F.col("g") * n_bad - F.col("b") * n_good).cast("double")).cast("bigint")

@@ -119,6 +119,8 @@ class Model:
     def probability(self, gram: np.ndarray) -> np.ndarray:
         p = np.full((len(gram), len(self.languages)), 1.0 / (1 << BITS))
         for order in range(1, ORDER + 1):
+            if not len(self.keys[order - 1]):  # nothing was counted
+                continue
             low = gram & np.uint64((1 << BITS * order) - 1)
             at, there = _find(self.contexts[order - 1], low >> np.uint64(BITS))
             p = np.where(there[:, None], self.down[order - 1][at] * p, p)
@@ -131,7 +133,7 @@ class Model:
         s, first = symbols(texts, self.code)
         gram = grams(s, first)
         at, there = _find(self.keys[-1], gram)
-        log = self.log[at]
+        log = self.log[at] if len(self.log) else np.zeros((len(gram), len(self.languages)))
         log[~there] = np.log(self.probability(gram[~there]))
         letters = np.concatenate([[0], np.cumsum(s != 0)])
         sums = np.concatenate([np.zeros((1, log.shape[1])), np.cumsum(log, axis=0, dtype=np.float64)])
@@ -195,7 +197,10 @@ def fit(docs: DataFrame) -> Model:
     # by id and text: rows that share an id, or have none, are drawn one by one all the same
     draw = F.pmod(F.xxhash64("doc_id", "lang", "text"), F.lit(1 << 30))
     share = F.create_map(*[x for l, c in counts.items() for x in (F.lit(l), F.lit(int(min(1.0, PER_LANGUAGE / c) * (1 << 30))))])
-    sample = labelled.where(draw < F.element_at(share, F.col("lang"))).withColumn("apart", F.pmod(F.xxhash64("doc_id", "text"), F.lit(FOURTH)) == 0)
+    # of a language with hardly any documents all are counted
+    enough = F.create_map(*[x for l, c in counts.items() for x in (F.lit(l), F.lit(c >= 2 * FOURTH))])
+    sample = labelled.where(draw < F.element_at(share, F.col("lang"))).withColumn(
+        "apart", F.element_at(enough, F.col("lang")) & (F.pmod(F.xxhash64("doc_id", "text"), F.lit(FOURTH)) == 0))
     letters = (sample.select(F.explode(F.split(F.lower("text"), "")).alias("x")).groupBy("x").count()
                .where(F.length("x") == 1).orderBy(F.desc("count"), "x").limit(2 * LETTERS).collect())
     code = alphabet_of({r.x: r["count"] for r in letters if r.x.isalpha()})

@@ -183,7 +183,8 @@ class Model:
                 level = zero if d == 0 else one if d == 1 else own.pop(d)
                 p, weight = level.one(), level.weight
                 if d < DEPTH:
-                    kept.append((level.key, p.astype(np.float32), weight.astype(np.float32)))
+                    # estimates as doubles: one minus an estimate must not become zero where a decision went one way millions of times
+                    kept.append((level.key, p, weight.astype(np.float32)))
                 got, left = (got[places[d]], left[places[d]]) if d else (np.zeros(len(level.at)), np.ones(len(level.at)))
                 p, weight = p[level.at], weight[level.at]
                 got = got + left * weight * np.where(level.bit, p, 1 - p)

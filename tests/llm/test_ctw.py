@@ -124,3 +124,18 @@ def test_nothing_to_learn(spark):
     r, = ctw.score(spark.createDataFrame([(held, "a b")], "doc_id long, text string")).collect()
     assert (r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (3, 0, 0, 0.0)
     assert r.score == pytest.approx(-4 * 8 * math.log10(2)) and r.bits_per_byte == pytest.approx(8)
+
+
+def test_what_never_came_after_millions_is_finite():
+    """A decision that went one way a hundred million times leaves a little for the other way."""
+    learnt = {b"abcde" + bytes([x]): 10 ** 7 for x in range(0x61, 0x7b)} | {bytes([x]) * 4 + b"ee": 10 ** 7 for x in range(0x61, 0x7b)}
+    gram, count = map(np.array, zip(*sorted((int.from_bytes(g, "big"), n) for g, n in learnt.items())))
+    tops = [ctw.Subtree(gram, count).levels(l)[2] for l in range(8)]
+    g, c, _ = ctw.truncated(gram, count, 2)
+    own, at = np.unique(np.concatenate([x.key & 0xFFFF for x in tops]), return_inverse=True)
+    sums = np.bincount(at, weights=np.concatenate([x.log for x in tops]))
+    model = ctw.Model(ctw.Top(g, c, (own, sums)), gram, count)
+    after = (int.from_bytes(b"zzzze", "big") << 8) + np.arange(256)
+    with np.errstate(divide="raise"):
+        log = model.score(after)
+    assert np.isfinite(log).all() and np.isclose((10.0 ** log).sum(), 1, atol=1e-5)

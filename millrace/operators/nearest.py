@@ -22,6 +22,8 @@ from millrace.sources.staging import fresh_path, stage
 BROADCAST_NUMBERS = 4_000_000
 # Pairs scored at once inside a task.
 BLOCK_PAIRS = 1 << 20
+# Queries scored at once: with this many, a block of pairs is as wide as it is long, and what is best so far is merged seldom.
+GROUP_QUERIES = 1 << 10
 # Numbers held at once while pairs are scored again.
 EXACT_NUMBERS = 1 << 22
 
@@ -72,11 +74,13 @@ class _Best:
         for lo in range(0, len(ids), step):
             some = vectors[lo:lo + step]
             rough, off = _bounds(some, self.queries, self.metric)
-            limit = self.limit
-            if rough.shape[1] > self.k:  # k of this block are surely as near as this
-                limit = np.minimum(limit, np.partition(rough + off, self.k - 1, axis=1)[:, self.k - 1])
             # only pairs that may be among the best are scored by their differences
-            qi, ci = np.nonzero(rough - off <= limit[:, None])
+            maybe = rough - off <= self.limit[:, None]
+            if rough.shape[1] > self.k and np.count_nonzero(maybe) > 4 * self.k * len(self.queries):
+                # k of this block are surely as near as this
+                limit = np.minimum(self.limit, np.partition(rough + off, self.k - 1, axis=1)[:, self.k - 1])
+                maybe = rough - off <= limit[:, None]
+            qi, ci = np.nonzero(maybe)
             if len(qi) == 0:
                 continue
             q = np.concatenate([self.q, qi])
@@ -233,16 +237,19 @@ def nearest(
 
     def score(block, batches, dims):
         sight = _Sight(block.sees) if scoped else None
-        groups = sight.groups if scoped else [np.arange(len(block.qids))]
-        best = [_Best(block.matrix[at], k, metric) for at in groups]
+        groups = [[at[i:i + GROUP_QUERIES] for i in range(0, len(at), GROUP_QUERIES)]
+                  for at in (sight.groups if scoped else [np.arange(len(block.qids))])]
+        best = [[_Best(block.matrix[at], k, metric) for at in parts] for parts in groups]
         for batch in batches:
             if batch.num_rows:
                 ids, vectors = batch.column("id").to_numpy(), _matrix(batch.column("vec"), dims)
                 for group, rows in sight.rows(batch.column("of")) if scoped else [(0, slice(None))]:
-                    best[group].add(ids[rows], vectors[rows])
-        for at, one in zip(groups, best):
-            if len(one.q):
-                yield found(block, at, one)
+                    for one in best[group]:
+                        one.add(ids[rows], vectors[rows])
+        for parts, ones in zip(groups, best):
+            for at, one in zip(parts, ones):
+                if len(one.q):
+                    yield found(block, at, one)
 
     return _merge(_scans(_asked(queries, scoped), corpus, score, FOUND, broadcast_numbers, scoped), k)
 

@@ -1,6 +1,7 @@
 """Both ways of searching against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.errors import PySparkException
 
@@ -150,3 +151,30 @@ def test_sentiment_by_a_given_lexicon(spark):
     assert got == {1: (1, "positive"), 2: (-1, "negative"), 3: (0, "neutral"), 4: (0, "neutral"), 5: (0, "neutral")}
     labelled = docs.join(spark.createDataFrame([(1, True), (2, False), (3, False)], "doc_id bigint, good boolean"), "doc_id")
     assert {tuple(r) for r in lexical.learnt_lexicon(labelled, 1).collect()} == {("good", 1), ("news", -1)}
+
+
+def test_many_queries_are_scored_in_groups(spark, monkeypatch):
+    """Groups of queries, each with its own best so far: blocks of pairs are as long as wide, and the results are brute force's."""
+    from millrace.operators import nearest as N
+
+    rng = np.random.default_rng(3)
+    corpus, asked = rng.integers(-9, 9, (300, 4)).astype(float), rng.integers(-9, 9, (70, 4)).astype(float)
+    at_once = []
+    add = N._Best.add
+
+    def noting(self, ids, vectors):
+        at_once.append(len(self.queries))
+        return add(self, ids, vectors)
+    monkeypatch.setattr(N._Best, "add", noting)
+    monkeypatch.setattr(N, "GROUP_QUERIES", 16)
+    block = N.Block(np.arange(70), asked, [None] * 70)
+    seen = {}
+    monkeypatch.setattr(N, "_merge", lambda partial, k: partial)
+    monkeypatch.setattr(N, "_scans", lambda q, c, score, *rest: seen.setdefault("score", score))
+    monkeypatch.setattr(N, "_asked", lambda *a: None)
+    score = N.nearest(None, None, 3)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(300)), pa.array(corpus.tolist())], ["id", "vec"])
+    got = sorted((q, d, i) for part in score(block, iter([batch.slice(0, 100), batch.slice(100)]), 4)
+                 for q, i, d in zip(*(part.column(c).to_pylist() for c in ("qid", "id", "distance"))))
+    want = sorted((q, d, i) for q in range(70) for d, i in sorted((float(((asked[q] - v) ** 2).sum()), i) for i, v in enumerate(corpus))[:3])
+    assert got == want and max(at_once) == 16

@@ -62,3 +62,17 @@ def test_emptied_buckets_go(spark):
     alone.create(first.limit(1))
     alone.delete(first.select("id"))
     assert alone.read().count() == 0 and alone.files() == {}
+
+
+def test_a_large_bucket_is_written_by_several_tasks(spark, monkeypatch):
+    from pathlib import Path
+
+    from millrace.operators import buckets
+
+    monkeypatch.setattr(buckets, "SHARE", 2000, raising=False)
+    rows = [(f"d{i}", f"text {i} " * 20, "tweet") for i in range(200)]
+    store = BucketStore(spark, fresh_path(spark, "store"), spark.createDataFrame(rows, SCHEMA).schema, "id", 2)
+    store.create(spark.createDataFrame(rows, SCHEMA))
+    store.update(spark.createDataFrame([("d7", None, "news"), ("zz", None, "news")], SCHEMA))
+    assert sorted(map(tuple, store.read().collect())) == sorted([(k, t, "news" if k == "d7" else s) for k, t, s in rows])
+    assert all(len(list(Path(path).glob("*.parquet"))) > 3 for path in store.files().values())

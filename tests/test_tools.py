@@ -173,3 +173,23 @@ def test_broken_rows_are_errors(spark, tools, answers, problem):
             T.parsed(raw).collect()
     else:
         assert T.parsed(raw).count() == 1
+
+
+def test_specifications_are_made_once(spark):
+    """Filters and checks read the finished tools; they do not parse them anew."""
+    from millrace.operators import toolcalls
+
+    raw = spark.createDataFrame([(1, "q", '[{"name":"f","parameters":{"a":{"type":"int"}}}]', '[{"name":"f","arguments":{"a":1}}]')],
+                                "id long, query string, tools string, answers string")
+    made = toolcalls.eval_format(toolcalls.examples(toolcalls.parsed(raw)))
+    assert made._jdf.queryExecution().optimizedPlan().toString().count("transform_values") == 1
+    assert made.first().tools[0]["function"]["parameters"]["required"] == ["a"]
+
+
+def test_rows_of_one_piece_are_dealt_to_all_cores(spark):
+    from millrace.operators.sizing import dealt
+
+    cores = spark.sparkContext.defaultParallelism
+    many = dealt(spark.range(50_000).coalesce(1))
+    assert many.rdd.getNumPartitions() == cores and many.count() == 50_000
+    assert dealt(spark.range(100).coalesce(1)).rdd.getNumPartitions() == 1

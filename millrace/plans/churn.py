@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from millrace.operators import curate as C, features as X, learning as L
+from millrace.operators.sizing import dealt
 from millrace.plans.registry import query
 from millrace.plans.standins import (
     CURATED_SQL, CUTOFF, DEDUP_SQL, SUBS_SQL, TRAINING_SQL, USAGE_SQL, WATCH_SQL,
@@ -239,7 +240,9 @@ def ml_train_churn(spark, d):
 
 @query("ml_importance")
 def ml_importance(spark, d):
-    model, columns = L.train_boosted(stage(_features(spark, d), "features"), "churned_next_30d", ["subscriber_id"])
+    # small rows in few files: hundreds of rounds over them are spread over all cores
+    table = dealt(stage(_features(spark, d), "features"))
+    model, columns = L.train_boosted(table, "churned_next_30d", ["subscriber_id"])
     return L.importances(spark, model, columns)
 
 

@@ -52,10 +52,9 @@ def grams(texts: list[list[bytes]], at_once: int = 1 << 19) -> Iterator[tuple[np
         out = raw[low:high].astype(np.int64)
         for back in range(1, DEPTH + 1):
             out |= raw[low - back:high - back].astype(np.int64) << 8 * back
-        place = np.arange(low, high)
-        text = np.searchsorted(begin, place, side="right") - 1
-        own = place < begin[text] + size[text]  # the filling between texts is not part of them
-        yield out[own], text[own]
+        edges = np.clip(np.stack([begin, begin + size], axis=1), low, high)
+        own = np.repeat(np.resize([True, False], edges.size), np.diff(edges.ravel(), append=high))  # not the filling after a text
+        yield out[own], np.repeat(np.arange(len(texts)), edges[:, 1] - edges[:, 0])
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -321,9 +320,10 @@ def _columns(rows: DataFrame, *names: str) -> list[np.ndarray]:
 def _sums(texts: list[list[bytes]], shared, at: int, parts: int) -> np.ndarray:
     """By text, the log10 probability of the positions that belong to slice ``at``."""
     out, bits = np.zeros(len(texts)), len(texts).bit_length()
+    mine = _part(np.arange(65536), PARTS * parts) % parts == at  # by context of two bytes
     for gram, text in grams(texts):
         if parts > 1:
-            own = _part(gram >> 8 & 0xFFFF, PARTS * parts) % parts == at
+            own = mine[gram >> 8 & 0xFFFF]
             gram, text = gram[own], text[own]
         # sorted n-grams are found much faster; the text travels in the lower bits
         key = np.sort(gram << bits | text)

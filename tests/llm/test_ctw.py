@@ -139,3 +139,32 @@ def test_what_never_came_after_millions_is_finite():
     with np.errstate(divide="raise"):
         log = model.score(after)
     assert np.isfinite(log).all() and np.isclose((10.0 ** log).sum(), 1, atol=1e-5)
+
+
+def test_slices_are_told_by_context_not_by_position(monkeypatch):
+    told = []
+    part = ctw._part
+
+    def counted(context, parts):
+        told.append(len(context))
+        return part(context, parts)
+
+    class Even:
+        def score(self, gram):
+            return np.ones(len(gram))
+
+    monkeypatch.setattr(ctw, "_part", counted)
+    monkeypatch.setattr(ctw, "_model", lambda shared: Even())
+    texts = [[b"some", b"words"] * 9000, [], [b"x"]]
+    sums = sum(ctw._sums(texts, None, at, 3) for at in range(3))
+    assert sums.tolist() == [99000.0, 1.0, 2.0]
+    assert max(told) <= 65536
+
+
+def test_grams_of_pieces_are_those_of_the_whole():
+    texts = [[b"ab", b"c"], [], [b"d" * 40], [], [b"e"]]
+    (gram, text), = ctw.grams(texts)
+    for at_once in (1, 3, 7):
+        some = list(ctw.grams(texts, at_once))
+        assert np.concatenate([g for g, _ in some]).tolist() == gram.tolist()
+        assert np.concatenate([t for _, t in some]).tolist() == text.tolist() == [0] * 5 + [1] + [2] * 41 + [3] + [4] * 2

@@ -12,7 +12,7 @@ import re
 import time
 import uuid
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -271,17 +271,22 @@ def embed_with(df: DataFrame, text: str, out: str, make_embedder: Callable[[], C
     """Adds a vector per text from a caller's model, called per Arrow batch like ``complete``."""
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.FloatType()))])
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         embed = make_embedder()
         for batch in batches:
-            vectors = np.asarray(embed(batch[text].fillna("").tolist()), dtype=np.float32)
-            yield batch.assign(**{out: list(vectors)})
+            if batch.num_rows:
+                vectors = np.asarray(embed([t or "" for t in batch.column(text).to_pylist()]), dtype=np.float32)
+                edges = np.arange(len(vectors) + 1, dtype=np.int32) * vectors.shape[1]
+                # what is not a number is null, as everywhere that rows come from pandas
+                lists = pa.ListArray.from_arrays(edges, pa.array(vectors.reshape(-1), from_pandas=True))
+                yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, out])
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, schema)
 
 
-_ASCII = re.compile("[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+")
-_SMALL = {c: c + 32 for c in range(65, 91)}
+# Letters and digits as they are, A-Z small, other ASCII a blank; bytes of other characters stay.
+_ASCII = bytes(ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(128)) + bytes(range(128, 256))
+_WORDS_KNOWN = 1 << 18
 
 
 def digest_embedder(dims: int = 64) -> Callable[[list[str]], np.ndarray]:
@@ -290,16 +295,22 @@ def digest_embedder(dims: int = 64) -> Callable[[list[str]], np.ndarray]:
     A-Z count as small letters; words are what ASCII characters other than letters and digits leave between them. As all values are
     whole numbers, so are squared distances, and nothing depends on the order of additions.
     """
-    @lru_cache(1 << 16)
-    def bucket(word: str) -> int:
-        return int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % dims
+    class Buckets(dict):
+        def __missing__(self, word: bytes) -> int:
+            self[word] = bucket = int(hashlib.md5(word).hexdigest()[:4], 16) % dims
+            return bucket
+
+    known = Buckets()
 
     def embed(texts: list[str]) -> np.ndarray:
         counts = np.zeros((len(texts), dims))
-        for row, text in zip(counts, texts):
-            for word in _ASCII.split(text.translate(_SMALL)):
-                if word:
-                    row[bucket(word)] += 1
+        for at in range(0, len(texts), 1000):
+            words = [text.encode().translate(_ASCII).split() for text in texts[at:at + 1000]]
+            row = np.repeat(np.arange(len(words)), list(map(len, words)))
+            bucket = np.fromiter(map(known.__getitem__, chain.from_iterable(words)), np.int64, len(row))
+            counts[at:at + len(words)] = np.bincount(row * dims + bucket, minlength=len(words) * dims).reshape(-1, dims)
+            if len(known) > _WORDS_KNOWN:
+                known.clear()
         size = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
         return np.floor(np.divide(1000 * counts, size, out=np.zeros_like(counts), where=size > 0))
     return embed

@@ -24,8 +24,12 @@ BROADCAST_NUMBERS = 4_000_000
 BLOCK_PAIRS = 1 << 20
 # Queries scored at once: with this many, a block of pairs is as wide as it is long, and what is best so far is merged seldom.
 GROUP_QUERIES = 1 << 10
+# Rows of a corpus from which each query gets its first limit.
+FIRST_ROWS = 1 << 8
 # Numbers held at once while pairs are scored again.
 EXACT_NUMBERS = 1 << 22
+# Parts of the corpus for each core: each part finds k rows for every query anew, however small it is.
+PARTS_PER_CORE = 3
 
 
 def _unit(vectors: np.ndarray) -> np.ndarray:
@@ -46,18 +50,46 @@ def _bounds(corpus: np.ndarray, queries: np.ndarray, metric: str) -> tuple[np.nd
     return norms - 2.0 * dot, 2 * ulp * norms
 
 
-def _exact(corpus: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
-    """Distances of pairs, row by row: squared differences, or one minus the cosine of unit vectors."""
-    out = np.empty(len(corpus))
+def _exact(corpus: np.ndarray, ci: np.ndarray, queries: np.ndarray, qi: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of pairs, given by their rows: squared differences, or one minus the cosine of unit vectors."""
+    out = np.empty(len(ci))
     step = max(1, EXACT_NUMBERS // max(1, corpus.shape[1]))
-    for lo in range(0, len(corpus), step):
-        c, q = corpus[lo:lo + step], queries[lo:lo + step]
+    for lo in range(0, len(ci), step):
+        c, q = corpus[ci[lo:lo + step]], queries[qi[lo:lo + step]]
         out[lo:lo + step] = ((q - c) ** 2).sum(axis=1) if metric == "l2" else 1.0 - (q * c).sum(axis=1)
     return out
 
 
+class _Rows:
+    """Vectors of a corpus, and what all groups of queries need to know of them."""
+
+    def __init__(self, vectors: np.ndarray, metric: str):
+        self.vectors = _unit(vectors) if metric == "cosine" else vectors
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.norms = np.einsum("ij,ij->i", self.vectors, self.vectors)
+        self.most = float(np.abs(self.vectors).max(initial=0.0))
+        self.finite = bool(np.isfinite(self.norms).all())
+        self.metric, self._small = metric, {}
+
+    def small(self, size: float) -> tuple[float, np.ndarray]:
+        """A unit of length, and the rows for products with queries in single precision that were divided by ``size``: twice the
+        vector, and minus its squared norm, both in squared units. By the cosine: the vector and nothing."""
+        if size not in self._small:
+            unit = max(size, self.most)
+            more = np.zeros_like(self.norms) if self.metric == "cosine" else -(self.norms / unit / unit)
+            by = 1.0 if self.metric == "cosine" else 2.0 * (size / unit) / unit
+            self._small = {size: (unit, np.hstack([self.vectors * by, more[:, None]]).astype(np.float32))}
+        return self._small[size]
+
+
 class _Best:
-    """The k closest ids per query seen so far, by exact distances, ties by id."""
+    """The k closest ids per query seen so far, by exact distances, ties by id.
+
+    A matrix product in single precision tells which pairs may be among the best, by a bound on its error; these are scored exactly.
+    """
+
+    #: Where pairs are scored, for all groups of queries of a worker one after the other.
+    room: tuple[np.ndarray, np.ndarray] | None = None
 
     def __init__(self, queries: np.ndarray, k: int, metric: str):
         if metric not in ("l2", "cosine"):
@@ -67,32 +99,86 @@ class _Best:
         self.d = np.empty(0, dtype=np.float64)
         self.i = np.empty(0, dtype=np.int64)
         self.limit = np.full(len(queries), np.inf)
-
-    def add(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        vectors = _unit(vectors) if self.metric == "cosine" else vectors
-        step = max(1, BLOCK_PAIRS // max(1, len(self.queries)))
-        for lo in range(0, len(ids), step):
-            some = vectors[lo:lo + step]
-            rough, off = _bounds(some, self.queries, self.metric)
-            # only pairs that may be among the best are scored by their differences
-            maybe = rough - off <= self.limit[:, None]
-            if rough.shape[1] > self.k and np.count_nonzero(maybe) > 4 * self.k * len(self.queries):
-                # k of this block are surely as near as this
-                limit = np.minimum(self.limit, np.partition(rough + off, self.k - 1, axis=1)[:, self.k - 1])
-                maybe = rough - off <= limit[:, None]
-            qi, ci = np.nonzero(maybe)
-            if len(qi) == 0:
-                continue
-            q = np.concatenate([self.q, qi])
-            d = np.concatenate([self.d, _exact(some[ci], self.queries[qi], self.metric)])
-            i = np.concatenate([self.i, ids[lo:lo + step][ci]])
-            order = np.lexsort((i, d, q))
-            q, d, i = q[order], d[order], i[order]
-            place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
-            keep = place < self.k
-            self.q, self.d, self.i = q[keep], d[keep], i[keep]
-            full = place == self.k - 1
-            self.limit[q[full]] = d[full]
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.norms = np.einsum("ij,ij->i", self.queries, self.queries)
+        self.finite = bool(np.isfinite(self.norms).all())
+        # squares of anything smaller than the least size are nothing
+        self.size = 1.0 if metric == "cosine" else float(np.abs(self.queries).max(initial=1e-150))
+        self._small: np.ndarray | None = None
+
+    def add(self, ids: np.ndarray, vectors: np.ndarray | _Rows) -> None:
+        rows = vectors if isinstance(vectors, _Rows) else _Rows(vectors, self.metric)
+        step, at = max(1, BLOCK_PAIRS // max(1, len(self.queries))), 0
+        held, waiting = [], 0
+        while at < len(ids):
+            if rows.finite and self.finite and not np.isinf(self.limit).any():
+                upto = min(at + step, len(ids))
+                qi, ci = self._close(rows, at, upto)
+            else:
+                upto = min(at + min(step, max(FIRST_ROWS, 4 * self.k)), len(ids))
+                qi, ci = self._maybe(rows.vectors[at:upto])
+            if len(qi):
+                held.append((qi, ci + at))
+                waiting += len(qi)
+            at = upto
+            if held and (at >= len(ids) or waiting >= self.k * len(self.queries) or np.isinf(self.limit).any()):
+                self._merge(*(np.concatenate(x) for x in zip(*held)), ids, rows.vectors)
+                held, waiting = [], 0
+
+    def _close(self, rows: _Rows, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of queries and of the rows from ``low`` to ``high`` that may be among the best, by single precision."""
+        unit, small = rows.small(self.size)
+        if self._small is None:
+            one = np.ones((len(self.queries), 1))
+            self._small = np.hstack([self.queries / self.size, one]).astype(np.float32)
+        # each of dims + 1 products and sums is off by a rounding, and so are the numbers themselves
+        off = 4 * np.finfo(np.float32).eps * (self.queries.shape[1] + 16)
+        if self.metric == "cosine":
+            least = 1.0 - self.limit - off
+        else:
+            norms = self.norms / unit / unit
+            least = norms - self.limit / unit / unit - off * (norms + float(rows.norms[low:high].max()) / unit / unit)
+        # rounded down; what is too small for single precision is off by less than the last term
+        with np.errstate(over="ignore"):
+            least = np.nextafter((least - 1e-30).astype(np.float32), np.float32(-np.inf))
+        shape = len(self.queries), high - low
+        pairs = shape[0] * shape[1]
+        if not _Best.room or len(_Best.room[0]) < pairs:
+            _Best.room = np.empty(pairs, np.float32), np.zeros(pairs + 8, bool)
+        product, maybe = (x[:pairs].reshape(shape) for x in _Best.room)
+        np.matmul(self._small, small[low:high].T, out=product)
+        np.greater_equal(product, least[:, None], out=maybe)
+        # few are: eight are passed over at a time
+        eights = _Best.room[1][:pairs + -pairs % 8]
+        eights[pairs:] = False
+        eights = eights.reshape(-1, 8)
+        some = np.flatnonzero(eights.view(np.uint64))
+        at, one = np.nonzero(eights[some])
+        return np.divmod(8 * some[at] + one, shape[1])
+
+    def _maybe(self, some: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs that may be among the best, by double precision and also by what the rows themselves leave room for."""
+        rough, off = _bounds(some, self.queries, self.metric)
+        maybe = rough - off <= self.limit[:, None]
+        if rough.shape[1] > self.k and np.count_nonzero(maybe) > 4 * self.k * len(self.queries):
+            # k of this block are surely as near as this
+            limit = np.minimum(self.limit, np.partition(rough + off, self.k - 1, axis=1)[:, self.k - 1])
+            maybe = rough - off <= limit[:, None]
+        return np.nonzero(maybe)
+
+    def _merge(self, qi: np.ndarray, ci: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> None:
+        far = _exact(vectors, ci, self.queries, qi, self.metric)
+        near = far <= self.limit[qi]
+        q = np.concatenate([self.q, qi[near]])
+        d = np.concatenate([self.d, far[near]])
+        i = np.concatenate([self.i, ids[ci[near]]])
+        order = np.lexsort((i, d, q))
+        q, d, i = q[order], d[order], i[order]
+        place = np.arange(len(q)) - np.searchsorted(q, q, side="left")
+        keep = place < self.k
+        self.q, self.d, self.i = q[keep], d[keep], i[keep]
+        full = place == self.k - 1
+        self.limit[q[full]] = d[full]
 
 
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
@@ -167,14 +253,15 @@ def _scans(queries: DataFrame, corpus: DataFrame, score: Score, schema: str, blo
         F.when(F.size("vec") == dims, _sound("id"))
         .otherwise(F.raise_error(F.concat(F.lit("wrong vector length for id "), F.col("id").cast("string")))),
     )
+    corpus = corpus.coalesce(PARTS_PER_CORE * spark.sparkContext.defaultParallelism)  # fewer stay as they are
     blocks = max(1, math.ceil(total / block_numbers))
     path = fresh_path(spark, "scans")
     for b in range(blocks):
-        rows = queries.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b).collect()
-        if not rows:
+        rows = queries.filter(F.pmod(F.xxhash64("qid"), F.lit(blocks)) == b).toArrow()
+        if not rows.num_rows:
             continue
-        block = Block(np.array([r.qid for r in rows], dtype=np.int64),
-                      np.array([r.vec for r in rows], dtype=np.float64).reshape(-1, dims), [r.sees for r in rows])
+        qids, vec, sees = (pa.concat_arrays(rows.column(c).chunks) for c in ("qid", "vec", "sees"))
+        block = Block(qids.to_numpy(zero_copy_only=False), _matrix(vec, dims), sees.to_pylist())
         shared = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -244,8 +331,9 @@ def nearest(
             if batch.num_rows:
                 ids, vectors = batch.column("id").to_numpy(), _matrix(batch.column("vec"), dims)
                 for group, rows in sight.rows(batch.column("of")) if scoped else [(0, slice(None))]:
+                    some = _Rows(vectors[rows], metric)
                     for one in best[group]:
-                        one.add(ids[rows], vectors[rows])
+                        one.add(ids[rows], some)
         for parts, ones in zip(groups, best):
             for at, one in zip(parts, ones):
                 if len(one.q):

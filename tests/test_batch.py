@@ -92,3 +92,31 @@ def test_product_chain(spark):
     assert row.details == "X1000 has 128 cores." and row.reply == "X1000 has 128 cores."
     nothing = A.product_replies(df, "c", lambda: (lambda prompts: ["no tags"] * len(prompts))).first()
     assert nothing.details == "No relevant information found!"
+
+
+def test_embedding_keeps_columns_and_takes_null_as_empty(spark):
+    df = spark.createDataFrame([(1, "abc", [1, None]), (2, None, None)], "i long, t string, more array<int>").coalesce(1)
+    got = B.embed_with(df, "t", "v", lambda: (lambda texts: np.array([[len(t), np.nan if t else 2.0] for t in texts])))
+    assert got.columns == ["i", "t", "more", "v"]
+    assert sorted(map(tuple, got.collect())) == [(1, "abc", [1, None], [3.0, None]), (2, None, None, [0.0, 2.0])]
+    assert B.embed_with(df.limit(0), "t", "v", lambda: None).count() == 0
+
+
+def test_digest_embedding_word_by_word(monkeypatch):
+    """Many texts at a time, whatever is still known of their words."""
+    import hashlib
+    import random
+    import re
+
+    def slow(text, dims):
+        counts = np.zeros(dims)
+        for word in re.split("[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text)):
+            if word:
+                counts[int(hashlib.md5(word.encode()).hexdigest()[:4], 16) % dims] += 1
+        size = np.sqrt((counts * counts).sum())
+        return np.floor(1000 * counts / size) if size else counts
+    monkeypatch.setattr(B, "_WORDS_KNOWN", 50)
+    rng = random.Random(4)
+    letters = "abYZ09 .-_`{\x7f\x85\xa0\u00c4\u00e4\u0130\u2028\U0001f600\n"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(2300)]
+    assert (B.digest_embedder(16)(texts) == np.array([slow(t, 16) for t in texts])).all()

@@ -178,3 +178,64 @@ def test_many_queries_are_scored_in_groups(spark, monkeypatch):
                  for q, i, d in zip(*(part.column(c).to_pylist() for c in ("qid", "id", "distance"))))
     want = sorted((q, d, i) for q in range(70) for d, i in sorted((float(((asked[q] - v) ** 2).sum()), i) for i, v in enumerate(corpus))[:3])
     assert got == want and max(at_once) == 16
+
+
+@pytest.mark.parametrize("metric", ["l2", "cosine"])
+def test_single_precision_only_passes_pairs_over(monkeypatch, metric):
+    """After the first rows, pairs are told apart by single precision; the answers are those of double precision at any scale."""
+    from millrace.operators import nearest as N
+
+    monkeypatch.setattr(N, "FIRST_ROWS", 16)
+    rng = np.random.default_rng(11)
+    by_double, scored = [], []
+    maybe, merge = N._Best._maybe, N._Best._merge
+    monkeypatch.setattr(N._Best, "_maybe", lambda self, some: by_double.append(len(some)) or maybe(self, some))
+    monkeypatch.setattr(N._Best, "_merge", lambda self, qi, *rest: scored.append(len(qi)) or merge(self, qi, *rest))
+    for scale, away, rest in ((1, 0, 1), (1, 1e4, 1), (1e-30, 0, 1), (1e30, 1e33, 1), (1e140, 0, 1e-9), (1e-140, 0, 1), (1e-200, 0, 1)):
+        queries, corpus = ((rng.normal(size=(n, 12)) + away) * scale for n in (40, 900))
+        corpus[300:600] = corpus[rng.integers(0, 300, 300)]  # ties
+        corpus[700:] *= rest  # what comes later is far smaller
+        corpus[650], queries[3] = 0, 0
+        ids = rng.permutation(900)
+        best = N._Best(queries, 5, metric)
+        for low in range(0, 900, 250):
+            best.add(ids[low:low + 250], corpus[low:low + 250])
+        if metric == "l2":
+            far = np.array([((corpus - q) ** 2).sum(axis=1) for q in queries])
+        else:
+            far = np.array([1.0 - (N._unit(corpus) * q).sum(axis=1) for q in N._unit(queries)])
+        order = [np.lexsort((ids, d))[:5] for d in far]
+        assert [best.i[best.q == n].tolist() for n in range(40)] == [ids[o].tolist() for o in order]
+        assert np.array_equal(best.d, np.concatenate([d[o] for d, o in zip(far, order)]))
+        if (scale, away) == (1, 0):
+            assert sum(by_double) <= 20 and sum(scored) < 40 * 900 / 5
+        by_double.clear()
+
+
+def test_rows_without_bounds_do_not_hide_others():
+    """A vector with an infinite value is near to nothing, and those beside it are found."""
+    from millrace.operators import nearest as N
+
+    rng = np.random.default_rng(12)
+    corpus, queries = rng.normal(size=(400, 4)), rng.normal(size=(6, 4))
+    corpus[350, 1], corpus[20, 2] = np.inf, 1e200
+    best = N._Best(queries, 3, "l2")
+    with np.errstate(over="ignore", invalid="ignore"):
+        for low in (0, 200):
+            best.add(np.arange(low, low + 200), corpus[low:low + 200])
+    keep = [i for i in range(400) if i not in (20, 350)]
+    far = np.array([((corpus[keep] - q) ** 2).sum(axis=1) for q in queries])
+    assert [best.i[best.q == n].tolist() for n in range(6)] == [[keep[i] for i in np.argsort(d, kind="stable")[:3]] for d in far]
+
+
+def test_small_parts_of_a_corpus_are_scored_together(spark, monkeypatch):
+    """Each task gives k rows for every query, so their number follows the cores and not the files."""
+    from millrace.operators import nearest as N
+
+    merged = []
+    merge = N._merge
+    monkeypatch.setattr(N, "_merge", lambda partial, k: merged.append(partial.count()) or merge(partial, k))
+    c = spark.range(2000).selectExpr("id", "array(id * 0.37 % 5, id * 0.11 % 7) as vec").repartition(100)
+    q = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(4)], "qid bigint, vec array<double>")
+    assert nearest(q, c, 2).count() == 8
+    assert merged[0] <= 2 * 4 * N.PARTS_PER_CORE * spark.sparkContext.defaultParallelism < 2 * 4 * 100

@@ -261,7 +261,9 @@ def _scans(queries: DataFrame, corpus: DataFrame, score: Score, schema: str, blo
         if not rows.num_rows:
             continue
         qids, vec, sees = (pa.concat_arrays(rows.column(c).chunks) for c in ("qid", "vec", "sees"))
-        block = Block(qids.to_numpy(zero_copy_only=False), _matrix(vec, dims), sees.to_pylist())
+        if qids.null_count:
+            raise TypeError("a query without a qid")
+        block = Block(qids.to_numpy(), _matrix(vec, dims), sees.to_pylist())
         shared = spark.sparkContext.broadcast(block)
 
         def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:

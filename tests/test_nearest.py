@@ -80,6 +80,12 @@ def test_wrong_length_is_an_error(spark, data):
         nearest(q, bad, 1).collect()
 
 
+def test_a_query_without_an_id_is_an_error(spark, data):
+    bad = spark.createDataFrame([(1, [0.0] * 5), (None, [1.0] * 5)], "qid bigint, vec array<double>")
+    with pytest.raises(TypeError):
+        nearest(bad, data[3], 1).collect()
+
+
 def test_no_queries(spark, data):
     _, _, q, c = data
     assert nearest(q.filter("false"), c, 3).count() == 0
